@@ -7,13 +7,15 @@ and filters are used, so the mapping adds no shuffle to a query.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dealscope.config import SalesConfig
-from dealscope.schemas import ACTIVITIES, COMPANIES, CONTACTS, DEALS, OWNERS
+from dealscope.schemas import ACTIVITIES
 from dealscope.vocabulary import STAGE_CODES
 
 CONFIG = SalesConfig(
@@ -23,67 +25,49 @@ CONFIG = SalesConfig(
 )
 
 
-def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+# Schemas of the test tables, so that no job has to look into the files first.
+_SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+}
 
 
-def _plus(ts: str, count: str, unit: str) -> str:
-    return f"timestampadd({unit}, {count}, {ts})"
+def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.schema(_SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def _dated(df: DataFrame) -> DataFrame:
-    return df.withColumn("dt", F.date_format("created_at", "yyyy-MM-dd"))
+_HOUR = "3600000000L"
+_DAY = "86400000000L"
+_DT = "date_format(created_at, 'yyyy-MM-dd') AS dt"
 
 
 def deals(spark: SparkSession, folder: str) -> DataFrame:
     """Orders as deals; every fifth deal has a second, later version."""
-    base = _table(spark, folder, "orders").selectExpr(
+    # Times are added up as microseconds, which costs less than interval arithmetic.
+    staged = _table(spark, folder, "orders").selectExpr(
         "o_orderkey AS k",
         "o_custkey",
         "o_orderstatus",
         "o_totalprice",
         "o_orderpriority",
-        "CAST(o_orderdate AS timestamp) + INTERVAL 8215 DAYS "
-        "+ make_dt_interval(0, CAST(o_orderkey % 24 AS int)) AS created_at",
-    )
-    staged = (
-        base.withColumn(
-            "op_detected_at", F.expr(f"IF(k % 10 = 0, NULL, {_plus('created_at', 'k % 7', 'DAY')})")
-        )
-        .withColumn(
-            "proposal_prep_at",
-            F.expr(
-                f"IF(k % 5 = 0, NULL, {_plus('op_detected_at', '(k % 11) * 20 - 20', 'HOUR')})"
-            ),
-        )
-        .withColumn(
-            "proposal_sent_at",
-            F.expr(f"IF(k % 4 = 0, NULL, {_plus('proposal_prep_at', '(k % 13) * 17', 'HOUR')})"),
-        )
-        .withColumn(
-            "closed_won_at",
-            F.expr(f"IF(o_orderstatus = 'F', {_plus('created_at', '30 + k % 90', 'DAY')}, NULL)"),
-        )
-        .withColumn(
-            "closed_lost_at",
-            F.expr(
-                "IF(o_orderstatus = 'O' AND k % 3 = 0, "
-                f"{_plus('created_at', '15 + k % 60', 'DAY')}, NULL)"
-            ),
-        )
-        .withColumn(
-            "closed_at",
-            F.expr(
-                "coalesce(closed_won_at, closed_lost_at, "
-                f"IF(k % 17 = 0, {_plus('created_at', '20', 'DAY')}, NULL))"
-            ),
-        )
-        .withColumn(
-            "modified_at", F.expr(f"coalesce(closed_at, {_plus('created_at', 'k % 30', 'DAY')})")
-        )
-        .withColumn("version", F.explode(F.expr("IF(k % 5 = 0, array(1, 2), array(1))")))
+        f"unix_micros(CAST(o_orderdate AS timestamp)) + 8215 * {_DAY} + k % 24 * {_HOUR} AS created",
+        f"IF(k % 10 = 0, NULL, created + k % 7 * {_DAY}) AS op",
+        f"IF(k % 5 = 0, NULL, op + (k % 11 * 20 - 20) * {_HOUR}) AS prep",
+        f"IF(k % 4 = 0, NULL, prep + k % 13 * 17 * {_HOUR}) AS sent",
+        f"IF(o_orderstatus = 'F', created + (30 + k % 90) * {_DAY}, NULL) AS won",
+        f"IF(o_orderstatus = 'O' AND k % 3 = 0, created + (15 + k % 60) * {_DAY}, NULL) AS lost",
+        f"coalesce(won, lost, IF(k % 17 = 0, created + 20 * {_DAY}, NULL)) AS closed",
+        f"coalesce(closed, created + k % 30 * {_DAY}) AS modified",
     )
-    return _dated(staged).selectExpr(
+    versions = staged.selectExpr("*", "explode(IF(k % 5 = 0, array(1, 2), array(1))) AS version")
+    return versions.selectExpr(
         "CAST(k AS string) AS deal_id",
         "concat('Deal ', k, IF(version = 2, ' v2', '')) AS deal_name",
         "IF(k % 37 = 0, NULL, CAST(o_custkey % 120 AS string)) AS owner_id",
@@ -91,18 +75,18 @@ def deals(spark: SparkSession, folder: str) -> DataFrame:
         "IF(k % 2 = 0, CAST(o_custkey AS string), NULL) AS contact_id",
         "CASE o_orderstatus WHEN 'F' THEN 'closedwon' WHEN 'O' THEN 'closedlost' "
         "ELSE 'appointmentscheduled' END AS deal_stage",
-        "created_at",
-        "closed_at",
-        f"IF(version = 2, {_plus('modified_at', '1', 'DAY')}, modified_at) AS last_modified_at",
-        "IF(k % 50 = 0, 'n/a', CAST(CAST(o_totalprice AS decimal(18, 2)) AS string)) AS amount",
-        "op_detected_at",
-        "proposal_prep_at",
-        "proposal_sent_at",
-        "closed_won_at",
-        "closed_lost_at",
+        "timestamp_micros(created) AS created_at",
+        "timestamp_micros(closed) AS closed_at",
+        f"timestamp_micros(IF(version = 2, modified + {_DAY}, modified)) AS last_modified_at",
+        "IF(k % 50 = 0, 'n/a', CAST(o_totalprice AS string)) AS amount",
+        "timestamp_micros(op) AS op_detected_at",
+        "timestamp_micros(prep) AS proposal_prep_at",
+        "timestamp_micros(sent) AS proposal_sent_at",
+        "timestamp_micros(won) AS closed_won_at",
+        "timestamp_micros(lost) AS closed_lost_at",
         "nullif(o_orderpriority, '') AS source",
-        "dt",
-    ).select(*DEALS.names)
+        "date_format(timestamp_micros(created), 'yyyy-MM-dd') AS dt",
+    )
 
 
 def owners(spark: SparkSession, folder: str) -> DataFrame:
@@ -112,30 +96,27 @@ def owners(spark: SparkSession, folder: str) -> DataFrame:
         "concat('s', s_suppkey, '@example.com') AS owner_email",
         "CAST(NULL AS string) AS created_at",
         "CAST(NULL AS string) AS last_modified_at",
-    ).select(*OWNERS.names)
+    )
 
 
 def contacts(spark: SparkSession, folder: str) -> DataFrame:
-    base = _table(spark, folder, "customer").selectExpr(
-        "*",
-        "TIMESTAMP '2024-01-01 00:00:00' "
-        "+ make_dt_interval(CAST(c_custkey % 30 AS int), CAST(c_custkey % 24 AS int)) AS created_at",
-    )
-    return _dated(base).selectExpr(
+    return _table(spark, folder, "customer").selectExpr(
         "CAST(c_custkey AS string) AS contact_id",
         "CAST(c_custkey % 120 AS string) AS owner_id",
         "c_mktsegment AS firstname",
         "c_name AS lastname",
         "concat('c', c_custkey, '@example.com') AS email",
-        "created_at",
-        f"{_plus('created_at', 'c_custkey % 9', 'DAY')} AS last_modified_at",
-        "dt",
-    ).select(*CONTACTS.names)
+        "TIMESTAMP '2024-01-01 00:00:00' "
+        "+ make_dt_interval(CAST(c_custkey % 30 AS int), CAST(c_custkey % 24 AS int)) "
+        "AS created_at",
+        "timestampadd(DAY, c_custkey % 9, created_at) AS last_modified_at",
+        _DT,
+    )
 
 
 def companies(spark: SparkSession, folder: str) -> DataFrame:
     """Nine in ten customers as companies, partitioned by modification date."""
-    base = _table(spark, folder, "customer").filter("c_custkey % 10 <> 0").selectExpr(
+    return _table(spark, folder, "customer").filter("c_custkey % 10 <> 0").selectExpr(
         "CAST(c_custkey AS string) AS company_id",
         "c_name AS name",
         "TIMESTAMP '2023-12-01 00:00:00' "
@@ -143,9 +124,8 @@ def companies(spark: SparkSession, folder: str) -> DataFrame:
         "IF(c_custkey % 7 = 0, NULL, TIMESTAMP '2024-01-01 00:00:00' "
         "+ make_dt_interval(CAST(c_custkey % 20 AS int), CAST(c_custkey % 24 AS int))) "
         "AS last_modified_at",
+        "date_format(coalesce(last_modified_at, created_at), 'yyyy-MM-dd') AS dt",
     )
-    dt = F.date_format(F.coalesce("last_modified_at", "created_at"), "yyyy-MM-dd")
-    return base.withColumn("dt", dt).select(*COMPANIES.names)
 
 
 def _activity_base(spark: SparkSession, folder: str) -> DataFrame:
@@ -171,40 +151,33 @@ _CHANNEL = "CASE k % 3 WHEN 0 THEN 'WHATS_APP' WHEN 1 THEN 'LINKEDIN_MESSAGE' EL
 
 def activities(spark: SparkSession, folder: str) -> DataFrame:
     """Events as curated activities, with every branch of the category rules."""
-    base = _activity_base(spark, folder)
-    rows = base.selectExpr(
-        "CAST(k AS string) AS activity_id",
-        "CASE event_type WHEN 'signup' THEN 'NOTE' "
+    filled = {
+        "activity_id": "CAST(k AS string)",
+        "activity_type": "CASE event_type WHEN 'signup' THEN 'NOTE' "
         "WHEN 'purchase' THEN IF(k % 2 = 0, 'EMAIL', 'INCOMING_EMAIL') "
         "WHEN 'view' THEN 'call' "
         f"WHEN 'click' THEN {_CHANNEL} "
         "ELSE CASE k % 6 WHEN 0 THEN 'MEETING' WHEN 1 THEN 'TASK' WHEN 2 THEN 'FORWARDED_EMAIL' "
-        "WHEN 3 THEN 'Postal' WHEN 4 THEN 'Other' ELSE NULL END END AS activity_type",
-        "owner_id",
-        "created_at",
-        "last_modified_at",
-        "IF(event_type = 'signup' AND k % 5 = 2, 'about WhatsApp', NULL) AS communication_body",
-        "IF(event_type = 'error' AND k % 6 > 3, "
-        "CASE k % 5 WHEN 0 THEN 'LinkedIn import' WHEN 1 THEN 'WHATSAPP import' END, NULL) "
-        "AS communication_source",
-        f"IF(event_type = 'purchase', {_DIRECTION}, NULL) AS email_direction",
-        f"IF(event_type = 'signup', {_NOTE_BODY}, NULL) AS note_body",
-    )
-    for name in ACTIVITIES.names:
-        if name not in rows.columns and name != "dt":
-            rows = rows.withColumn(name, F.lit(None).cast("string"))
-    return _dated(rows).select(*ACTIVITIES.names)
-
-
-def tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """All curated tables of the view layer."""
-    return {
-        "deals": deals(spark, folder),
-        "activities": activities(spark, folder),
-        "contacts": contacts(spark, folder),
-        "companies": companies(spark, folder),
-        "owners": owners(spark, folder),
+        "WHEN 3 THEN 'Postal' WHEN 4 THEN 'Other' ELSE NULL END END",
+        "owner_id": "owner_id",
+        "created_at": "created_at",
+        "last_modified_at": "last_modified_at",
+        "communication_body": "IF(event_type = 'signup' AND k % 5 = 2, 'about WhatsApp', NULL)",
+        "communication_source": "IF(event_type = 'error' AND k % 6 > 3, "
+        "CASE k % 5 WHEN 0 THEN 'LinkedIn import' WHEN 1 THEN 'WHATSAPP import' END, NULL)",
+        "email_direction": f"IF(event_type = 'purchase', {_DIRECTION}, NULL)",
+        "note_body": f"IF(event_type = 'signup', {_NOTE_BODY}, NULL)",
+        "dt": "date_format(created_at, 'yyyy-MM-dd')",
     }
+    return _activity_base(spark, folder).selectExpr(
+        *[f"{filled.get(name, 'CAST(NULL AS string)')} AS {name}" for name in ACTIVITIES.names]
+    )
+
+
+def tables(spark: SparkSession, folder: str) -> dict[str, Callable[[], DataFrame]]:
+    """All curated tables of the view layer, made when they are asked for."""
+    makers = [deals, activities, contacts, companies, owners]
+    return {maker.__name__: partial(maker, spark, folder) for maker in makers}
 
 
 def _iso(column: str) -> Column:

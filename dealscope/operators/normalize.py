@@ -33,9 +33,14 @@ def first_filled_prop(names: Sequence[str]) -> Column:
     return first_filled(*[prop(name) for name in names])
 
 
+def stage_entry_text(code: str) -> Column:
+    """Raw time a deal entered a stage; the newer property name goes first."""
+    return first_filled_prop([prefix + code for prefix in V.STAGE_ENTRY_PREFIXES])
+
+
 def stage_entered_at(code: str) -> Column:
-    """When a deal entered a stage; the newer property name goes first."""
-    return parse_mixed_timestamp(first_filled_prop([p + code for p in V.STAGE_ENTRY_PREFIXES]))
+    """When a deal entered a stage."""
+    return parse_mixed_timestamp(stage_entry_text(code))
 
 
 def first_associated_id(association: str) -> Column:
@@ -75,47 +80,53 @@ def activity_metadata() -> list[Column]:
     return columns
 
 
+def _parsed(texts: DataFrame, columns: Sequence[str], partition_by: str) -> DataFrame:
+    """Parse the named text columns in place, and add the partition date of one.
+
+    The texts are picked from the properties in a projection of their own, so that parsing,
+    which looks at a text several times, does not pick it each time.
+    """
+    parsed = texts.withColumns({name: parse_mixed_timestamp(F.col(name)) for name in columns})
+    return parsed.withColumn("dt", partition_date(F.col(partition_by)))
+
+
 def normalize_deals(raw: DataFrame) -> DataFrame:
-    created = parse_mixed_timestamp(prop("createdate"))
     # A missing name is empty, one given as null stays null.
     has_name = F.coalesce(F.map_contains_key("properties", F.lit("dealname")), F.lit(False))
-    return raw.select(
+    texts = raw.select(
         F.col("id").alias("deal_id"),
         F.when(has_name, prop("dealname")).otherwise("").alias("deal_name"),
         prop("hubspot_owner_id").alias("owner_id"),
         first_associated_id("companies").alias("company_id"),
         first_associated_id("contacts").alias("contact_id"),
         prop("dealstage").alias("deal_stage"),
-        created.alias("created_at"),
-        parse_mixed_timestamp(prop("closedate")).alias("closed_at"),
-        parse_mixed_timestamp(prop("hs_lastmodifieddate")).alias("last_modified_at"),
+        blank_to_null(prop("createdate")).alias("created_at"),
+        blank_to_null(prop("closedate")).alias("closed_at"),
+        blank_to_null(prop("hs_lastmodifieddate")).alias("last_modified_at"),
         prop("amount").alias("amount"),
-        stage_entered_at(V.STAGE_CODES["op"]).alias("op_detected_at"),
-        stage_entered_at(V.STAGE_CODES["prep"]).alias("proposal_prep_at"),
-        stage_entered_at(V.STAGE_CODES["sent"]).alias("proposal_sent_at"),
-        stage_entered_at(V.STAGE_CODES["won"]).alias("closed_won_at"),
-        stage_entered_at(V.STAGE_CODES["lost"]).alias("closed_lost_at"),
+        stage_entry_text(V.STAGE_CODES["op"]).alias("op_detected_at"),
+        stage_entry_text(V.STAGE_CODES["prep"]).alias("proposal_prep_at"),
+        stage_entry_text(V.STAGE_CODES["sent"]).alias("proposal_sent_at"),
+        stage_entry_text(V.STAGE_CODES["won"]).alias("closed_won_at"),
+        stage_entry_text(V.STAGE_CODES["lost"]).alias("closed_lost_at"),
         first_filled_prop(V.DEAL_SOURCE_PROPERTIES).alias("source"),
-        partition_date(created).alias("dt"),
-    ).select(*DEALS.names)
+    )
+    times = [f.name for f in DEALS.fields if f.dataType.typeName() == "timestamp"]
+    return _parsed(texts, times, "created_at").select(*DEALS.names)
 
 
 def normalize_activities(raw: DataFrame) -> DataFrame:
     """All six object types in one pass; ``object_type`` tells them apart."""
-    created = parse_mixed_timestamp(prop("hs_createdate"))
-    modified = parse_mixed_timestamp(first_filled_prop(["hs_lastmodifieddate", "hs_createdate"]))
-    return (
-        raw.filter(F.col("object_type").isin(list(V.DEFAULT_ACTIVITY_TYPE)))
-        .select(
-            F.col("id").alias("activity_id"),
-            activity_type().alias("activity_type"),
-            blank_to_null(prop("hubspot_owner_id")).alias("owner_id"),
-            created.alias("created_at"),
-            modified.alias("last_modified_at"),
-            *activity_metadata(),
-            partition_date(created).alias("dt"),
-        )
-        .select(*ACTIVITIES.names)
+    texts = raw.filter(F.col("object_type").isin(list(V.DEFAULT_ACTIVITY_TYPE))).select(
+        F.col("id").alias("activity_id"),
+        activity_type().alias("activity_type"),
+        blank_to_null(prop("hubspot_owner_id")).alias("owner_id"),
+        blank_to_null(prop("hs_createdate")).alias("created_at"),
+        first_filled_prop(["hs_lastmodifieddate", "hs_createdate"]).alias("last_modified_at"),
+        *activity_metadata(),
+    )
+    return _parsed(texts, ["created_at", "last_modified_at"], "created_at").select(
+        *ACTIVITIES.names
     )
 
 
@@ -125,17 +136,18 @@ def keep_dated_distinct(rows: DataFrame) -> DataFrame:
 
 
 def normalize_contacts(raw: DataFrame) -> DataFrame:
-    created = parse_mixed_timestamp(prop("createdate"))
-    return raw.select(
+    texts = raw.select(
         F.col("id").alias("contact_id"),
         prop("hubspot_owner_id").alias("owner_id"),
         prop("firstname").alias("firstname"),
         prop("lastname").alias("lastname"),
         prop("email").alias("email"),
-        created.alias("created_at"),
-        parse_mixed_timestamp(prop("lastmodifieddate")).alias("last_modified_at"),
-        partition_date(created).alias("dt"),
-    ).select(*CONTACTS.names)
+        blank_to_null(prop("createdate")).alias("created_at"),
+        blank_to_null(prop("lastmodifieddate")).alias("last_modified_at"),
+    )
+    return _parsed(texts, ["created_at", "last_modified_at"], "created_at").select(
+        *CONTACTS.names
+    )
 
 
 def normalize_companies(raw: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 # Size of the sketch that proposes the split points, and their distance from each quantile.
@@ -31,71 +31,79 @@ def exact_quantiles(
     sides = sorted(
         {min(max(p + side, 0.0), 1.0) for p in probabilities for side in (-_MARGIN, _MARGIN)}
     )
-    sketch = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.percentile_approx("_v", [float(s) for s in sides], _ACCURACY).alias("_splits"),
+    splits = rows.groupBy(*keys).agg(F.percentile_approx("_v", sides, _ACCURACY).alias("_splits"))
+    mass = (
+        _with_group(rows, splits, keys)
+        .groupBy(*keys, _place(len(sides)).alias("_place"))
+        .agg(F.count(F.lit(1)).alias("_count"), F.first("_splits").alias("_splits"))
     )
-    splits = sketch.select(*_renamed(keys), "_splits")
-    if not group_cols:
-        splits = F.broadcast(splits)  # a single row
-
-    placed = rows.join(splits, _same(keys), "inner").select(
-        *keys, "_v", _place(len(sides)).alias("_place")
+    group = Window.partitionBy(*keys)
+    mass = mass.withColumn("n", F.sum("_count").over(group)).withColumn(
+        "_before", _count_before(group.orderBy("_place"))
     )
-    before = Window.partitionBy(*keys).orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
-    mass = placed.groupBy(*keys, "_place").agg(F.count(F.lit(1)).alias("_count"))
-    mass = mass.withColumn("_before", F.coalesce(F.sum("_count").over(before), F.lit(0)))
-
+    # One row per quantile and neighbouring rank, in the interval that holds the rank.
     positions = F.array(*[F.lit(float(p)) * (F.col("n") - 1) for p in probabilities])
-    ranks = (
-        sketch.select(*keys, "n", F.posexplode(positions).alias("_i", "_position"))
+    wanted = (
+        mass.select("*", F.posexplode(positions).alias("_i", "_position"))
         .withColumn("_low", F.floor("_position"))
+        .withColumn("_rank", F.explode(F.array_distinct(F.array("_low", F.ceil("_position")))))
+        .filter(_holds_rank())
         .select(
             *keys,
+            "_place",
+            "_splits",
             "n",
             "_i",
             (F.col("_position") - F.col("_low")).alias("_share"),
-            F.explode(F.array_distinct(F.array(F.col("_low"), F.ceil("_position")))).alias("_rank"),
-        )
-    )
-    wanted = (
-        ranks.join(mass, keys)
-        .filter(_holds_rank())
-        .select(
-            *keys, "n", "_i", "_share", "_place",
             (F.col("_rank") - F.col("_before")).alias("_rank"),
         )
     )
-    # One row per group again: the split points, and the few intervals to look into.
-    sought = wanted.groupBy(*_renamed(keys)).agg(F.collect_set("_place").alias("_sought"))
-    guide = splits.join(sought, [f"r_{key}" for key in keys])
-    if not group_cols:
-        guide = F.broadcast(guide)
+    # One row per group again: its split points, and the few intervals to look into.
+    guide = wanted.groupBy(*keys).agg(
+        F.first("_splits").alias("_splits"), F.collect_set("_place").alias("_sought")
+    )
     inside = (
-        rows.join(guide, _same(keys), "inner")
+        _with_group(rows, guide, keys)
         .withColumn("_place", _place(len(sides)))
         .filter(F.array_contains("_sought", F.col("_place")))
         .groupBy(*keys, "_place", "_v")
         .agg(F.count(F.lit(1)).alias("_count"))
     )
-    up_to = (
-        Window.partitionBy(*keys, "_place")
-        .orderBy("_v")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    ranked = inside.withColumn("_before", F.coalesce(F.sum("_count").over(up_to), F.lit(0)))
-    found = ranked.join(wanted, [*keys, "_place"]).filter(_holds_rank())
+    interval = Window.partitionBy(*keys, "_place").orderBy("_v")
+    ranked = inside.withColumn("_before", _count_before(interval))
+    targets = wanted.drop("_splits").withColumnsRenamed({k: f"r_{k}" for k in [*keys, "_place"]})
+    found = ranked.join(targets, _same([*keys, "_place"])).filter(_holds_rank())
 
-    low, high = F.min("_v"), F.max("_v")
-    per_quantile = found.groupBy(*keys, "n", "_i", "_share").agg(
-        (low + (high - low) * F.col("_share")).alias("_quantile")
-    )
-    result = per_quantile.groupBy(*keys, "n").agg(
-        F.array_sort(F.collect_list(F.struct("_i", "_quantile"))).alias("_found")
-    )
-    return result.select(
-        *group_cols, "n", F.transform("_found", lambda q: q["_quantile"]).alias("quantiles")
+    per_group = found.groupBy(*keys, "n").agg(
+        F.collect_list(F.struct("_i", "_share", "_v")).alias("_found")
     )
+    quantiles = F.array(*[_interpolated(i) for i in range(len(probabilities))])
+    return per_group.select(*group_cols, "n", quantiles.alias("quantiles"))
+
+
+def _with_group(rows: DataFrame, per_group: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows with their group's columns; null is a group of its own.
+
+    Null-safe keys are also what has both sides shuffled right before the join, so adaptive
+    execution can split a hot group.
+    """
+    right = per_group.withColumnsRenamed({key: f"r_{key}" for key in keys})
+    if keys == ["_all"]:
+        right = F.broadcast(right)  # a single row
+    return rows.join(right, _same(keys)).drop(*[f"r_{key}" for key in keys])
+
+
+def _count_before(ordered: WindowSpec) -> Column:
+    preceding = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum("_count").over(preceding), F.lit(0))
+
+
+def _interpolated(i: int) -> Column:
+    """Quantile i of a group's found values: one, or the two neighbours of its position."""
+    mine = F.filter("_found", lambda f: f["_i"] == i)
+    values = F.transform(mine, lambda f: f["_v"])
+    low, high = F.array_min(values), F.array_max(values)
+    return low + (high - low) * F.get(mine, F.lit(0))["_share"]
 
 
 def _place(count: int) -> Column:
@@ -112,10 +120,6 @@ def _holds_rank() -> Column:
     return (rank >= before) & (rank < before + F.col("_count"))
 
 
-def _renamed(keys: Sequence[str]) -> list[Column]:
-    return [F.col(key).alias(f"r_{key}") for key in keys]
-
-
 def _same(keys: Sequence[str]) -> Column:
     same = F.lit(True)
     for key in keys:

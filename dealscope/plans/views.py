@@ -6,6 +6,8 @@ single logical plan; ``materialize`` writes a view that several others read.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
 from dealscope.config import SalesConfig
@@ -66,16 +68,27 @@ VIEWS = {
 
 
 class ViewLayer:
-    """Views over curated tables given by name."""
+    """Views over curated tables given by name, as frames or as functions that make them."""
 
-    def __init__(self, spark: SparkSession, tables: dict[str, DataFrame], config: SalesConfig):
+    def __init__(
+        self,
+        spark: SparkSession,
+        tables: Mapping[str, DataFrame | Callable[[], DataFrame]],
+        config: SalesConfig,
+    ):
         self.spark = spark
         self.config = config
-        self._frames = dict(tables)
+        self._tables = tables
+        self._frames: dict[str, DataFrame] = {}
 
     def frame(self, name: str) -> DataFrame:
         """Table or view as a DataFrame; nothing runs yet."""
-        if name not in self._frames:
+        if name in self._frames:
+            return self._frames[name]
+        if name in self._tables:
+            table = self._tables[name]
+            self._frames[name] = table() if callable(table) else table
+        else:
             function, inputs = VIEWS[name]
             values = [self.config if i == "config" else self.frame(i) for i in inputs]
             self._frames[name] = function(*values)

@@ -17,4 +17,6 @@ def read_raw_objects(spark: SparkSession, path: str, kind: str) -> DataFrame:
 
 def parse_raw_objects(lines: DataFrame, kind: str, column: str = "value") -> DataFrame:
     """Same as :func:`read_raw_objects` for a column that holds one JSON object per row."""
-    return lines.select(F.from_json(column, RAW_SCHEMAS[kind]).alias("raw")).select("raw.*")
+    # Opening a one-element array keeps the parsed object from being substituted into each
+    # expression that uses a part of it, and so from being parsed once for each.
+    return lines.select(F.inline(F.array(F.from_json(column, RAW_SCHEMAS[kind]))))

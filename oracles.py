@@ -43,7 +43,7 @@ deals AS (
     coalesce(closed_at, created_at + to_days(CAST(k % 30 AS INT)))
       + CASE WHEN v = 2 THEN INTERVAL 1 DAY ELSE INTERVAL 0 DAY END AS last_modified_at,
     CASE WHEN k % 50 = 0 THEN 'n/a'
-      ELSE CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS VARCHAR) END AS amount,
+      ELSE CAST(o_totalprice AS VARCHAR) END AS amount,
     op_detected_at, proposal_prep_at, proposal_sent_at, closed_won_at, closed_lost_at,
     nullif(o_orderpriority, '') AS source,
     strftime(created_at, '%Y-%m-%d') AS dt
@@ -816,7 +816,7 @@ def statements() -> dict[str, str]:
     out["d01_agg_dataset"] = _with(
         DURATIONS,
         """SELECT owner_name, is_won, CAST(sum(amount) AS DECIMAL(18, 2)) AS amount_sum,
-          CAST(avg(amount) AS DECIMAL(18, 4)) AS amount_average, min(amount) AS amount_min,
+          avg(sales_cycle_days) AS sales_cycle_days_average, min(amount) AS amount_min,
           max(amount) AS amount_max, count(amount) AS amount_count,
           count(DISTINCT sales_cycle_days) AS sales_cycle_days_distinct_count
         FROM durations GROUP BY 1, 2""",

@@ -570,10 +570,11 @@ def _count():
 @query
 def d01_agg_dataset(spark, folder):
     measures = [
-        dashboard.measure("amount", name) for name in ["SUM", "AVERAGE", "MIN", "MAX", "COUNT"]
-    ] + [dashboard.measure("sales_cycle_days", "DISTINCT_COUNT")]
+        *[dashboard.measure("amount", name) for name in ["SUM", "MIN", "MAX", "COUNT"]],
+        *[dashboard.measure("sales_cycle_days", name) for name in ["AVERAGE", "DISTINCT_COUNT"]],
+    ]
     found = dashboard.agg_dataset(_per_deal(spark, folder), ["owner_name", "is_won"], measures)
-    return _with_money(_with_money(found, "amount_sum"), "amount_average", scale=4)
+    return _with_money(found, "amount_sum")
 
 
 @query
