@@ -34,19 +34,21 @@ def test_hot_company_is_split(spark, settings):
         autoBroadcastJoinThreshold="-1",
         adaptive__autoBroadcastJoinThreshold="-1",
         adaptive__skewJoin__skewedPartitionThresholdInBytes="20KB",
+        adaptive__skewJoin__skewedPartitionFactor="1.5",
         adaptive__advisoryPartitionSizeInBytes="20KB",
         adaptive__coalescePartitions__enabled="false",
     )
     n = 40_000
     rows = spark.range(n).repartition(8)
     company = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.col("id").cast("string"))
+    filled = {
+        "company_id": company,
+        "deal_id": F.col("id").cast("string"),
+        "deal_name": F.sha2(F.col("id").cast("string"), 256),  # does not compress
+    }
     latest = rows.select(
         *[
-            company.alias("company_id")
-            if f.name == "company_id"
-            else F.col("id").cast("string").alias("deal_id")
-            if f.name == "deal_id"
-            else F.lit(None).cast(f.dataType).alias(f.name)
+            filled.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name)
             for f in DEALS.fields
         ]
     )
@@ -56,8 +58,10 @@ def test_hot_company_is_split(spark, settings):
         *[F.lit(None).cast(COMPANIES[c].dataType).alias(c) for c in COMPANIES.names[2:]],
     )
     found = deals.deals_with_company(latest, companies)
-    named = found.groupBy().agg(F.count(F.lit(1)), F.count("company_name"))
-    assert tuple(named.first()) == (n, n - n // 3)
+    named = found.groupBy().agg(
+        F.count(F.lit(1)), F.count("company_name"), F.count_distinct("deal_name")
+    )
+    assert tuple(named.collect()[0]) == (n, n - n // 3, n)
     assert "skew=true" in physical(named)
 
 
