@@ -88,16 +88,24 @@ def local_midnight(day: date, zone: str) -> datetime:
     return datetime.combine(day, time(), ZoneInfo(zone)).astimezone(timezone.utc)
 
 
-def near_weeks(ts: Column, weeks: list[date], zone: str) -> Column:
-    """Wide instant range around the weeks, with a day to spare on both sides.
+def month_end(month: date) -> date:
+    return add_months(month, 1) - timedelta(days=1)
+
+
+def near_days(ts: Column, first: date, last: date, zone: str) -> Column:
+    """Wide instant range around local days, with a day to spare on both sides.
 
-    It is meant to be pushed down to the scan; the exact local week is filtered after it.
+    It is meant to be pushed down to the scan; the exact local date is filtered after it.
     """
-    low = local_midnight(weeks[0] - timedelta(days=1), zone)
-    high = local_midnight(weeks[-1] + timedelta(days=8), zone)
+    low = local_midnight(first - timedelta(days=1), zone)
+    high = local_midnight(last + timedelta(days=2), zone)
     return ts.between(F.lit(low), F.lit(high))
 
 
+def near_weeks(ts: Column, weeks: list[date], zone: str) -> Column:
+    return near_days(ts, weeks[0], weeks[-1] + timedelta(days=6), zone)
+
+
 def near_weeks_dt(dt: Column, weeks: list[date], slack_days: int) -> Column:
     """Partition filter on ``dt`` for the weeks; rows without ``dt`` stay."""
     low = weeks[0] - timedelta(days=slack_days)

@@ -7,6 +7,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dealscope.session import ensure_checkpoints
+
 # Rows of a key that a custom resolver folds at once, and the range partitions of longer keys.
 _SECTION = 1024
 _PARTITION_ROWS = 100_000
@@ -76,6 +78,8 @@ def _fold_per_key(
         F.struct(*columns).alias("_row"),
     )
     longest, total = _key_sizes(rows)
+    if longest > _SECTION:
+        ensure_checkpoints(rows.sparkSession)
     while longest > _SECTION:
         # Enough rows per partition that every pass shrinks a long key a lot.
         partitions = min(_MAX_PARTITIONS, total // _PARTITION_ROWS + 1)

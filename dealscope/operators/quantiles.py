@@ -35,7 +35,7 @@ def exact_quantiles(
     mass = (
         _with_group(rows, splits, keys)
         .groupBy(*keys, _place(len(sides)).alias("_place"))
-        .agg(F.count(F.lit(1)).alias("_count"), F.first("_splits").alias("_splits"))
+        .agg(F.count(F.lit(1)).alias("_count"))
     )
     group = Window.partitionBy(*keys)
     mass = mass.withColumn("n", F.sum("_count").over(group)).withColumn(
@@ -51,7 +51,6 @@ def exact_quantiles(
         .select(
             *keys,
             "_place",
-            "_splits",
             "n",
             "_i",
             (F.col("_position") - F.col("_low")).alias("_share"),
@@ -59,9 +58,8 @@ def exact_quantiles(
         )
     )
     # One row per group again: its split points, and the few intervals to look into.
-    guide = wanted.groupBy(*keys).agg(
-        F.first("_splits").alias("_splits"), F.collect_set("_place").alias("_sought")
-    )
+    sought = wanted.groupBy(*keys).agg(F.collect_set("_place").alias("_sought"))
+    guide = _with_group(splits, sought, keys)
     inside = (
         _with_group(rows, guide, keys)
         .withColumn("_place", _place(len(sides)))
@@ -71,7 +69,7 @@ def exact_quantiles(
     )
     interval = Window.partitionBy(*keys, "_place").orderBy("_v")
     ranked = inside.withColumn("_before", _count_before(interval))
-    targets = wanted.drop("_splits").withColumnsRenamed({k: f"r_{k}" for k in [*keys, "_place"]})
+    targets = wanted.withColumnsRenamed({k: f"r_{k}" for k in [*keys, "_place"]})
     found = ranked.join(targets, _same([*keys, "_place"])).filter(_holds_rank())
 
     per_group = found.groupBy(*keys, "n").agg(

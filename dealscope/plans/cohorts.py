@@ -7,12 +7,20 @@ form. There is no grid to build by joins and no window for the running totals.
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dealscope import vocabulary as V
 from dealscope.config import SalesConfig
-from dealscope.functions.calendar import cohort_month, cohorts, month_label
+from dealscope.functions.calendar import (
+    cohort_month,
+    cohorts,
+    month_end,
+    month_label,
+    near_days,
+)
 from dealscope.operators.lookup import with_owner_name
 
 
@@ -27,39 +35,48 @@ def _cohort_deals(latest: DataFrame, config: SalesConfig) -> DataFrame:
         month = cohort_month(F.col(column), config)
         return F.when(month.between(F.lit(months[0]), F.lit(months[-1])), month)
 
-    return latest.select(
-        "owner_id",
-        month_of("created_at").alias("cohort_month"),
-        F.coalesce(month_of("closed_won_at"), month_of("closed_lost_at")).alias("closed_month"),
-    ).filter(F.col("cohort_month").isNotNull())
+    return (
+        latest.filter(near_days(F.col("created_at"), months[0], month_end(months[-1]), config.zone))
+        .select(
+            "owner_id",
+            month_of("created_at").alias("cohort_month"),
+            F.coalesce(month_of("closed_won_at"), month_of("closed_lost_at")).alias("closed_month"),
+        )
+        .filter(F.col("cohort_month").isNotNull())
+    )
 
 
 def _matrix(deals: DataFrame, config: SalesConfig, *keys: str) -> DataFrame:
     """Long cohort matrix per key: cells of the months from each cohort's month on."""
     months = cohorts(config)
     cells = [(c, m) for c in months for m in months if m >= c]
-    is_cohort = {c: F.col("cohort_month") == F.lit(c) for c in months}
-    totals = {c: F.count_if(is_cohort[c]).alias(f"total_{c:%Y_%m}") for c in months}
-    closed = {
-        (c, m): F.count_if(is_cohort[c] & (F.col("closed_month") == F.lit(m))).alias(
-            f"closed_{c:%Y_%m}_{m:%Y_%m}"
-        )
-        for c, m in cells
-    }
-    counted = deals.groupBy(*keys).agg(*totals.values(), *closed.values())
-
-    def cell(c, m) -> Column:
-        so_far = [F.col(f"closed_{c:%Y_%m}_{x:%Y_%m}") for x in months if c <= x <= m]
-        cumulative = sum(so_far[1:], so_far[0])
-        return F.struct(
-            F.lit(c).alias("cohort_month"),
-            F.lit(m).alias("month_start"),
-            F.col(f"total_{c:%Y_%m}").alias("total_deals"),
-            so_far[-1].alias("closed_in_month"),
-            cumulative.alias("cumulative_closed"),
+
+    def total(c: date) -> str:
+        return f"total_{c:%Y_%m}"
+
+    def closed(c: date, m: date) -> str:
+        return f"closed_{c:%Y_%m}_{m:%Y_%m}"
+
+    counted = deals.groupBy(*keys).agg(
+        *[F.expr(f"count_if(cohort_month = DATE '{c}') AS {total(c)}") for c in months],
+        *[
+            F.expr(
+                f"count_if(cohort_month = DATE '{c}' AND closed_month = DATE '{m}')"
+                f" AS {closed(c, m)}"
+            )
+            for c, m in cells
+        ],
+    )
+
+    def cell(c: date, m: date) -> str:
+        so_far = " + ".join(closed(c, x) for x in months if c <= x <= m)
+        return (
+            f"named_struct('cohort_month', DATE '{c}', 'month_start', DATE '{m}', "
+            f"'total_deals', {total(c)}, 'closed_in_month', {closed(c, m)}, "
+            f"'cumulative_closed', {so_far})"
         )
 
-    long = counted.select(*keys, F.inline(F.array(*[cell(c, m) for c, m in cells])))
+    long = counted.selectExpr(*keys, f"inline(array({', '.join(cell(c, m) for c, m in cells)}))")
     percent = F.round(F.col("cumulative_closed") * 100.0 / F.col("total_deals")).cast("int")
     return long.withColumn(
         "cumulative_pct", F.when(F.col("total_deals") > 0, percent).otherwise(0)

@@ -7,7 +7,14 @@ from pyspark.sql import functions as F
 
 from dealscope import vocabulary as V
 from dealscope.config import SalesConfig
-from dealscope.functions.calendar import add_months, local_date, month_label, months_between, spine
+from dealscope.functions.calendar import (
+    local_date,
+    month_end,
+    month_label,
+    months_between,
+    near_days,
+    spine,
+)
 
 
 def _gap(start: Column, end: Column) -> Column:
@@ -22,18 +29,21 @@ def deal_kpis_monthly_v2(clean: DataFrame, config: SalesConfig) -> DataFrame:
     One pass over the deals: each becomes up to four events, and the events are aggregated
     by month. Map-side aggregation leaves a few rows per task to shuffle.
     """
-    day = {
-        name: local_date(F.col(column), config.zone)
-        for name, column in {
-            "created": "created_at",
-            "op": "op_detected_at",
-            "prep": "proposal_prep_at",
-            "sent": "proposal_sent_at",
-            "won": "closed_won_at",
-        }.items()
+    times = {
+        "op": "op_detected_at",
+        "prep": "proposal_prep_at",
+        "sent": "proposal_sent_at",
+        "won": "closed_won_at",
     }
+    last_day = month_end(config.as_of)
+    near = [near_days(F.col(t), config.first_month, last_day, config.zone) for t in times.values()]
     # A documented win is exactly a deal with a won date, so the quality class adds nothing.
-    days = clean.select(*[column.alias(name) for name, column in day.items()])
+    days = clean.filter(near[0] | near[1] | near[2] | near[3]).select(
+        *[
+            local_date(F.col(column), config.zone).alias(name)
+            for name, column in {"created": "created_at", **times}.items()
+        ]
+    )
 
     def event(name: str, day_column: str, gap: Column, cycle: Column | None = None) -> Column:
         no_cycle = F.lit(None).cast("int")
@@ -60,8 +70,7 @@ def deal_kpis_monthly_v2(clean: DataFrame, config: SalesConfig) -> DataFrame:
             )
         )
     )
-    last_month = add_months(config.as_of, 0)
-    in_spine = F.col("month_start").between(F.lit(config.first_month), F.lit(last_month))
+    in_spine = F.col("month_start").between(F.lit(config.first_month), F.lit(last_day))
 
     def only(name: str, column: str) -> Column:
         return F.when(F.col("event") == name, F.col(column))

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 # Runtime settings. Landing timestamps are UTC. Adaptive execution splits hot join
 # partitions and rebalances writes. The JVM only compiles methods below 8000 bytes, so the
@@ -17,6 +19,10 @@ REQUIRED = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
+# Parquet is about a third of the rows' size in a shuffle.
+_STORED_BYTES_PER_PARTITION = 64 * 1024 * 1024
+_MAX_PARTITIONS = 50_000
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session made elsewhere."""
@@ -49,6 +55,29 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def ensure_checkpoints(spark: SparkSession) -> None:
+    """Make ``DataFrame.checkpoint`` write to the shared folder."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+
+
+@lru_cache(maxsize=64)
+def _stored_bytes(spark: SparkSession, path: str) -> int:
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.agg(F.sum("length")).first()[0] or 0
+
+
+def size_shuffles(spark: SparkSession, path: str) -> None:
+    """Start shuffles with as many partitions as the input's stored size calls for.
+
+    Adaptive execution merges small partitions but cannot add any, and the default of 200
+    would give each task of a 100 TB shuffle half a terabyte.
+    """
+    wanted = min(_stored_bytes(spark, path) // _STORED_BYTES_PER_PARTITION, _MAX_PARTITIONS)
+    partitions = max(wanted, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """New, unused path below the shared folder."""
     return f"{shared_folder(spark)}/dealscope/{name}-{uuid.uuid4().hex}"

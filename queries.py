@@ -22,7 +22,7 @@ from dealscope.plans import dashboard, jobs
 from dealscope.plans.activities import with_activity_category
 from dealscope.plans.views import VIEWS, ViewLayer
 from dealscope.schemas import ACTIVITIES, COMPANIES, CONTACTS
-from dealscope.session import configure, fresh_path
+from dealscope.session import configure, fresh_path, size_shuffles
 from dealscope.sources import catalog, curated, raw
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,7 +43,9 @@ def query(function: Query) -> Query:
     """Register a query under its function's name, with the session set up first."""
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return function(configure(spark), folder)
+        configure(spark)
+        size_shuffles(spark, folder)
+        return function(spark, folder)
 
     QUERIES[function.__name__] = run
     return function

@@ -108,3 +108,31 @@ def test_last_weeks_prune_partitions_and_columns(spark):
     pushed = scan[scan.index("PushedFilters") :]
     assert "owner_id" in pushed
     assert "task_subject" not in scan
+
+
+def test_shuffles_are_sized_by_the_input(spark, settings, monkeypatch):
+    from dealscope import session
+
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    settings(adaptive__coalescePartitions__initialPartitionNum="4")
+    session.size_shuffles(spark, FOLDER)
+    assert spark.conf.get(key) == "4"
+    monkeypatch.setattr(session, "_stored_bytes", lambda *_: 100 * 10**9)
+    session.size_shuffles(spark, FOLDER)
+    assert spark.conf.get(key) == "1490"
+    monkeypatch.setattr(session, "_stored_bytes", lambda *_: 100 * 10**12)
+    session.size_shuffles(spark, FOLDER)
+    assert spark.conf.get(key) == "50000"
+
+
+def test_a_maintained_latest_table_is_filtered_at_the_scan(spark):
+    path = fresh_path(spark, "deals_latest")
+    deals.deals_latest(adapter.deals(spark, FOLDER)).write.parquet(path)
+    tables = {**adapter.tables(spark, FOLDER), "deals_latest": read_curated(spark, path, DEALS)}
+    layer = ViewLayer(spark, tables, adapter.CONFIG)
+    for name in ("deal_kpis_monthly_v2", "deal_kpis_weekly_last3", "deal_cohort_closing_rates"):
+        plan = physical(layer.frame(name))
+        scan = next(line for line in plan.splitlines() if "FileScan" in line)
+        assert "GreaterThanOrEqual(" in scan[scan.index("PushedFilters") :], name
+        assert "Window" not in plan, name
+        assert "deal_name" not in scan, name
