@@ -11,7 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from dealscope.operators.dedupe import latest_per_key
-from dealscope.sources.curated import overwrite_dataset, overwrite_partitions, read_curated
+from dealscope.sources.curated import (
+    COMPRESSION,
+    overwrite_dataset,
+    overwrite_partitions,
+    read_curated,
+)
 
 # Partition values that go into the plan as literals; more of them are joined instead.
 _LITERAL_PARTITIONS = 1000
@@ -42,7 +47,7 @@ def merge_upsert(
     """
     spark = df.sparkSession
     partition_cols = list(partition_cols)
-    incoming = _stage(df, f"{path}_incoming", partition_cols)
+    incoming = _stage(df, f"{path}_incoming")
     existing = _read_existing(spark, path, incoming.schema, partition_cols)
     if existing is None:
         affected = None
@@ -58,7 +63,7 @@ def merge_upsert(
         )
     order = [F.col("_incoming").desc(), *latest_first]
     result = latest_per_key(merged, [primary_key], order).drop("_incoming")
-    staged = _stage(result, f"{path}_staging", partition_cols)
+    staged = _stage(result, f"{path}_staging")
     emptied = []
     if existing is not None and global_key:
         emptied = _emptied_folders(existing, affected, staged, partition_cols)
@@ -69,9 +74,12 @@ def merge_upsert(
         staged.drop(*partition_cols).limit(0).write.mode("overwrite").parquet(folder)
 
 
-def _stage(df: DataFrame, path: str, partition_cols: list[str]) -> DataFrame:
-    """Write to a folder beside the table, replacing an earlier run's, and read it back."""
-    overwrite_dataset(df, path, partition_cols)
+def _stage(df: DataFrame, path: str) -> DataFrame:
+    """Write to a folder beside the table, replacing an earlier run's, and read it back.
+
+    The copy is not partitioned, so it is written where its rows are, without a shuffle.
+    """
+    df.write.mode("overwrite").option("compression", COMPRESSION).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
