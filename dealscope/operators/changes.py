@@ -25,9 +25,7 @@ class SyncWindow:
 
 
 def _within(ts: Column, since: datetime | None, until: datetime) -> Column:
-    if since is None:
-        return F.lit(False)
-    return F.coalesce(ts.between(F.lit(since), F.lit(until)), F.lit(False))
+    return F.lit(False) if since is None else ts.between(F.lit(since), F.lit(until))
 
 
 def select_changes(
@@ -43,10 +41,7 @@ def select_changes(
     """
     in_created = _within(created, window.created_since, until)
     in_modified = _within(modified, window.modified_since, until)
-    sets = F.filter(
-        F.array(F.when(in_created, F.lit(0)), F.when(in_modified, F.lit(1))),
-        lambda change_set: change_set.isNotNull(),
-    )
+    sets = F.array_compact(F.array(F.when(in_created, F.lit(0)), F.when(in_modified, F.lit(1))))
     return rows.filter(in_created | in_modified).withColumn("change_set", F.explode(sets))
 
 

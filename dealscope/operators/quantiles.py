@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 # Size of the sketch that proposes the split points, and their distance from each quantile.
-_ACCURACY = 1000
-_MARGIN = 0.005
+_ACCURACY = 5000
+_MARGIN = 0.0005
 
 
 def exact_quantiles(
@@ -21,7 +21,7 @@ def exact_quantiles(
     proposes two split points around each quantile; the values are then counted per
     interval between the split points. Whatever the sketch said, these counts are exact
     and name the interval each wanted rank lies in, and only the values of those intervals,
-    about one percent of a group, are ranked.
+    about a thousandth of a group, are ranked.
     """
     keys = list(group_cols)
     rows = df.select(*keys, F.col(value).cast("double").alias("_v")).filter("_v IS NOT NULL")
@@ -85,9 +85,10 @@ def _with_group(rows: DataFrame, per_group: DataFrame, keys: Sequence[str]) -> D
     Null-safe keys are also what has both sides shuffled right before the join, so adaptive
     execution can split a hot group.
     """
+    if keys == ["_all"]:  # one group: its single row is a scalar subquery
+        columns = [name for name in per_group.columns if name not in keys]
+        return rows.withColumns({name: per_group.select(name).scalar() for name in columns})
     right = per_group.withColumnsRenamed({key: f"r_{key}" for key in keys})
-    if keys == ["_all"]:
-        right = F.broadcast(right)  # a single row
     return rows.join(right, _same(keys)).drop(*[f"r_{key}" for key in keys])
 
 

@@ -191,8 +191,8 @@ def kpi_target(df: DataFrame, value: Column, target: Column) -> DataFrame:
 
 def quartile_band(df: DataFrame, value: str, band: str = "band") -> DataFrame:
     """Mark aggregated rows as TOP_25_PERCENT, BOTTOM_25_PERCENT or MIDDLE by a measure."""
-    cuts = exact_quantiles(df, [], value, [0.25, 0.75]).select(F.col("quantiles").alias("_cuts"))
-    banded = df.join(F.broadcast(cuts), how="left")  # a single row of cut points
+    cuts = exact_quantiles(df, [], value, [0.25, 0.75]).select("quantiles").scalar()
+    banded = df.withColumn("_cuts", cuts)
     measured = F.col(value).cast("double")
     return banded.withColumn(
         band,

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from dealscope.config import SalesConfig
 from dealscope.plans import activities, cohorts, deals, monthly, weekly
@@ -66,6 +67,28 @@ VIEWS = {
     ),
 }
 
+# Order in which a view's rows are presented; views not listed have none.
+PRESENTATION = {
+    "deal_kpis_monthly": [("month_start", "DESC"), ("owner_name", "ASC")],
+    "deal_kpis_monthly_v2": [("month_start", "ASC")],
+    "deal_kpis_monthly_transposed": [("sort_order", "ASC"), ("month_start", "ASC")],
+    "deal_kpis_weekly_last3": [("week_start", "ASC")],
+    "deal_kpis_weekly_last3_by_owner": [("owner_name", "ASC"), ("week_start", "ASC")],
+    "deal_kpis_weekly_last3_transposed": [("week_start", "ASC"), ("sort_order", "ASC")],
+    "deal_cohort_closing_rates": [("cohort_month", "ASC"), ("month_start", "ASC")],
+    "deal_cohort_closing_rates_by_owner": [
+        ("owner_name", "ASC"),
+        ("cohort_month", "ASC"),
+        ("month_start", "ASC"),
+    ],
+    "deal_cohort_closing_rates_transposed": [("cohort_month", "ASC"), ("month_start", "ASC")],
+    "deal_cohort_closing_rates_by_owner_transposed": [
+        ("owner_name", "ASC"),
+        ("cohort_month", "ASC"),
+        ("month_start", "ASC"),
+    ],
+}
+
 
 class ViewLayer:
     """Views over curated tables given by name, as frames or as functions that make them."""
@@ -94,6 +117,15 @@ class ViewLayer:
             self._frames[name] = function(*values)
         return self._frames[name]
 
+    def presented(self, name: str) -> DataFrame:
+        """View in its presentation order, nulls last; sorting is left out of ``frame``."""
+        order = PRESENTATION.get(name, [])
+        columns = [
+            F.asc_nulls_last(column) if direction == "ASC" else F.desc_nulls_last(column)
+            for column, direction in order
+        ]
+        return self.frame(name).orderBy(*columns) if columns else self.frame(name)
+
     def materialize(self, name: str) -> DataFrame:
         """Write a view to the shared folder and let later views read it from there.
 

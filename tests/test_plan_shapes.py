@@ -136,3 +136,21 @@ def test_a_maintained_latest_table_is_filtered_at_the_scan(spark):
         assert "GreaterThanOrEqual(" in scan[scan.index("PushedFilters") :], name
         assert "Window" not in plan, name
         assert "deal_name" not in scan, name
+
+
+def test_changes_and_bands_reach_the_scan_without_joins(spark):
+    from dealscope.operators.changes import SyncWindow, select_changes
+    from dealscope.plans.dashboard import quartile_band
+
+    path = fresh_path(spark, "deals")
+    adapter.deals(spark, FOLDER).write.parquet(path)
+    rows = read_curated(spark, path, DEALS)
+    window = SyncWindow(True, frames.utc("2024-01-01"), frames.utc("2024-01-01"))
+    times = F.col("created_at"), F.col("last_modified_at")
+    plan = physical(select_changes(rows, *times, window, frames.utc("2024-01-24")))
+    scan = next(line for line in plan.splitlines() if "FileScan" in line)
+    assert "Or(And(GreaterThanOrEqual(created_at" in scan[scan.index("PushedFilters") :]
+
+    banded = quartile_band(rows.groupBy("owner_id").agg(F.count("*").alias("n")), "n")
+    assert "NestedLoop" not in physical(banded)
+    assert "CartesianProduct" not in physical(banded)

@@ -275,3 +275,21 @@ def test_all_views_register_in_sql(spark):
     for name in VIEWS:
         assert spark.table(name).columns
     assert spark.sql("SELECT count(*) AS n FROM deals_latest").first()["n"] == 1
+
+
+def test_presentation_order(spark):
+    d = frames.deals(
+        spark,
+        {"deal_id": "1", "owner_id": "b", "created_at": "2024-01-01"},
+        {"deal_id": "2", "owner_id": "a", "created_at": "2024-01-01"},
+        {"deal_id": "3", "created_at": "2024-01-01"},
+        {"deal_id": "4", "owner_id": "a", "created_at": "2024-02-01"},
+    )
+    layer = ViewLayer(spark, {"deals": d, "owners": frames.owners(spark)}, CONFIG)
+    found = layer.presented("deal_kpis_monthly").collect()
+    assert [(r["month_start"].month, r["owner_name"]) for r in found] == [
+        (2, "a"),
+        (1, "a"),
+        (1, "b"),
+        (1, None),
+    ]
