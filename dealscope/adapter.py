@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from dealscope.config import SalesConfig
 from dealscope.schemas import ACTIVITIES
-from dealscope.vocabulary import STAGE_CODES
+from dealscope.vocabulary import DEAL_PROPERTIES, STAGE_CODES
 
 CONFIG = SalesConfig(
     as_of=date(2024, 1, 24),
@@ -212,7 +212,7 @@ def raw_deals(spark: SparkSession, folder: str) -> DataFrame:
     properties = F.struct(
         F.when(k % 11 != 0, F.col("deal_name")).alias("dealname"),
         F.col("deal_stage").alias("dealstage"),
-        F.col("owner_id").alias("hubspot_owner_id"),
+        F.col("owner_id").alias(DEAL_PROPERTIES["owner_id"]),
         F.col("amount").alias("amount"),
         F.when(k % 2 == 0, _millis("created_at")).otherwise(_iso("created_at")).alias("createdate"),
         F.when(k % 13 == 0, F.lit("someday")).otherwise(_iso("closed_at")).alias("closedate"),
@@ -263,7 +263,7 @@ def raw_activities(spark: SparkSession, folder: str) -> DataFrame:
         F.when(k % 4 == 0, F.lit("")).otherwise(_iso("last_modified_at")).alias(
             "hs_lastmodifieddate"
         ),
-        F.when(k % 9 == 0, F.lit("")).otherwise(F.col("owner_id")).alias("hubspot_owner_id"),
+        F.when(k % 9 == 0, F.lit("")).otherwise(F.col("owner_id")).alias(DEAL_PROPERTIES["owner_id"]),
         F.lit("creator").alias("hs_created_by"),
         F.when(k % 8 == 0, _iso("created_at")).alias("hs_timestamp"),
         of("communications", f"IF(k % 5 = 0, 'CARRIER_PIGEON', {_CHANNEL})").alias(
@@ -298,7 +298,7 @@ def raw_activities(spark: SparkSession, folder: str) -> DataFrame:
 def raw_contacts(spark: SparkSession, folder: str) -> DataFrame:
     c = contacts(spark, folder)
     properties = F.struct(
-        F.col("owner_id").alias("hubspot_owner_id"),
+        F.col("owner_id").alias(DEAL_PROPERTIES["owner_id"]),
         "firstname",
         "lastname",
         "email",

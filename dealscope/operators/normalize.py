@@ -90,25 +90,23 @@ def _parsed(texts: DataFrame, columns: Sequence[str], partition_by: str) -> Data
     return parsed.withColumn("dt", partition_date(F.col(partition_by)))
 
 
+def _picked(properties: dict[str, str]) -> list[Column]:
+    return [prop(name).alias(column) for column, name in properties.items()]
+
+
 def normalize_deals(raw: DataFrame) -> DataFrame:
+    properties = dict(V.DEAL_PROPERTIES)
     # A missing name is empty, one given as null stays null.
-    has_name = F.coalesce(F.map_contains_key("properties", F.lit("dealname")), F.lit(False))
+    name = properties.pop("deal_name")
+    has_name = F.coalesce(F.map_contains_key("properties", F.lit(name)), F.lit(False))
+    stages = {column: V.STAGE_CODES[stage] for column, stage in V.STAGE_TIMES.items()}
     texts = raw.select(
         F.col("id").alias("deal_id"),
-        F.when(has_name, prop("dealname")).otherwise("").alias("deal_name"),
-        prop("hubspot_owner_id").alias("owner_id"),
-        first_associated_id("companies").alias("company_id"),
-        first_associated_id("contacts").alias("contact_id"),
-        prop("dealstage").alias("deal_stage"),
-        blank_to_null(prop("createdate")).alias("created_at"),
-        blank_to_null(prop("closedate")).alias("closed_at"),
-        blank_to_null(prop("hs_lastmodifieddate")).alias("last_modified_at"),
-        prop("amount").alias("amount"),
-        stage_entry_text(V.STAGE_CODES["op"]).alias("op_detected_at"),
-        stage_entry_text(V.STAGE_CODES["prep"]).alias("proposal_prep_at"),
-        stage_entry_text(V.STAGE_CODES["sent"]).alias("proposal_sent_at"),
-        stage_entry_text(V.STAGE_CODES["won"]).alias("closed_won_at"),
-        stage_entry_text(V.STAGE_CODES["lost"]).alias("closed_lost_at"),
+        F.when(has_name, prop(name)).otherwise("").alias("deal_name"),
+        first_associated_id(V.ASSOCIATED_COMPANIES).alias("company_id"),
+        first_associated_id(V.ASSOCIATED_CONTACTS).alias("contact_id"),
+        *_picked(properties),
+        *[stage_entry_text(code).alias(column) for column, code in stages.items()],
         first_filled_prop(V.DEAL_SOURCE_PROPERTIES).alias("source"),
     )
     times = [f.name for f in DEALS.fields if f.dataType.typeName() == "timestamp"]
@@ -117,12 +115,14 @@ def normalize_deals(raw: DataFrame) -> DataFrame:
 
 def normalize_activities(raw: DataFrame) -> DataFrame:
     """All six object types in one pass; ``object_type`` tells them apart."""
+    names = V.ACTIVITY_PROPERTIES
+    modified = first_filled_prop([names["last_modified_at"], names["created_at"]])
     texts = raw.filter(F.col("object_type").isin(list(V.DEFAULT_ACTIVITY_TYPE))).select(
         F.col("id").alias("activity_id"),
         activity_type().alias("activity_type"),
-        blank_to_null(prop("hubspot_owner_id")).alias("owner_id"),
-        blank_to_null(prop("hs_createdate")).alias("created_at"),
-        first_filled_prop(["hs_lastmodifieddate", "hs_createdate"]).alias("last_modified_at"),
+        blank_to_null(prop(names["owner_id"])).alias("owner_id"),
+        prop(names["created_at"]).alias("created_at"),
+        modified.alias("last_modified_at"),
         *activity_metadata(),
     )
     return _parsed(texts, ["created_at", "last_modified_at"], "created_at").select(
@@ -136,30 +136,19 @@ def keep_dated_distinct(rows: DataFrame) -> DataFrame:
 
 
 def normalize_contacts(raw: DataFrame) -> DataFrame:
-    texts = raw.select(
-        F.col("id").alias("contact_id"),
-        prop("hubspot_owner_id").alias("owner_id"),
-        prop("firstname").alias("firstname"),
-        prop("lastname").alias("lastname"),
-        prop("email").alias("email"),
-        blank_to_null(prop("createdate")).alias("created_at"),
-        blank_to_null(prop("lastmodifieddate")).alias("last_modified_at"),
-    )
+    texts = raw.select(F.col("id").alias("contact_id"), *_picked(V.CONTACT_PROPERTIES))
     return _parsed(texts, ["created_at", "last_modified_at"], "created_at").select(
         *CONTACTS.names
     )
 
 
 def normalize_companies(raw: DataFrame) -> DataFrame:
-    created = iso_to_utc(prop("createdate"))
-    modified = iso_to_utc(prop("hs_lastmodifieddate"))
-    return raw.select(
-        F.col("id").alias("company_id"),
-        prop("name").alias("name"),
-        created.alias("created_at"),
-        modified.alias("last_modified_at"),
-        partition_date(F.coalesce(modified, created)).alias("dt"),
-    ).select(*COMPANIES.names)
+    """Companies; their times come in ISO form only, and the partition is that of the change."""
+    texts = raw.select(F.col("id").alias("company_id"), *_picked(V.COMPANY_PROPERTIES))
+    times = ["created_at", "last_modified_at"]
+    parsed = texts.withColumns({name: iso_to_utc(F.col(name)) for name in times})
+    dt = partition_date(F.coalesce("last_modified_at", "created_at"))
+    return parsed.withColumn("dt", dt).select(*COMPANIES.names)
 
 
 def normalize_owners(raw: DataFrame) -> DataFrame:
@@ -192,44 +181,49 @@ def flatten_pipelines(raw: DataFrame) -> DataFrame:
 
 def normalize_activities_alternate(raw: DataFrame) -> DataFrame:
     """Slim activity table: display name of the type, raw time, owner and channel."""
-    channel = first_filled_prop(["hs_communications_channel", "hs_channel"])
     object_type = F.col("object_type")
     communication = contains_any(
-        channel, V.ALTERNATE_CHANNEL_NAMES, F.lit(V.ALTERNATE_CHANNEL_DEFAULT)
+        F.col("channel"), V.ALTERNATE_CHANNEL_NAMES, F.lit(V.ALTERNATE_CHANNEL_DEFAULT)
     )
     capitalized = F.concat(
         F.upper(F.substring(object_type, 1, 1)),
         F.lower(F.expr("substring(object_type, 2)")),
     )
     names = {k: F.lit(v) for k, v in V.ALTERNATE_ACTIVITY_NAMES.items()}
-    return raw.select(
+
+    def first_or_last(properties: Sequence[str]) -> Column:
+        """First filled property; the last one is passed on even when empty."""
+        return F.coalesce(first_filled_prop(properties[:-1]), prop(properties[-1]))
+
+    picked = raw.select(
         F.col("id").alias("activity_id"),
-        F.coalesce(by_object_type({**names, "communications": communication}), capitalized).alias(
-            "activity_type"
-        ),
-        object_type.alias("object_type"),
-        # The last choice is passed on even when empty.
-        F.coalesce(blank_to_null(prop("hs_communications_channel")), prop("hs_channel")).alias(
-            "channel"
-        ),
-        F.coalesce(blank_to_null(prop("hubspot_owner_id")), prop("hs_created_by")).alias(
-            "owner_id"
-        ),
-        F.coalesce(first_filled_prop(["hs_timestamp", "createdate"]), prop("hs_createdate")).alias(
-            "occurred_at"
-        ),
+        "object_type",
+        *[
+            first_or_last(properties).alias(column)
+            for column, properties in V.ALTERNATE_ACTIVITY_PROPERTIES.items()
+        ],
+    )
+    names["communications"] = communication
+    return picked.select(
+        "activity_id",
+        F.coalesce(by_object_type(names), capitalized).alias("activity_type"),
+        "object_type",
+        "channel",
+        "owner_id",
+        "occurred_at",
     )
 
 
 def normalize_deals_compact(raw: DataFrame) -> DataFrame:
     """Slim deal table with a numeric amount."""
+    names = V.DEAL_PROPERTIES
     return raw.select(
         F.col("id").alias("deal_id"),
-        prop("dealname").alias("deal_name"),
-        prop("hubspot_owner_id").alias("owner_id"),
-        prop("amount").try_cast("double").alias("amount"),
-        iso_to_utc(prop("createdate")).alias("created_at"),
-        prop("dealstage").alias("dealstage"),
+        prop(names["deal_name"]).alias("deal_name"),
+        prop(names["owner_id"]).alias("owner_id"),
+        prop(names["amount"]).try_cast("double").alias("amount"),
+        iso_to_utc(prop(names["created_at"])).alias("created_at"),
+        prop(names["deal_stage"]).alias("dealstage"),
     )
 
 
@@ -244,11 +238,11 @@ def flatten_associations(raw: DataFrame, latest_first: Sequence[Column] = ()) ->
 
     def target(text: Column) -> Column:
         is_object = text.startswith("{")
-        return F.when(is_object, part(text, ["id", "toObjectId", "objectId"])).otherwise(text)
+        return F.when(is_object, part(text, V.ASSOCIATION_TO_OBJECT)).otherwise(text)
 
     source = F.coalesce(
-        part(F.col("from"), ["id", "objectId", "fromObjectId"]),
-        first_filled(F.col("fromId"), F.col("fromObjectId"), F.col("id")),
+        part(F.col("from"), V.ASSOCIATION_FROM_OBJECT),
+        first_filled(*[F.col(name) for name in V.ASSOCIATION_FROM]),
     )
     filled_to = F.when(F.size("to") > 0, F.col("to"))
     targets = F.coalesce(filled_to, F.col("toObjects"), F.array().cast("array<string>"))

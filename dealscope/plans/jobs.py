@@ -9,6 +9,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dealscope import vocabulary as V
 from dealscope.functions.parsing import parse_mixed_timestamp
 from dealscope.operators import normalize as N
 from dealscope.operators.changes import (
@@ -28,8 +29,7 @@ class SyncJob:
 
     object_type: str
     primary_key: str
-    created_property: str
-    modified_property: str
+    properties: dict[str, str]
     normalize: Callable[[DataFrame], DataFrame]
     clean: Callable[[DataFrame], DataFrame]
     # Rows that can move to another partition are looked for in all partitions.
@@ -48,16 +48,14 @@ JOBS = {
         SyncJob(
             "deals",
             "deal_id",
-            "createdate",
-            "hs_lastmodifieddate",
+            V.DEAL_PROPERTIES,
             N.normalize_deals,
             DataFrame.dropDuplicates,
         ),
         SyncJob(
             "activities",
             "activity_id",
-            "hs_createdate",
-            "hs_lastmodifieddate",
+            V.ACTIVITY_PROPERTIES,
             N.normalize_activities,
             N.keep_dated_distinct,
             raw_keys=("object_type", "id"),
@@ -65,16 +63,14 @@ JOBS = {
         SyncJob(
             "contacts",
             "contact_id",
-            "createdate",
-            "lastmodifieddate",
+            V.CONTACT_PROPERTIES,
             N.normalize_contacts,
             _as_is,
         ),
         SyncJob(
             "companies",
             "company_id",
-            "createdate",
-            "hs_lastmodifieddate",
+            V.COMPANY_PROPERTIES,
             N.normalize_companies,
             _as_is,
             global_key=True,
@@ -103,8 +99,8 @@ def sync_table(
 
     source = raw
     if window.incremental:
-        created = parse_mixed_timestamp(N.prop(job.created_property))
-        modified = parse_mixed_timestamp(N.prop(job.modified_property))
+        created = parse_mixed_timestamp(N.prop(job.properties["created_at"]))
+        modified = parse_mixed_timestamp(N.prop(job.properties["last_modified_at"]))
         changes = select_changes(raw, created, modified, window, now)
         source = latest_changes(changes, job.raw_keys, [F.desc_nulls_last(modified)])
     rows = job.clean(job.normalize(source))

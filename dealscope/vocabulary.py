@@ -13,6 +13,56 @@ STAGE_CODES = {
     "lost": "closedlost",
 }
 
+# Curated column -> property of the raw object.
+DEAL_PROPERTIES = {
+    "deal_name": "dealname",
+    "owner_id": "hubspot_owner_id",
+    "deal_stage": "dealstage",
+    "created_at": "createdate",
+    "closed_at": "closedate",
+    "last_modified_at": "hs_lastmodifieddate",
+    "amount": "amount",
+}
+ACTIVITY_PROPERTIES = {
+    "owner_id": "hubspot_owner_id",
+    "created_at": "hs_createdate",
+    "last_modified_at": "hs_lastmodifieddate",
+}
+CONTACT_PROPERTIES = {
+    "owner_id": "hubspot_owner_id",
+    "firstname": "firstname",
+    "lastname": "lastname",
+    "email": "email",
+    "created_at": "createdate",
+    "last_modified_at": "lastmodifieddate",
+}
+COMPANY_PROPERTIES = {
+    "name": "name",
+    "created_at": "createdate",
+    "last_modified_at": "hs_lastmodifieddate",
+}
+
+# Properties of the alternate activity table, in order of precedence.
+ALTERNATE_ACTIVITY_PROPERTIES = {
+    "occurred_at": ["hs_timestamp", "createdate", "hs_createdate"],
+    "owner_id": ["hubspot_owner_id", "hs_created_by"],
+    "channel": ["hs_communications_channel", "hs_channel"],
+}
+
+# Spellings of the ends of an association result, in order of precedence.
+ASSOCIATION_FROM_OBJECT = ["id", "objectId", "fromObjectId"]
+ASSOCIATION_FROM = ["fromId", "fromObjectId", "id"]
+ASSOCIATION_TO_OBJECT = ["id", "toObjectId", "objectId"]
+
+# Deal time column -> step of the sales process it is the entry of.
+STAGE_TIMES = {
+    "op_detected_at": "op",
+    "proposal_prep_at": "prep",
+    "proposal_sent_at": "sent",
+    "closed_won_at": "won",
+    "closed_lost_at": "lost",
+}
+
 # Prefixes of the stage-entry properties, preferred one first.
 STAGE_ENTRY_PREFIXES = ["hs_v2_date_entered_", "hs_date_entered_"]
 
@@ -75,6 +125,10 @@ ACTIVITY_METADATA = {
     "note_body": ("notes", ["hs_note_body"]),
 }
 
+# Names the associated objects of a deal are found under.
+ASSOCIATED_COMPANIES = "companies"
+ASSOCIATED_CONTACTS = "contacts"
+
 # Fixed value: source recorded for every communication.
 COMMUNICATION_SOURCE = "CRM_v3_Communications"
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dealscope import adapter
+from dealscope import vocabulary as V
 from dealscope.adapter import CONFIG
 from dealscope.config import SalesConfig
 from dealscope.functions import calendar, parsing
@@ -176,16 +177,9 @@ def n01_normalize_deals(spark, folder):
 
 @query
 def n02_stage_timestamps(spark, folder):
-    stages = {
-        "op": "op_detected_at",
-        "prep": "proposal_prep_at",
-        "sent": "proposal_sent_at",
-        "won": "closed_won_at",
-        "lost": "closed_lost_at",
-    }
     columns = [
-        normalize.stage_entered_at(normalize.V.STAGE_CODES[stage]).alias(name)
-        for stage, name in stages.items()
+        normalize.stage_entered_at(V.STAGE_CODES[stage]).alias(name)
+        for name, stage in V.STAGE_TIMES.items()
     ]
     return (
         raw_objects(spark, folder, "deals")
@@ -196,7 +190,7 @@ def n02_stage_timestamps(spark, folder):
 
 @query
 def n03_first_filled(spark, folder):
-    source = normalize.first_filled_prop(normalize.V.DEAL_SOURCE_PROPERTIES)
+    source = normalize.first_filled_prop(V.DEAL_SOURCE_PROPERTIES)
     return (
         raw_objects(spark, folder, "deals")
         .groupBy(F.col("id").alias("deal_id"), source.alias("source"))
@@ -219,16 +213,12 @@ def n04_first_associated_id(spark, folder):
 
 @query
 def n05_parse_mixed_timestamp(spark, folder):
-    names = {
-        "created_at": "createdate",
-        "closed_at": "closedate",
-        "last_modified_at": "hs_lastmodifieddate",
-    }
+    times = ["created_at", "closed_at", "last_modified_at"]
     return raw_objects(spark, folder, "deals").select(
         F.col("id").alias("deal_id"),
         *[
-            parsing.parse_mixed_timestamp(normalize.prop(name)).alias(column)
-            for column, name in names.items()
+            parsing.parse_mixed_timestamp(normalize.prop(V.DEAL_PROPERTIES[time])).alias(time)
+            for time in times
         ],
     )
 
@@ -299,7 +289,7 @@ def n16_flatten_associations(spark, folder):
 
 @query
 def n17_partition_date(spark, folder):
-    created = parsing.parse_mixed_timestamp(normalize.prop("createdate"))
+    created = parsing.parse_mixed_timestamp(normalize.prop(V.DEAL_PROPERTIES["created_at"]))
     return (
         raw_objects(spark, folder, "deals")
         .groupBy(parsing.partition_date(created).alias("dt"))
@@ -458,8 +448,8 @@ def s01_read_raw_objects(spark, folder):
         raw.read_raw_objects(spark, path, "deals")
         .groupBy(
             "id",
-            normalize.prop("dealstage").alias("deal_stage"),
-            normalize.prop("amount").alias("amount"),
+            normalize.prop(V.DEAL_PROPERTIES["deal_stage"]).alias("deal_stage"),
+            normalize.prop(V.DEAL_PROPERTIES["amount"]).alias("amount"),
         )
         .agg(F.count(F.lit(1)).alias("versions"))
     )

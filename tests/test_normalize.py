@@ -3,9 +3,12 @@ from pyspark.sql import functions as F
 from dealscope.operators import normalize
 from dealscope.schemas import ACTIVITIES, DEALS
 from dealscope.sources import raw as raw_source
+from dealscope.vocabulary import DEAL_PROPERTIES
 
 from .frames import raw, utc
 
+OWNER = DEAL_PROPERTIES["owner_id"]
+
 
 def lines(spark, kind, *objects):
     df = spark.createDataFrame([(o,) for o in objects], "value string")
@@ -65,7 +68,7 @@ def test_activity_columns_are_sparse(spark):
             '{"id": "1", "object_type": "tasks", "properties": {"hs_createdate": "2024-01-01"}}',
             '{"id": "2", "object_type": "communications", "properties": {'
             '"hs_communication_channel_type": "SMS", "hs_body_preview": "p",'
-            ' "hubspot_owner_id": ""}}',
+            f' "{OWNER}": ""}}}}',
             '{"id": "3", "object_type": "meals", "properties": {}}',
         )
     )
@@ -153,7 +156,7 @@ def test_alternate_activities(spark):
             ' {"hs_channel": "My LinkedIn", "hs_timestamp": "", "createdate": "x",'
             ' "hs_created_by": "me"}}',
             '{"id": "2", "object_type": "communications", "properties": {}}',
-            '{"id": "3", "object_type": "phone NOTES", "properties": {"hubspot_owner_id": "o"}}',
+            f'{{"id": "3", "object_type": "phone NOTES", "properties": {{"{OWNER}": "o"}}}}',
         )
     ).collect()
     assert [tuple(r) for r in found] == [
