@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 # Last epoch millisecond a nanosecond clock can hold; larger numbers are junk.
 _MAX_EPOCH_MILLIS = 9223372036854
-_ISO_START = r"^\s*\d{4}-\d{2}"
 
 
 def blank_to_null(value: Column) -> Column:
@@ -23,12 +22,15 @@ def first_filled(*values: Column) -> Column:
 
 def iso_to_utc(text: Column) -> Column:
     """ISO-8601 timestamp or plain date to a UTC timestamp; anything else is null."""
-    # The guard keeps out bare times, which Spark would complete with today's date.
-    return F.when(text.rlike(_ISO_START), F.try_to_timestamp(F.trim(text)))
+    # The dash after the year keeps out bare times, which Spark would complete with today's
+    # date, and bare years.
+    dated = F.substring(F.trim(text), 5, 1) == "-"
+    return F.when(dated, F.try_to_timestamp(text))
 
 
 def parse_mixed_timestamp(text: Column) -> Column:
     """Epoch milliseconds or ISO-8601 to a UTC timestamp; junk and blanks are null."""
+    # The pattern goes first: a failing try_cast costs an exception per row.
     millis = text.try_cast("bigint")
     return F.when(
         text.rlike("^[0-9]+$"),
@@ -46,6 +48,12 @@ def epoch_millis(text: Column, default: Column) -> Column:
     return F.unix_millis(F.coalesce(iso_to_utc(text), default))
 
 
+def number(text: Column) -> Column:
+    """Text to double; blanks and junk are null."""
+    # Blanks are taken out first, as they are common and a failing try_cast is slow.
+    return blank_to_null(text).try_cast("double")
+
+
 def partition_date(ts: Column) -> Column:
     """Partition key ``yyyy-MM-dd`` of a UTC timestamp."""
     return F.date_format(ts, "yyyy-MM-dd")

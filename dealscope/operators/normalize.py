@@ -16,6 +16,7 @@ from dealscope.functions.parsing import (
     contains_any,
     first_filled,
     iso_to_utc,
+    number,
     parse_mixed_timestamp,
     partition_date,
 )
@@ -221,7 +222,7 @@ def normalize_deals_compact(raw: DataFrame) -> DataFrame:
         F.col("id").alias("deal_id"),
         prop(names["deal_name"]).alias("deal_name"),
         prop(names["owner_id"]).alias("owner_id"),
-        prop(names["amount"]).try_cast("double").alias("amount"),
+        number(prop(names["amount"])).alias("amount"),
         iso_to_utc(prop(names["created_at"])).alias("created_at"),
         prop(names["deal_stage"]).alias("dealstage"),
     )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from dealscope import vocabulary as V
 from dealscope.config import SalesConfig
 from dealscope.functions.categories import deal_status_quality
+from dealscope.functions.parsing import number
 from dealscope.operators.dedupe import latest_per_key
 from dealscope.operators.lookup import lookup, with_owner_name
 from dealscope.schemas import DEALS
@@ -84,7 +85,7 @@ def _with_durations(clean: DataFrame) -> DataFrame:
         "proposal_sent_at",
         "closed_won_at",
         "closed_lost_at",
-        F.col("amount").try_cast("double").alias("amount"),
+        number(F.col("amount")).alias("amount"),
         _elapsed_days("created_at", "op_detected_at").alias("created_to_op_days"),
         _elapsed_days("op_detected_at", "proposal_prep_at").alias("op_to_prep_days"),
         _elapsed_days("proposal_prep_at", "proposal_sent_at").alias("prep_to_sent_days"),

@@ -636,7 +636,7 @@ def d08_unaggregated_table(spark, folder):
 
 def _latest_amounts(spark: SparkSession, folder: str) -> DataFrame:
     latest = view(spark, folder, "deals_latest")
-    return latest.withColumn("amount", F.col("amount").try_cast("double"))
+    return latest.withColumn("amount", parsing.number(F.col("amount")))
 
 
 @query
