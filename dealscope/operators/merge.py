@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -15,12 +17,14 @@ from dealscope.sources.curated import (
     COMPRESSION,
     overwrite_dataset,
     overwrite_partitions,
-    read_curated,
 )
 
 # Partition values that go into the plan as literals; more of them are joined instead.
 _LITERAL_PARTITIONS = 1000
 
+# Folder name of the null partition.
+_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
 
 def full_load(df: DataFrame, path: str, partition_cols: Sequence[str] = ("dt",)) -> None:
     """Full sync: the frame becomes the whole table."""
@@ -48,12 +52,12 @@ def merge_upsert(
     spark = df.sparkSession
     partition_cols = list(partition_cols)
     incoming = _stage(df, f"{path}_incoming")
-    existing = _read_existing(spark, path, incoming.schema, partition_cols)
+    affected = incoming.select(*partition_cols).distinct()
+    folders = path if global_key else _folders(path, affected, partition_cols)
+    existing = _read_existing(spark, path, folders, incoming.schema, partition_cols)
     if existing is None:
-        affected = None
         merged = incoming.withColumn("_incoming", F.lit(1))
     else:
-        affected = incoming.select(*partition_cols).distinct()
         if global_key:
             holding = _partitions_with_keys(existing, incoming, primary_key, partition_cols)
             affected = affected.union(holding).distinct()
@@ -83,17 +87,41 @@ def _stage(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _folders(path: str, affected: DataFrame, partition_cols: list[str]) -> str:
+    """Pattern for the folders of the affected partitions, so that only they are listed.
+
+    It is the whole table for several partition columns, many values or unusual ones.
+    """
+    if len(partition_cols) > 1:
+        return path
+    values = [row[0] for row in affected.take(_LITERAL_PARTITIONS + 1)]
+    names = [_NULL_PARTITION if value is None else str(value) for value in values]
+    if not names or len(names) > _LITERAL_PARTITIONS:
+        return path
+    if not all(re.fullmatch(r"[\w.-]+", name) for name in names):
+        return path
+    return f"{path}/{{{','.join(f'{partition_cols[0]}={name}' for name in names)}}}"
+
+
 def _read_existing(
-    spark: SparkSession, path: str, incoming: StructType, partition_cols: list[str]
+    spark: SparkSession,
+    path: str,
+    folders: str,
+    incoming: StructType,
+    partition_cols: list[str],
 ) -> DataFrame | None:
-    """Table as it is, with columns it has and the incoming types of the partition columns."""
-    found = read_curated(spark, path)
-    if found is None:
-        return None
-    fields = [
-        incoming[f.name] if f.name in partition_cols else f for f in found.schema.fields
-    ]
-    return read_curated(spark, path, StructType(fields))
+    """Old rows below the folders, with every column their files have.
+
+    Partition columns get the incoming types instead of types guessed from folder names.
+    """
+    try:
+        found = spark.read.options(basePath=path, mergeSchema=True).parquet(folders).schema
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+    fields = [incoming[f.name] if f.name in partition_cols else f for f in found.fields]
+    return spark.read.options(basePath=path).schema(StructType(fields)).parquet(folders)
 
 
 def _partitions_with_keys(

@@ -102,6 +102,21 @@ def test_merge_keeps_columns_of_both_sides(spark):
     ]
 
 
+def test_merge_keeps_a_column_that_only_some_files_have(spark):
+    path = fresh_path(spark, "t")
+    full_load(rows(spark, ("1", "a", "d1")), path)
+    later = rows(spark, ("2", "b", "d2"), ("3", "c", "d2")).withColumn("extra", F.lit(7))
+    curated.overwrite_partitions(later, path)
+    merge_upsert(rows(spark, ("1", "A", "d1"), ("2", "B", "d2"), ("9", "z", "d9")), path, "id")
+    found = spark.read.option("mergeSchema", True).parquet(path).orderBy("id").collect()
+    assert [(r["id"], r["v"], r["extra"]) for r in found] == [
+        ("1", "A", None),
+        ("2", "B", None),
+        ("3", "c", 7),
+        ("9", "z", None),
+    ]
+
+
 def test_merge_by_two_partition_columns(spark):
     path = fresh_path(spark, "t")
     base = rows(spark, ("1", "a", "d1"), ("2", "b", "d1")).withColumn("region", F.lit("n"))

@@ -2,6 +2,7 @@ from pyspark.sql import functions as F
 
 from dealscope.operators import normalize
 from dealscope.schemas import ACTIVITIES, DEALS
+from dealscope.session import fresh_path
 from dealscope.sources import raw as raw_source
 from dealscope.vocabulary import DEAL_PROPERTIES
 
@@ -171,3 +172,20 @@ def test_json_object_is_parsed_once(spark):
     plan = normalize.normalize_deals(raw_source.parse_raw_objects(df, "deals"))
     text = plan._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("from_json") == 1
+
+
+def test_landed_folders_give_the_object_type(spark):
+    path = fresh_path(spark, "landing")
+    df = spark.createDataFrame(
+        [
+            ('{"id": "1", "properties": {"hs_createdate": "2024-01-01"}}', "calls"),
+            ('{"id": "2", "properties": {"hs_createdate": "2024-01-02"}}', "notes"),
+            ("not json", "notes"),
+        ],
+        "value string, object_type string",
+    )
+    df.write.partitionBy("object_type").text(path)
+    found = normalize.normalize_activities(raw_source.read_raw_objects(spark, path, "activities"))
+    types = {r["activity_id"]: r["activity_type"] for r in found.collect()}
+    assert types == {"1": "CALL", "2": "NOTE", None: "NOTE"}
+    assert normalize.keep_dated_distinct(found).count() == 2
