@@ -71,7 +71,7 @@ def deals(spark: SparkSession, folder: str) -> DataFrame:
         "CAST(k AS string) AS deal_id",
         "concat('Deal ', k, IF(version = 2, ' v2', '')) AS deal_name",
         "IF(k % 37 = 0, NULL, CAST(o_custkey % 120 AS string)) AS owner_id",
-        "CAST(o_custkey AS string) AS company_id",
+        "concat(IF(k % 10 = 3, 'gone-', ''), o_custkey) AS company_id",
         "IF(k % 2 = 0, CAST(o_custkey AS string), NULL) AS contact_id",
         "CASE o_orderstatus WHEN 'F' THEN 'closedwon' WHEN 'O' THEN 'closedlost' "
         "ELSE 'appointmentscheduled' END AS deal_stage",
@@ -115,8 +115,11 @@ def contacts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def companies(spark: SparkSession, folder: str) -> DataFrame:
-    """Nine in ten customers as companies, partitioned by modification date."""
-    return _table(spark, folder, "customer").filter("c_custkey % 10 <> 0").selectExpr(
+    """Customers as companies, partitioned by modification date.
+
+    Every tenth deal names a company that does not exist.
+    """
+    return _table(spark, folder, "customer").selectExpr(
         "CAST(c_custkey AS string) AS company_id",
         "c_name AS name",
         "TIMESTAMP '2023-12-01 00:00:00' "

@@ -45,6 +45,16 @@ def select_changes(
     return rows.filter(in_created | in_modified).withColumn("change_set", F.explode(sets))
 
 
+def changed_by(
+    rows: DataFrame, created: Column, modified: Column, window: SyncWindow, until: datetime
+) -> DataFrame:
+    """Rows created or modified within the window, each once."""
+    return rows.filter(
+        _within(created, window.created_since, until)
+        | _within(modified, window.modified_since, until)
+    )
+
+
 def latest_changes(
     changes: DataFrame, keys: Sequence[str], within_set: Sequence[Column]
 ) -> DataFrame:
@@ -57,11 +67,12 @@ def latest_changes(
     return latest_per_key(keyed, keys, order).drop("change_set")
 
 
-def high_water_marks(rows: DataFrame) -> DataFrame:
-    """One row: greatest ``created_at`` and ``last_modified_at`` as ISO text, and row count.
+def mark_columns(rows: DataFrame, now: datetime | None = None) -> list[Column]:
+    """Aggregates: greatest ``created_at`` and ``last_modified_at`` as ISO text, row count.
 
     Text columns are parsed, unparsable values ignored; a missing column or no value at all
-    gives null.
+    gives null. With ``now`` a later time counts as now, so that a row dated in the future
+    cannot move a mark beyond what later runs read.
     """
 
     def mark(name: str) -> Column:
@@ -70,13 +81,27 @@ def high_water_marks(rows: DataFrame) -> DataFrame:
         column = F.col(name)
         if rows.schema[name].dataType.typeName() == "string":
             column = iso_to_utc(column)
+        if now is not None:
+            column = F.when(column > F.lit(now), F.lit(now)).otherwise(column)
         return iso_text(F.max(column))
 
-    return rows.agg(
+    return [
         mark("created_at").alias("max_created_at"),
         mark("last_modified_at").alias("max_modified_at"),
         F.count(F.lit(1)).alias("rows"),
-    )
+    ]
+
+
+def high_water_marks(rows: DataFrame, now: datetime | None = None) -> DataFrame:
+    """The marks of a frame, as one row."""
+    return rows.agg(*mark_columns(rows, now))
+
+
+def later_mark(old: str | None, new: str | None) -> str | None:
+    """The later of two marks: a stored mark never falls."""
+    if not old or not new:
+        return old or new
+    return max(old, new, key=datetime.fromisoformat)
 
 
 def sync_window(

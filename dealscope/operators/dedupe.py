@@ -2,17 +2,27 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dealscope.session import ensure_checkpoints
+# How a column of several rows becomes one value. Each is what folding the rows in order
+# gives, and each may be computed in parts: aggregates get the value and the row's place.
+COMBINE: dict[str, Callable[[Column, Column], Column]] = {
+    "first": lambda value, place: F.min_by(value, place),
+    "last": lambda value, place: F.max_by(value, place),
+    "first_filled": lambda value, place: F.min_by(value, F.when(_filled(value), place)),
+    "last_filled": lambda value, place: F.max_by(value, F.when(_filled(value), place)),
+    "min": lambda value, place: F.min(value),
+    "max": lambda value, place: F.max(value),
+    "sum": lambda value, place: F.sum(value),
+    "count": lambda value, place: F.count(value),
+}
 
-# Rows of a key that a custom resolver folds at once, and the range partitions of longer keys.
-_SECTION = 1024
-_PARTITION_ROWS = 100_000
-_MAX_PARTITIONS = 20_000
+
+def _filled(value: Column) -> Column:
+    return value.isNotNull() & (value.cast("string") != "")
 
 
 def latest_per_key(
@@ -32,16 +42,23 @@ def merge_dedupe(
     key: str | Column = "id",
     position: Sequence[Column] = (),
     timestamp: Column | None = None,
-    resolver: Callable[[Column, Column], Column] | None = None,
+    resolver: Mapping[str, str] | Column | None = None,
 ) -> DataFrame:
     """Union the inputs and keep one row per key; rows without a key are dropped.
 
     ``position`` orders the rows of one input; rows of a later input come after those of
     an earlier one. By default the last row wins. With ``timestamp`` the greatest one wins;
-    on ties, and against a null, the earlier row stays. With ``resolver`` the rows of a key
-    are folded in order: ``resolver(old, new)`` gets two row structs and returns one. It
-    has to be associative, as long runs are folded in sections.
+    on ties, and against a null, the earlier row stays.
+
+    ``resolver`` is a column or a mapping. A column scores the rows: the greatest score
+    wins, the earlier row on ties. A mapping makes a new row: it names a way of ``COMBINE``
+    for columns, the others take their last value. Both give what folding the rows of the
+    key one after the other gives, however many there are: they are aggregated with
+    map-side combine, so no task holds the rows of a hot key. Functions of two rows are
+    rejected, since nothing shows that those may be computed in parts.
     """
+    if callable(resolver) and not isinstance(resolver, (Column, Mapping)):
+        raise TypeError("a resolver is a score column or a mapping of columns to COMBINE names")
     tagged = [df.withColumn("_input", F.lit(i)) for i, df in enumerate(inputs)]
     rows = tagged[0]
     for df in tagged[1:]:
@@ -50,67 +67,35 @@ def merge_dedupe(
     key_column = F.col(key) if isinstance(key, str) else key
     rows = rows.withColumn("_key", key_column).filter(F.col("_key").isNotNull())
 
-    if resolver is not None:
-        return _fold_per_key(rows, columns, position, resolver)
-    if timestamp is not None:
-        order = [F.desc_nulls_last(timestamp), F.col("_input").asc(), *[c.asc() for c in position]]
+    if isinstance(resolver, Mapping):
+        return _combined(rows, columns, position, resolver)
+    score = timestamp if resolver is None else resolver
+    if score is not None:
+        order = [F.desc_nulls_last(score), F.col("_input").asc(), *[c.asc() for c in position]]
     else:
         order = [F.col("_input").desc(), *[c.desc() for c in position]]
-    return latest_per_key(rows, ["_key"], order).select(*columns)
+    return latest_per_key(rows, ["_key"], [*order, any_order(columns)]).select(*columns)
 
 
-def _fold_per_key(
-    rows: DataFrame,
-    columns: Sequence[str],
-    position: Sequence[Column],
-    resolver: Callable[[Column, Column], Column],
-) -> DataFrame:
-    """Fold the rows of each key in order, never more than ``_SECTION`` of them at once.
+def any_order(columns: Sequence[str]) -> Column:
+    """Order of rows that are equal in all that matters, the same in every run."""
+    return F.xxhash64(*[F.col(f"`{name}`").cast("string") for name in columns]).desc()
 
-    While some key is longer than that, a range sort lays the rows out in order, so a hot
-    key spans many partitions, and each run of neighbours is folded into one row.
-    """
-    rows = rows.select(
-        "_key",
-        F.struct(F.col("_input"), *[c.alias(f"_p{i}") for i, c in enumerate(position)]).alias(
-            "_order"
-        ),
-        F.struct(*columns).alias("_row"),
-    )
-    longest, total = _key_sizes(rows)
-    if longest > _SECTION:
-        ensure_checkpoints(rows.sparkSession)
-    while longest > _SECTION:
-        # Enough rows per partition that every pass shrinks a long key a lot.
-        partitions = min(_MAX_PARTITIONS, total // _PARTITION_ROWS + 1)
-        in_order = rows.repartitionByRange(partitions, "_key", "_order").sortWithinPartitions(
-            "_key", "_order"
-        )
-        section = F.floor(F.monotonically_increasing_id() / F.lit(_SECTION))
-        rows = _fold_groups(in_order.withColumn("_section", section), ["_key", "_section"], resolver)
-        rows = rows.drop("_section").checkpoint()
-        longest, total = _key_sizes(rows)
-    return _fold_groups(rows, ["_key"], resolver).select("_row.*")
-
-
-def _fold_groups(
-    rows: DataFrame, keys: Sequence[str], resolver: Callable[[Column, Column], Column]
+
+def _combined(
+    rows: DataFrame, columns: Sequence[str], position: Sequence[Column], ways: Mapping[str, str]
 ) -> DataFrame:
-    run = F.array_sort(
-        F.collect_list(F.struct("_order", "_row")),
-        lambda a, b: F.when(a["_order"] < b["_order"], -1)
-        .when(a["_order"] > b["_order"], 1)
-        .otherwise(0),
-    )
-    grouped = rows.groupBy(*keys).agg(run.alias("_run"))
-    first = F.col("_run")[0]
-    folded = F.reduce(
-        F.slice("_run", 2, F.size("_run")), first["_row"], lambda old, new: resolver(old, new["_row"])
+    """One aggregation per key over all rows."""
+    unknown = set(ways) - set(columns) | {w for w in ways.values() if w not in COMBINE}
+    if unknown:
+        raise ValueError(f"no such column or way to combine: {sorted(unknown)}")
+    hashed = F.xxhash64(*[F.col(f"`{name}`").cast("string") for name in columns])
+    place = F.struct(
+        F.col("_input"), *[c.alias(f"_p{i}") for i, c in enumerate(position)], hashed.alias("_h")
     )
-    return grouped.select(*keys, first["_order"].alias("_order"), folded.alias("_row"))
-
-
-def _key_sizes(rows: DataFrame) -> tuple[int, int]:
-    """Rows of the longest key, and of all keys."""
-    sizes = rows.groupBy("_key").count().agg(F.max("count"), F.sum("count")).first()
-    return sizes[0] or 0, sizes[1] or 0
+    placed = rows.withColumn("_place", place)
+    values = [
+        COMBINE[ways.get(name, "last")](F.col(f"`{name}`"), F.col("_place")).alias(name)
+        for name in columns
+    ]
+    return placed.groupBy("_key").agg(*values).select(*[f"`{name}`" for name in columns])

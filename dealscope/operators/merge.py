@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from functools import reduce
 from urllib.parse import unquote
@@ -12,73 +11,88 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from dealscope.operators.dedupe import latest_per_key
+from dealscope.operators.dedupe import any_order, latest_per_key
 from dealscope.sources.curated import (
     COMPRESSION,
     overwrite_dataset,
     overwrite_partitions,
+    remove,
 )
 
-# Partition values that go into the plan as literals; more of them are joined instead.
-_LITERAL_PARTITIONS = 1000
+# Partition values up to which they are broadcast; more are shuffled.
+_BROADCAST_PARTITIONS = 100_000
 
-# Folder name of the null partition.
-_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
+def full_load(
+    df: DataFrame, path: str, partition_cols: Sequence[str] = ("dt",), staged: bool = False
+) -> None:
+    """Full sync: the frame becomes the whole table.
 
-def full_load(df: DataFrame, path: str, partition_cols: Sequence[str] = ("dt",)) -> None:
-    """Full sync: the frame becomes the whole table."""
-    overwrite_dataset(df, path, partition_cols)
+    It is written to ``<path>_incoming`` first, unless it is ``staged`` already, so a run
+    that fails while the table is replaced can be repeated from there.
+    """
+    rows = df if staged else stage(df, f"{path}_incoming")
+    overwrite_dataset(rows, path, partition_cols)
+    if not staged:
+        remove(df.sparkSession, f"{path}_incoming")
 
 
 def merge_upsert(
     df: DataFrame,
     path: str,
-    primary_key: str,
+    primary_key: str | Sequence[str],
     partition_cols: Sequence[str] = ("dt",),
     latest_first: Sequence[Column] = (),
     global_key: bool = False,
+    staged: bool = False,
 ) -> None:
     """Merge incoming rows into the partitions they belong to.
 
     Of the affected partitions' old rows and the incoming ones, each key keeps one row:
-    an incoming one before an old one, then by ``latest_first``. Only affected partitions
-    are read and written. With ``global_key`` those holding an older copy of an incoming
+    an incoming one before an old one, then by ``latest_first``, then by a hash of the row,
+    so that ties fall alike in every run. Only affected partitions are written, and by
+    partition pruning only they are read, however many there are. With ``global_key`` those holding an older copy of an incoming
     key count as affected too, so a row that moved to another partition leaves no copy.
 
     The result is written to ``<path>_staging`` first. The table is then replaced from that
-    copy, so a run that fails half-way can be repeated without loss.
+    copy, so a run that fails half-way can be repeated without loss. Copies are removed at
+    the end; a frame that is ``staged`` is read as it is and left to the caller.
     """
     spark = df.sparkSession
     partition_cols = list(partition_cols)
-    incoming = _stage(df, f"{path}_incoming")
+    keys = [primary_key] if isinstance(primary_key, str) else list(primary_key)
+    incoming = df if staged else stage(df, f"{path}_incoming")
     affected = incoming.select(*partition_cols).distinct()
-    folders = path if global_key else _folders(path, affected, partition_cols)
-    existing = _read_existing(spark, path, folders, incoming.schema, partition_cols)
+    existing = _read_existing(spark, path, incoming.schema, partition_cols)
+    if existing is not None:
+        for name in set(keys) - set(existing.columns):  # a key column that came later
+            existing = existing.withColumn(name, F.lit(None).cast(incoming.schema[name].dataType))
     if existing is None:
         merged = incoming.withColumn("_incoming", F.lit(1))
     else:
         if global_key:
-            holding = _partitions_with_keys(existing, incoming, primary_key, partition_cols)
-            affected = affected.union(holding).distinct()
+            holding = _partitions_with_keys(existing, incoming, keys, partition_cols)
+            affected = stage(affected.union(holding).distinct(), f"{path}_affected")
         old = _in_partitions(existing, affected, partition_cols)
         merged = old.withColumn("_incoming", F.lit(0)).unionByName(
             incoming.withColumn("_incoming", F.lit(1)), allowMissingColumns=True
         )
-    order = [F.col("_incoming").desc(), *latest_first]
-    result = latest_per_key(merged, [primary_key], order).drop("_incoming")
-    staged = _stage(result, f"{path}_staging")
+    order = [F.col("_incoming").desc(), *latest_first, any_order(merged.columns)]
+    result = stage(latest_per_key(merged, keys, order).drop("_incoming"), f"{path}_staging")
     emptied = []
     if existing is not None and global_key:
-        emptied = _emptied_folders(existing, affected, staged, partition_cols)
-    overwrite_partitions(staged, path, partition_cols)
-    # A dynamic overwrite leaves partitions without new rows as they are, so the files of
-    # those whose rows have all moved are replaced by one without rows.
+        emptied = _emptied_folders(existing, affected, result, partition_cols)
+    overwrite_partitions(result, path, partition_cols)
+    # A dynamic overwrite leaves partitions without new rows as they are; the folders of
+    # those whose rows have all moved are removed, which takes no job.
     for folder in emptied:
-        staged.drop(*partition_cols).limit(0).write.mode("overwrite").parquet(folder)
+        remove(spark, folder)
+    for copy in ("incoming", "staging", "affected"):
+        if not (staged and copy == "incoming"):
+            remove(spark, f"{path}_{copy}")
 
 
-def _stage(df: DataFrame, path: str) -> DataFrame:
+def stage(df: DataFrame, path: str) -> DataFrame:
     """Write to a folder beside the table, replacing an earlier run's, and read it back.
 
     The copy is not partitioned, so it is written where its rows are, without a shuffle.
@@ -87,70 +101,48 @@ def _stage(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _folders(path: str, affected: DataFrame, partition_cols: list[str]) -> str:
-    """Pattern for the folders of the affected partitions, so that only they are listed.
-
-    It is the whole table for several partition columns, many values or unusual ones.
-    """
-    if len(partition_cols) > 1:
-        return path
-    values = [row[0] for row in affected.take(_LITERAL_PARTITIONS + 1)]
-    names = [_NULL_PARTITION if value is None else str(value) for value in values]
-    if not names or len(names) > _LITERAL_PARTITIONS:
-        return path
-    if not all(re.fullmatch(r"[\w.-]+", name) for name in names):
-        return path
-    return f"{path}/{{{','.join(f'{partition_cols[0]}={name}' for name in names)}}}"
-
-
 def _read_existing(
-    spark: SparkSession,
-    path: str,
-    folders: str,
-    incoming: StructType,
-    partition_cols: list[str],
+    spark: SparkSession, path: str, incoming: StructType, partition_cols: list[str]
 ) -> DataFrame | None:
-    """Old rows below the folders, with every column their files have.
+    """Old rows of the table, with every column their files have.
 
     Partition columns get the incoming types instead of types guessed from folder names.
     """
     try:
-        found = spark.read.options(basePath=path, mergeSchema=True).parquet(folders).schema
+        found = spark.read.option("mergeSchema", True).parquet(path).schema
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
     fields = [incoming[f.name] if f.name in partition_cols else f for f in found.fields]
-    return spark.read.options(basePath=path).schema(StructType(fields)).parquet(folders)
+    return spark.read.schema(StructType(fields)).parquet(path)
 
 
 def _partitions_with_keys(
-    existing: DataFrame, incoming: DataFrame, primary_key: str, partition_cols: list[str]
+    existing: DataFrame, incoming: DataFrame, keys: list[str], partition_cols: list[str]
 ) -> DataFrame:
-    located = existing.select(primary_key, *partition_cols)
-    return located.join(incoming, primary_key, "left_semi").select(*partition_cols)
+    located = existing.select(*keys, *partition_cols)
+    return located.join(incoming, keys, "left_semi").select(*partition_cols)
 
 
 def _in_partitions(
     existing: DataFrame, affected: DataFrame, partition_cols: list[str]
 ) -> DataFrame:
-    """Rows of the affected partitions, by a literal partition filter when they are few."""
-    values = affected.take(_LITERAL_PARTITIONS + 1)
-    if len(values) > _LITERAL_PARTITIONS:
-        joined = [existing[c].eqNullSafe(affected[c]) for c in partition_cols]
-        return existing.join(affected, reduce(Column.__and__, joined), "left_semi")
-    if not values:
-        return existing.limit(0)
-    if len(partition_cols) == 1:
-        column = F.col(partition_cols[0])
-        known = [row[0] for row in values if row[0] is not None]
-        match = column.isin(known)
-        return existing.filter(match | column.isNull() if len(known) < len(values) else match)
-    each = [
-        reduce(Column.__and__, [F.col(c).eqNullSafe(F.lit(row[c])) for c in partition_cols])
-        for row in values
-    ]
-    return existing.filter(reduce(Column.__or__, each))
+    """Rows of the affected partitions, by a semi-join that prunes at run time.
+
+    Plain equality is what partition pruning knows, so null partitions are joined apart.
+    """
+    named = reduce(Column.__and__, [F.col(c).isNotNull() for c in partition_cols])
+    wanted = affected.select(*partition_cols)
+    if wanted.limit(_BROADCAST_PARTITIONS + 1).count() <= _BROADCAST_PARTITIONS:
+        wanted = F.broadcast(wanted)
+    plain = existing.filter(named).join(wanted.filter(named), partition_cols, "left_semi")
+    others = wanted.filter(~named)
+    some_null = existing.filter(~named)
+    same = reduce(
+        Column.__and__, [some_null[c].eqNullSafe(others[c]) for c in partition_cols]
+    )
+    return plain.unionByName(some_null.join(others, same, "left_semi"))
 
 
 def _emptied_folders(

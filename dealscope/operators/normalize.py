@@ -20,7 +20,7 @@ from dealscope.functions.parsing import (
     parse_mixed_timestamp,
     partition_date,
 )
-from dealscope.operators.dedupe import latest_per_key
+from dealscope.operators.dedupe import any_order, latest_per_key
 from dealscope.schemas import ACTIVITIES, COMPANIES, CONTACTS, DEALS, OWNERS, STAGE
 
 
@@ -114,8 +114,11 @@ def normalize_deals(raw: DataFrame) -> DataFrame:
     return _parsed(texts, times, "created_at").select(*DEALS.names)
 
 
-def normalize_activities(raw: DataFrame) -> DataFrame:
-    """All six object types in one pass; ``object_type`` tells them apart."""
+def normalize_activities(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """All six object types in one pass; ``object_type`` tells them apart.
+
+    ``keep`` names raw columns that stay beside the curated ones.
+    """
     names = V.ACTIVITY_PROPERTIES
     modified = first_filled_prop([names["last_modified_at"], names["created_at"]])
     texts = raw.filter(F.col("object_type").isin(list(V.DEFAULT_ACTIVITY_TYPE))).select(
@@ -125,9 +128,10 @@ def normalize_activities(raw: DataFrame) -> DataFrame:
         prop(names["created_at"]).alias("created_at"),
         modified.alias("last_modified_at"),
         *activity_metadata(),
+        *keep,
     )
     return _parsed(texts, ["created_at", "last_modified_at"], "created_at").select(
-        *ACTIVITIES.names
+        *ACTIVITIES.names, *keep
     )
 
 
@@ -228,10 +232,10 @@ def normalize_deals_compact(raw: DataFrame) -> DataFrame:
     )
 
 
-def flatten_associations(raw: DataFrame, latest_first: Sequence[Column] = ()) -> DataFrame:
+def flatten_associations(raw: DataFrame, latest_first: Sequence[Column]) -> DataFrame:
     """``from_id`` with the array ``to_ids``, whatever spelling the result came in.
 
-    Several results for one source keep the first by ``latest_first``, if it is given.
+    A source has one row: of several results for it, the first by ``latest_first``.
     """
 
     def part(text: Column, names: Sequence[str]) -> Column:
@@ -248,8 +252,7 @@ def flatten_associations(raw: DataFrame, latest_first: Sequence[Column] = ()) ->
     filled_to = F.when(F.size("to") > 0, F.col("to"))
     targets = F.coalesce(filled_to, F.col("toObjects"), F.array().cast("array<string>"))
     flat = raw.withColumn("from_id", source).filter(F.col("from_id").isNotNull())
-    if latest_first:
-        flat = latest_per_key(flat, ["from_id"], latest_first)
+    flat = latest_per_key(flat, ["from_id"], [*latest_first, any_order(raw.columns)])
     return flat.select(
         "from_id",
         F.filter(F.transform(targets, target), lambda t: t.isNotNull()).alias("to_ids"),

@@ -2,25 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from dealscope import vocabulary as V
 from dealscope.functions.parsing import parse_mixed_timestamp
 from dealscope.operators import normalize as N
 from dealscope.operators.changes import (
-    high_water_marks,
-    latest_changes,
-    select_changes,
+    changed_by,
+    later_mark,
+    mark_columns,
     sync_window,
 )
-from dealscope.operators.merge import full_load, merge_upsert
+from dealscope.operators.dedupe import any_order, latest_per_key
+from dealscope.operators.merge import full_load, merge_upsert, stage
 from dealscope.operators.state import get_sync_state, put_sync_state
-from dealscope.sources.curated import read_curated, replace_snapshot
+from dealscope.sources.curated import remove, replace_snapshot
 
 
 @dataclass(frozen=True)
@@ -28,7 +29,8 @@ class SyncJob:
     """What tells the incremental object types apart."""
 
     object_type: str
-    primary_key: str
+    # Columns of the curated table that tell its rows apart.
+    primary_key: tuple[str, ...]
     properties: dict[str, str]
     normalize: Callable[[DataFrame], DataFrame]
     clean: Callable[[DataFrame], DataFrame]
@@ -42,34 +44,39 @@ def _as_is(rows: DataFrame) -> DataFrame:
     return rows
 
 
+def _typed_activities(rows: DataFrame) -> DataFrame:
+    """Activities of two object types may share an id, so the type stays in the table."""
+    return N.normalize_activities(rows, keep=["object_type"])
+
+
 JOBS = {
     job.object_type: job
     for job in [
         SyncJob(
             "deals",
-            "deal_id",
+            ("deal_id",),
             V.DEAL_PROPERTIES,
             N.normalize_deals,
             DataFrame.dropDuplicates,
         ),
         SyncJob(
             "activities",
-            "activity_id",
+            ("object_type", "activity_id"),
             V.ACTIVITY_PROPERTIES,
-            N.normalize_activities,
+            _typed_activities,
             N.keep_dated_distinct,
             raw_keys=("object_type", "id"),
         ),
         SyncJob(
             "contacts",
-            "contact_id",
+            ("contact_id",),
             V.CONTACT_PROPERTIES,
             N.normalize_contacts,
             _as_is,
         ),
         SyncJob(
             "companies",
-            "company_id",
+            ("company_id",),
             V.COMPANY_PROPERTIES,
             N.normalize_companies,
             _as_is,
@@ -89,63 +96,85 @@ def sync_table(
 ) -> int:
     """Bring a curated table up to the raw one and record the run; rows written.
 
-    An incremental run takes what was created or modified since the stored marks less two
-    hours, one row per id, and merges it. A first or full run replaces the table. A run
-    without rows only records that it ran.
+    Both modes have one row per raw key, its latest version; rows without an id drop out. An
+    incremental run takes what was created or modified since the stored marks less two
+    hours, and merges it. A first or full run replaces the table. The rows are computed once
+    and written beside the table; count and marks come from that write. A mark is never
+    later than ``now`` and never earlier than the stored one. A run without rows only
+    records that it ran.
     """
     job = JOBS[object_type]
     spark = raw.sparkSession
-    window = sync_window(get_sync_state(spark, state_path, object_type), incremental)
-
-    source = raw
-    if window.incremental:
-        created = parse_mixed_timestamp(N.prop(job.properties["created_at"]))
-        modified = parse_mixed_timestamp(N.prop(job.properties["last_modified_at"]))
-        changes = select_changes(raw, created, modified, window, now)
-        source = latest_changes(changes, job.raw_keys, [F.desc_nulls_last(modified)])
+    state = get_sync_state(spark, state_path, object_type)
+    window = sync_window(state, incremental)
+
+    created = parse_mixed_timestamp(N.prop(job.properties["created_at"]))
+    modified = parse_mixed_timestamp(N.prop(job.properties["last_modified_at"]))
+    source = changed_by(raw, created, modified, window, now) if window.incremental else raw
+    source = latest_version(source, job.raw_keys, [modified, created])
     rows = job.clean(job.normalize(source))
 
+    seen = Observation()
+    copy = f"{path}_incoming"
+    staged = stage(rows.observe(seen, *mark_columns(rows, now)), copy)
+    marks = seen.get
     synced_at = now.isoformat()
-    if rows.isEmpty():
+    if not marks["rows"]:
         put_sync_state(spark, state_path, object_type, synced_at)
-        return 0
-    if window.incremental:
-        latest_first = [F.desc_nulls_last("last_modified_at"), F.desc_nulls_last("created_at")]
-        merge_upsert(
-            rows,
-            path,
-            job.primary_key,
-            latest_first=latest_first,
-            global_key=job.global_key,
-        )
-        written = read_curated(spark, f"{path}_incoming", rows.schema)
     else:
-        full_load(rows, path)
-        written = read_curated(spark, path, rows.schema)
-
-    marks = high_water_marks(written).first()
-    put_sync_state(
-        spark,
-        state_path,
-        object_type,
-        synced_at,
-        marks["max_created_at"],
-        marks["max_modified_at"],
-        marks["rows"],
-    )
+        if window.incremental:
+            order = [F.desc_nulls_last("last_modified_at"), F.desc_nulls_last("created_at")]
+            merge_upsert(
+                staged,
+                path,
+                job.primary_key,
+                latest_first=order,
+                global_key=job.global_key,
+                staged=True,
+            )
+        else:
+            full_load(staged, path, staged=True)
+        before = state or {}
+        put_sync_state(
+            spark,
+            state_path,
+            object_type,
+            synced_at,
+            later_mark(before.get("last_created_at"), marks["max_created_at"]),
+            later_mark(before.get("last_modified_at"), marks["max_modified_at"]),
+            marks["rows"],
+        )
+    remove(spark, copy)
     return marks["rows"]
 
 
+def latest_version(
+    raw: DataFrame, keys: Sequence[str], times: Sequence[Column]
+) -> DataFrame:
+    """One row per key, that with the latest times; rows without an id drop out."""
+    order = [F.desc_nulls_last(time) for time in times]
+    with_id = raw.filter(F.col(keys[-1]) != "")
+    return latest_per_key(with_id, keys, [*order, any_order(raw.columns)])
+
+
 def sync_owners(raw: DataFrame, path: str) -> None:
-    """Replace the owners dimension."""
-    _replace_dimension(N.normalize_owners(raw), path)
+    """Replace the owners dimension; an owner's latest version counts."""
+    latest = latest_version(raw, ["id"], [F.col("updatedAt"), F.col("createdAt")])
+    _replace_dimension(N.normalize_owners(latest), path)
 
 
 def sync_stages(raw: DataFrame, path: str) -> None:
-    """Replace the pipeline stage dimension."""
-    _replace_dimension(N.flatten_pipelines(raw), path)
+    """Replace the pipeline stage dimension, one row per pipeline and stage."""
+    rows = N.flatten_pipelines(raw)
+    order = [any_order(rows.columns)]
+    _replace_dimension(latest_per_key(rows, ["pipeline_id", "stage_id"], order), path)
 
 
 def _replace_dimension(rows: DataFrame, path: str) -> None:
-    if not rows.isEmpty():
-        replace_snapshot(rows, path)
+    """Stage the rows and replace the table, unless there are none."""
+    seen = Observation()
+    counted = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
+    staged = stage(counted, f"{path}_incoming")
+    if seen.get["rows"]:
+        replace_snapshot(staged, path)
+    remove(rows.sparkSession, f"{path}_incoming")

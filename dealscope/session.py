@@ -21,7 +21,6 @@ REQUIRED = {
 
 # Parquet is about a third of the rows' size in a shuffle.
 _STORED_BYTES_PER_PARTITION = 64 * 1024 * 1024
-_MAX_PARTITIONS = 50_000
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -73,7 +72,7 @@ def size_shuffles(spark: SparkSession, path: str) -> None:
     Adaptive execution merges small partitions but cannot add any, and the default of 200
     would give each task of a 100 TB shuffle half a terabyte.
     """
-    wanted = min(_stored_bytes(spark, path) // _STORED_BYTES_PER_PARTITION, _MAX_PARTITIONS)
+    wanted = _stored_bytes(spark, path) // _STORED_BYTES_PER_PARTITION
     partitions = max(wanted, int(spark.conf.get("spark.sql.shuffle.partitions")))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
 

@@ -87,3 +87,9 @@ def overwrite_dataset(
 def replace_snapshot(df: DataFrame, path: str) -> None:
     """Replace an unpartitioned dimension (owners, pipeline stages)."""
     df.write.mode("overwrite").option("compression", COMPRESSION).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it is there, on whatever file system it lies."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -283,7 +283,8 @@ def n15_normalize_deals_compact(spark, folder):
 
 @query
 def n16_flatten_associations(spark, folder):
-    pairs = normalize.flatten_associations(raw_objects(spark, folder, "associations"))
+    results = raw_objects(spark, folder, "associations")
+    pairs = normalize.flatten_associations(results, [F.desc_nulls_last(F.size("to"))])
     return normalize.explode_associations(pairs)
 
 
@@ -347,10 +348,31 @@ def i03_merge_greatest_timestamp(spark, folder):
 
 @query
 def i03_merge_resolver(spark, folder):
-    def longer_name(old, new):
-        return F.when(F.length(new["deal_name"]) > F.length(old["deal_name"]), new).otherwise(old)
+    """The longer name wins."""
+    return _merged(spark, folder, resolver=F.length("deal_name"))
 
-    return _merged(spark, folder, resolver=longer_name)
+
+@query
+def i03_merge_fold_hot_key(spark, folder):
+    """Nearly all line items are versions of one key."""
+    order = F.col("l_orderkey")
+    rows = spark.read.parquet(f"{folder}/lineitem.parquet").select(
+        F.when(order % 50 == 0, F.concat(F.lit("order "), order.cast("string")))
+        .otherwise("hot")
+        .alias("id"),
+        F.col("l_returnflag").alias("first_flag"),
+        F.col("l_returnflag").alias("flag"),
+        F.when(F.col("l_linenumber") % 3 == 0, F.concat(F.lit("n"), order.cast("string")))
+        .when(F.col("l_linenumber") % 3 == 1, "")
+        .alias("note"),
+        F.col("l_quantity").cast("bigint").alias("quantity"),
+        F.col("l_extendedprice").alias("price"),
+        "l_orderkey",
+        "l_linenumber",
+    )
+    ways = {"first_flag": "first", "note": "last_filled", "quantity": "sum", "price": "max"}
+    place = [F.col("l_orderkey"), F.col("l_linenumber"), F.col("price")]
+    return merge_dedupe([rows], position=place, resolver=ways).drop("l_orderkey", "l_linenumber")
 
 
 @query
@@ -361,7 +383,12 @@ def i04_merge_upsert(spark, folder):
     k = F.col("activity_id").cast("bigint") % 5
     merge.full_load(rows.filter(k != 3), path)
     delta = rows.filter(k >= 3).withColumn("activity_type", F.lit("UPDATED"))
-    merge.merge_upsert(delta, path, "activity_id")
+    older = delta.withColumn("last_modified_at", F.lit(_utc(2000, 1, 1)))
+    newest = [F.desc_nulls_last("last_modified_at")]
+    for _ in range(2):  # a repeated run changes nothing
+        merge.merge_upsert(
+            delta.unionByName(older).unionByName(delta), path, "activity_id", latest_first=newest
+        )
     return curated.read_curated(spark, path, ACTIVITIES).select(*SLIM_ACTIVITY)
 
 
@@ -437,6 +464,96 @@ def i08_sync_state(spark, folder):
     return state.read_sync_state(spark, path)
 
 
+# --- sync jobs ---------------------------------------------------------------------------
+
+_FULL_RUN, _NEXT_RUN = _utc(2024, 9, 1), _utc(2024, 9, 2)
+
+
+def _landed(spark: SparkSession, rows: DataFrame, kind: str) -> DataFrame:
+    """Raw objects written as JSON lines and scanned again."""
+    path = fresh_path(spark, f"raw-{kind}")
+    rows.select(F.to_json(F.struct("*")).alias("value")).write.text(path)
+    return raw.read_raw_objects(spark, path, kind)
+
+
+def _synced(
+    spark: SparkSession, folder: str, kind: str, name: str | None, modified: str
+) -> DataFrame:
+    """A full run, then an incremental one over the same objects and later versions.
+
+    Every tenth object has an outdated version as well, some are dated in the future, and
+    every fifth is edited between the runs.
+    """
+    first = raw_objects(spark, folder, kind)
+    number = F.col("id").cast("bigint")
+
+    def version(rows: DataFrame, time: str, text: str | None) -> DataFrame:
+        def changed(key, value):
+            out = F.when(key == modified, F.lit(time))
+            if name is not None and text is not None:
+                out = out.when(key == name, F.lit(text))
+            return out.otherwise(value)
+
+        return rows.withColumn("properties", F.transform_values("properties", changed))
+
+    known = first.filter(F.map_contains_key("properties", modified))
+    coming = (number % 97 == 1) & (number % 5 != 0)
+    full = (
+        first.filter(~(coming & F.map_contains_key("properties", modified)))
+        .unionByName(version(known.filter(coming), "2030-01-01T00:00:00Z", None))
+        .unionByName(version(known.filter(number % 10 == 0), "2001-01-01T00:00:00Z", "outdated"))
+    )
+    if kind == "activities":  # two types share ids
+        calls = first.filter((F.col("object_type") == "calls") & (number % 10 == 0))
+        full = full.unionByName(calls.withColumn("object_type", F.lit("tasks")))
+    later = version(known.filter(number % 5 == 0), "2024-09-01T12:00:00Z", "edited")
+    path, marks = fresh_path(spark, kind), fresh_path(spark, "state")
+    jobs.sync_table(kind, _landed(spark, full, kind), path, marks, _FULL_RUN)
+    everything = _landed(spark, full.unionByName(later), kind)
+    jobs.sync_table(kind, everything, path, marks, _NEXT_RUN)
+    return spark.read.option("mergeSchema", True).parquet(path)
+
+
+@query
+def j01_sync_deals(spark, folder):
+    found = _synced(spark, folder, "deals", "dealname", "hs_lastmodifieddate")
+    return found.select("deal_id", "deal_name", "last_modified_at")
+
+
+@query
+def j02_sync_activities(spark, folder):
+    found = _synced(spark, folder, "activities", None, "hs_lastmodifieddate")
+    return found.select("object_type", "activity_id", "last_modified_at")
+
+
+@query
+def j03_sync_contacts(spark, folder):
+    found = _synced(spark, folder, "contacts", "lastname", "lastmodifieddate")
+    return found.select("contact_id", "lastname", "last_modified_at")
+
+
+@query
+def j04_sync_companies(spark, folder):
+    found = _synced(spark, folder, "companies", "name", "hs_lastmodifieddate")
+    return found.select("company_id", "name", F.col("dt").cast("string").alias("dt"))
+
+
+@query
+def j05_sync_owners(spark, folder):
+    """Every second owner comes in two versions."""
+    rows = raw_objects(spark, folder, "owners")
+    newer = rows.filter(F.col("id").cast("bigint") % 2 == 0).withColumns(
+        {
+            "firstName": F.lit("New"),
+            "lastName": F.lit(""),
+            "updatedAt": F.lit("2024-01-03T00:00:00.000Z"),
+        }
+    )
+    path = fresh_path(spark, "owners")
+    jobs.sync_owners(_landed(spark, newer.unionByName(rows), "owners"), path)
+    return curated.read_curated(spark, path).select("owner_id", "owner_name")
+
+
 # --- sources and sinks -------------------------------------------------------------------
 
 

@@ -1,6 +1,8 @@
+from functools import reduce
+
+import pytest
 from pyspark.sql import functions as F
 
-from dealscope.operators import dedupe
 from dealscope.operators.dedupe import merge_dedupe
 
 
@@ -31,31 +33,50 @@ def test_key_expression(spark):
     assert [r["v"] for r in found.collect()] == [2]
 
 
-def _joined(old, new):
-    """Associative, and dependent on the order of the rows."""
-    return F.struct(
-        old["id"].alias("id"),
-        F.concat(old["at"], new["at"]).alias("at"),
-        (old["v"] + new["v"]).alias("v"),
+def test_score_keeps_the_earlier_of_equals(spark):
+    a = frame(spark, ("1", "aa", 1), ("1", "bb", 2), ("2", None, 3))
+    b = frame(spark, ("1", "c", 4), ("2", "x", 5))
+    found = merge_dedupe([a, b], position=[F.col("v")], resolver=F.length("at"))
+    assert kept(found) == {"1": 1, "2": 5}
+
+
+FOLDS = {
+    "first": lambda old, new: old,
+    "last": lambda old, new: new,
+    "first_filled": lambda old, new: old if old not in (None, "") else new,
+    "last_filled": lambda old, new: new if new not in (None, "") else old,
+    "min": lambda old, new: min((x for x in (old, new) if x is not None), default=None),
+    "max": lambda old, new: max((x for x in (old, new) if x is not None), default=None),
+    "sum": lambda old, new: (old or 0) + (new or 0),
+}
+
+
+@pytest.mark.parametrize("partitions", [1, 7, 64])
+def test_every_way_equals_a_fold_in_order(spark, partitions):
+    n = 12_000
+    number = F.col("id")
+    value = F.when(number % 7 != 3, (number * 7919 % 1009).cast("int"))
+    rows = spark.range(n).select(
+        F.when(number % 100 == 0, number.cast("string")).otherwise("hot").alias("id"),
+        number.alias("at"),
+        *[value.alias(way) for way in FOLDS],
     )
-
-
-def test_resolver_folds_in_order(spark):
-    a = frame(spark, ("1", "a", 1), ("1", "b", 2), ("2", "z", 9))
-    b = frame(spark, ("1", "c", 3))
-    found = merge_dedupe([b.limit(0), a, b], position=[F.col("v")], resolver=_joined)
-    assert {r["id"]: r["at"] for r in found.collect()} == {"1": "abc", "2": "z"}
-
-
-def test_resolver_folds_a_hot_key_in_sections(spark, monkeypatch):
-    monkeypatch.setattr(dedupe, "_SECTION", 16)
-    monkeypatch.setattr(dedupe, "_PARTITION_ROWS", 500)
-    rows = spark.range(3000).select(
-        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("id"),
-        F.concat(F.lpad(F.col("id").cast("string"), 4, "0"), F.lit(",")).alias("at"),
-        F.col("id").cast("int").alias("v"),
+    found = merge_dedupe(
+        [rows.repartition(partitions)], position=[F.col("at")], resolver={w: w for w in FOLDS}
     )
-    found = merge_dedupe([rows], position=[F.col("v")], resolver=_joined)
-    result = {r["id"]: r["at"] for r in found.collect()}
-    assert len(result) == 2001
-    assert result["hot"] == "".join(f"{i:04d}," for i in range(0, 3000, 3))
+    hot = found.filter("id = 'hot'").first()
+    values = [None if i % 7 == 3 else i * 7919 % 1009 for i in range(n) if i % 100]
+    for way, fold in FOLDS.items():
+        assert hot[way] == reduce(fold, values), way
+    assert hot["at"] == n - 1
+    assert found.count() == n // 100 + 1
+
+
+def test_functions_and_unknown_ways_are_rejected(spark):
+    a = frame(spark, ("1", "x", 1))
+    with pytest.raises(TypeError):
+        merge_dedupe([a], resolver=lambda old, new: new)
+    with pytest.raises(ValueError):
+        merge_dedupe([a], resolver={"v": "median"})
+    with pytest.raises(ValueError):
+        merge_dedupe([a], resolver={"w": "max"})

@@ -90,6 +90,48 @@ def test_activities_of_two_types_may_share_an_id(spark):
     )
     assert sync_table("activities", rows, path, state, utc("2024-01-10"), False) == 2
     assert read_curated(spark, path).count() == 2
+    # The same objects again, incrementally: nothing is lost, and both are merged.
+    assert sync_table("activities", rows, path, state, utc("2024-01-10")) >= 1
+    found = read_curated(spark, path).collect()
+    assert sorted((r["object_type"], r["activity_id"]) for r in found) == [
+        ("calls", "7"),
+        ("tasks", "7"),
+    ]
+
+
+def test_full_load_keeps_one_version_of_each_id(spark):
+    path, state = fresh_path(spark, "deals"), fresh_path(spark, "state")
+    versions = [
+        deal(1, "2024-01-01T00:00:00Z", f"2024-01-{day:02d}T00:00:00Z", f"v{day}")
+        for day in (3, 9, 5)
+    ]
+    rows = lines(spark, "deals", *versions)
+    assert sync_table("deals", rows, path, state, utc("2024-02-01"), False) == 1
+    assert [r["deal_name"] for r in read_curated(spark, path).collect()] == ["v9"]
+
+
+def test_a_row_dated_in_the_future_does_not_stop_later_runs(spark):
+    path, state = fresh_path(spark, "deals"), fresh_path(spark, "state")
+    first = [
+        deal(1, "2024-01-01T00:00:00Z", "2024-01-01T00:00:00Z"),
+        deal(2, "2024-01-01T00:00:00Z", "2030-01-01T00:00:00Z"),
+    ]
+    sync_table("deals", lines(spark, "deals", *first), path, state, utc("2024-01-04"))
+    assert get_sync_state(spark, state, "deals")["last_modified_at"] == "2024-01-04T00:00:00.000Z"
+    new = deal(3, "2024-01-05T00:00:00Z", "2024-01-05T00:00:00Z")
+    rows = lines(spark, "deals", *first, new)
+    # The first two were created at the mark, so they are merged again.
+    assert sync_table("deals", rows, path, state, utc("2024-01-06")) == 3
+    assert read_curated(spark, path).count() == 3
+
+
+def test_marks_never_fall(spark):
+    path, state = fresh_path(spark, "deals"), fresh_path(spark, "state")
+    late = deal(1, "2024-01-03T00:00:00Z", "2024-01-03T00:00:00Z")
+    sync_table("deals", lines(spark, "deals", late), path, state, utc("2024-01-04"))
+    early = deal(2, "2024-01-02T23:00:00Z", "2024-01-02T23:00:00Z")
+    assert sync_table("deals", lines(spark, "deals", early), path, state, utc("2024-01-05")) == 1
+    assert get_sync_state(spark, state, "deals")["last_modified_at"] == "2024-01-03T00:00:00.000Z"
 
 
 def test_contacts_full_load_without_incremental(spark):
@@ -104,7 +146,8 @@ def test_contacts_full_load_without_incremental(spark):
 def test_dimensions_are_replaced(spark):
     owners, stages = fresh_path(spark, "owners"), fresh_path(spark, "stage")
     for name in ("Ana", "Eva"):
-        sync_owners(raw(spark, "owners", ("1", name, None, None, None, None)), owners)
+        versions = [("1", name, None, None, None, "2"), ("1", "old", None, None, None, "1")]
+        sync_owners(raw(spark, "owners", *versions), owners)
     sync_owners(raw(spark, "owners", ("1", "x", None, None, None, None)).limit(0), owners)
     assert [r["owner_name"] for r in read_curated(spark, owners).collect()] == ["Eva"]
     pipeline = '{"id": "p", "stages": [{"id": "s"}]}'

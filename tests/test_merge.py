@@ -1,6 +1,7 @@
 import glob
 from datetime import timezone
 
+import pytest
 from pyspark.sql import functions as F
 
 from dealscope.operators import merge
@@ -8,6 +9,7 @@ from dealscope.operators.changes import (
     SyncWindow,
     changed_since,
     high_water_marks,
+    later_mark,
     latest_changes,
     select_changes,
     sync_window,
@@ -65,8 +67,9 @@ def test_merge_touches_affected_partitions_only(spark):
     assert sorted(glob.glob(f"{path}/dt=2024-01-02/*")) == untouched
 
 
-def test_merge_with_many_partitions_joins_them(spark, monkeypatch):
-    monkeypatch.setattr(merge, "_LITERAL_PARTITIONS", 1)
+@pytest.mark.parametrize("limit", [0, 100])
+def test_merge_is_the_same_with_shuffled_partition_values(spark, monkeypatch, limit):
+    monkeypatch.setattr(merge, "_BROADCAST_PARTITIONS", limit)
     path = fresh_path(spark, "t")
     full_load(rows(spark, ("1", "a", "1"), ("2", "b", "2"), ("3", "c", None)), path)
     merge_upsert(rows(spark, ("1", "A", "1"), ("2", "B", "2"), ("3", "C", None)), path, "id")
@@ -133,6 +136,40 @@ def test_latest_of_the_batch_wins(spark):
     assert table(spark, path) == [("1", "c", "d1")]
 
 
+def test_ties_fall_alike_in_every_run(spark):
+    values = [("1", f"v{i}", "d1") for i in range(50)]
+    found = set()
+    for partitions in (1, 3, 8):
+        path = fresh_path(spark, "t")
+        merge_upsert(rows(spark, *values).repartition(partitions), path, "id")
+        found.add(tuple(table(spark, path)))
+    assert len(found) == 1
+
+
+def test_copies_are_removed_after_success(spark):
+    path = fresh_path(spark, "t")
+    full_load(rows(spark, ("1", "a", "d1"), ("2", "x", "d3")), path)
+    merge_upsert(rows(spark, ("1", "b", "d2")), path, "id", global_key=True)
+    assert glob.glob(f"{path}_*") == []
+    assert table(spark, path) == [("1", "b", "d2"), ("2", "x", "d3")]
+
+
+def test_an_interrupted_merge_can_be_repeated(spark, monkeypatch):
+    path = fresh_path(spark, "t")
+    full_load(rows(spark, ("1", "a", "d1"), ("2", "x", "d1")), path)
+    delta = rows(spark, ("1", "b", "d2"))
+
+    def fail(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(merge, "overwrite_partitions", fail)
+        with pytest.raises(OSError):
+            merge_upsert(delta, path, "id", global_key=True)
+    merge_upsert(delta, path, "id", global_key=True)
+    assert table(spark, path) == [("1", "b", "d2"), ("2", "x", "d1")]
+
+
 def test_full_load_drops_old_partitions(spark):
     path = fresh_path(spark, "t")
     full_load(rows(spark, ("1", "a", "d1")), path)
@@ -213,6 +250,16 @@ def test_marks_ignore_junk_and_missing_columns(spark):
     assert tuple(high_water_marks(df.limit(0)).first()) == (None, None, 0)
 
 
+def test_marks_are_not_later_than_now(spark):
+    df = spark.createDataFrame(
+        [(utc("2024-01-02"), "2030-01-01")], "created_at timestamp, last_modified_at string"
+    )
+    row = high_water_marks(df, utc("2024-02-01")).first()
+    assert tuple(row) == ("2024-01-02T00:00:00.000Z", "2024-02-01T00:00:00.000Z", 1)
+    assert later_mark(row[0], row[1]) == later_mark(row[1], row[0]) == row[1]
+    assert later_mark(None, row[0]) == row[0] and later_mark(None, None) is None
+
+
 def test_window_from_marks():
     both = {"last_created_at": "2024-01-02T00:00:00.000Z", "last_modified_at": "2024-01-03T01:00:00Z"}
     window = sync_window(both, True)

@@ -127,7 +127,8 @@ def test_association_spellings(spark):
             '{"fromObjectId": "3", "to": [], "toObjects": ["x", 5]}',
             '{"id": "4"}',
             '{"from": {}, "to": [{"id": "lost"}]}',
-        )
+        ),
+        [F.col("id").desc()],
     )
     assert {r["from_id"]: r["to_ids"] for r in found.collect()} == {
         "1": ["a", "7"],

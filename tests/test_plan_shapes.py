@@ -122,7 +122,7 @@ def test_shuffles_are_sized_by_the_input(spark, settings, monkeypatch):
     assert spark.conf.get(key) == "1490"
     monkeypatch.setattr(session, "_stored_bytes", lambda *_: 100 * 10**12)
     session.size_shuffles(spark, FOLDER)
-    assert spark.conf.get(key) == "50000"
+    assert spark.conf.get(key) == "1490116"
 
 
 def test_a_maintained_latest_table_is_filtered_at_the_scan(spark):
