@@ -43,7 +43,8 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _MIN_ASSIGNED = 6
 
-_JWT = re.compile(r"[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
+# A whole run at a time, so that no start within it is tried again.
+_DOTTED = re.compile(r"[A-Za-z0-9_.-]++")
 # Runs of one alphabet, perhaps wrapped into lines as in PEM files. Every confirmed
 # structure takes at least 32 encoded characters.
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{32,}(?:\r?\n[A-Za-z0-9+/_-]+)*={0,2}")
@@ -171,10 +172,27 @@ def _key_kind(data: bytes | None) -> str | None:
     return "der" if data[0] == _SEQUENCE and is_private_key_der(data) else None
 
 
+def _signed_tokens(run: str, at: int) -> Iterator[Span]:
+    """Signed tokens in a run of base64url parts and dots.
+
+    A header may be glued to other characters; then it starts at its last ``eyJ``, which is
+    how a JSON object with a quoted first key begins.
+    """
+    parts = run.split(".")
+    for i in range(len(parts) - 2):
+        header, claims, signature = parts[i : i + 3]
+        starts = sorted({0, max(0, header.rfind("eyJ"))})
+        for start in starts if claims else ():
+            if _is_signed_token(f"{header[start:]}.{claims}.{signature}"):
+                yield at + start, at + len(header) + len(claims) + len(signature) + 2, "jwt"
+                break
+        at += len(header) + 1
+
+
 def _structured(text: str) -> Iterator[Span]:
-    for match in _JWT.finditer(text):
-        if _is_signed_token(match.group()):
-            yield match.start(), match.end(), "jwt"
+    for match in _DOTTED.finditer(text):
+        if match.group().count(".") > 1:
+            yield from _signed_tokens(match.group(), match.start())
     for match in _BASE64.finditer(text):
         whole = match.group()
         kind = _key_kind(_decoded("".join(whole.split())))
@@ -201,15 +219,17 @@ def _in_lines(run: str, at: int) -> Iterator[Span]:
         taken = None
         if head[:1] == b"\x30" or _SSH_MAGIC.startswith(head[:6]) and head:
             last = _last_line(run, lines, i, head)
-            block = "".join(run[s:e] for s, e in lines[i : last + 1])
-            kind = _key_kind(_decoded(block))
+            kind = None
+            if last is not None:
+                block = "".join(run[s:e] for s, e in lines[i : last + 1])
+                kind = _key_kind(_decoded(block))
             if kind:
                 yield at + lines[i][0], at + lines[last][1], kind
                 taken = last
         i = i + 1 if taken is None else taken + 1
 
 
-def _last_line(run: str, lines: list[tuple[int, int]], i: int, head: bytes) -> int:
+def _last_line(run: str, lines: list[tuple[int, int]], i: int, head: bytes) -> int | None:
     """The line in which a key that starts at line ``i`` ends, by its outer length."""
     if head[:1] != b"\x30":
         return len(lines) - 1
@@ -221,7 +241,7 @@ def _last_line(run: str, lines: list[tuple[int, int]], i: int, head: bytes) -> i
         seen += len(run[lines[j][0] : lines[j][1]].rstrip("="))
         if seen >= wanted:
             return j
-    return len(lines) - 1
+    return None
 
 
 def base_spans(text: str) -> list[Span]:
