@@ -59,6 +59,19 @@ def bytes_of(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]
 
 
+def by_size(texts: list[bytes], most: int) -> Iterator[list[bytes]]:
+    """Groups of about ``most`` bytes, in order; a longer text is a group of its own."""
+    group, size = [], 0
+    for text in texts:
+        if group and size + len(text) > most:
+            yield group
+            group, size = [], 0
+        group.append(text)
+        size += len(text)
+    if group:
+        yield group
+
+
 def arrow_schema(spark_schema: T.StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -103,10 +116,5 @@ def append_columns(
     return source.mapInArrow(run, schema)
 
 
-def words_bytes(text: bytes) -> list[bytes]:
-    """Runs of bytes other than ASCII white space, the words ``[^\\x20\\x09-\\x0D]+``."""
-    return text.split()
-
-
 def long_array(values: np.ndarray) -> pa.Array:
     return pa.array(values.astype(np.int64, copy=False))

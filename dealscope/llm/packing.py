@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bytes_of, written
+from .common import by_size, bytes_of, written
 
 CAPACITY = 2048
 END_ID = 0
@@ -69,28 +70,73 @@ class WordCache(dict):
     """Token ids, as bytes, of text between ASCII white space.
 
     The tokenizer drops white space and no token or character normalisation spans it, so a
-    text's ids are those of its words, one after the other. The cache is emptied when full.
+    text's ids are those of its words, one after the other. New words are encoded together,
+    with a special token between them, which splits a text before anything else. Final
+    punctuation behind a letter or digit is a token run of its own and is looked up apart.
+    The cache is emptied when full and lives as long as the worker process.
     """
 
-    LIMIT = 1_000_000
+    LIMIT = 700_000
+    _SPECIAL = b"<|"
+    _BETWEEN = "<|startoftext|>"
+    _FINAL = b".,;:!?"
+    _TOGETHER = 20_000
 
     def __init__(self, path: str):
         super().__init__()
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-
-    def __missing__(self, word: bytes) -> bytes:
-        found = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-        ids = np.array(found, dtype="<u4").tobytes()
-        if len(word) <= 64:
-            if len(self) >= self.LIMIT:
-                self.clear()
-            self[word] = ids
-        return ids
-
-    def encode(self, text: bytes) -> bytes:
-        return b"".join(map(self.__getitem__, text.split()))
+        self.between = self.tokenizer.token_to_id(self._BETWEEN)
+
+    def _parts(self, word: bytes) -> tuple[bytes, bytes]:
+        """A word without final punctuation, and that, if a token border lies between."""
+        core = word.rstrip(self._FINAL)
+        if core and len(core) < len(word) and core[-1:].isalnum():
+            return core, word[len(core) :]
+        return word, b""
+
+    def _encode(self, words: list[bytes]) -> None:
+        alone = [w for w in words if self.between is None or self._SPECIAL in w]
+        for word in alone:
+            ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
+            self[word] = np.array(ids, "<u4").tobytes()
+        others = [w for w in words if w not in self]
+        for at in range(0, len(others), self._TOGETHER):
+            some = others[at : at + self._TOGETHER]
+            text = self._BETWEEN.join(w.decode() for w in some)
+            (coded,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+            ids = np.array(coded.ids, "<u4")
+            cuts = np.flatnonzero(ids == self.between)
+            data = ids.tobytes()
+            first = [0, *(4 * (cuts + 1)).tolist()]
+            last = [*(4 * cuts).tolist(), len(data)]
+            for word, i, j in zip(some, first, last, strict=True):
+                self[word] = data[i:j]
+
+    def _learn(self, words: set[bytes]) -> None:
+        new = [w for w in words if w not in self]
+        if len(self) + len(new) > self.LIMIT:
+            self.clear()
+            new = list(words)
+        parts = {w: self._parts(w) for w in new}
+        needed = {p for pair in parts.values() for p in pair if p and p not in self}
+        self._encode(list(needed))
+        for word, (core, final) in parts.items():
+            if final:
+                self[word] = self[core] + self[final]
+
+    def encode_all(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of each text. A-Z go in lower case first, as the tokenizer does it."""
+        split = [(t if self._SPECIAL in t else t.lower()).split() for t in texts]
+        self._learn(set().union(*split))
+        return [b"".join(map(self.__getitem__, words)) for words in split]
+
+
+@lru_cache(maxsize=2)
+def word_cache(path: str) -> WordCache:
+    """The worker's cache for a tokenizer file."""
+    return WordCache(path)
 
 
 def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
@@ -142,6 +188,7 @@ def _bins(items: list[tuple[int, list]], capacity: int, nearly: int) -> pa.Recor
     )
 
 
+_TEXT_BYTES = 2 << 20
 # A round's pieces wait in the task until so many bytes of ids have come.
 _HELD_BYTES = 48 << 20
 
@@ -150,13 +197,13 @@ def _first_round(docs: DataFrame, tokenizer: str, capacity: int, nearly: int) ->
     end = np.array([END_ID], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = WordCache(tokenizer)
+        cache = word_cache(tokenizer)
         items, held = [], 0
         for batch in batches:
-            for doc_id, text in zip(
-                batch.column(0).to_pylist(), bytes_of(batch.column(1)), strict=True
-            ):
-                ids = cache.encode(text) + end
+            numbers = iter(batch.column(0).to_pylist())
+            groups = by_size(bytes_of(batch.column(1)), _TEXT_BYTES)
+            for ids in (x + end for group in groups for x in cache.encode_all(group)):
+                doc_id = next(numbers)
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
                     size = len(part) // 4

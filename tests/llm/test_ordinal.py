@@ -5,18 +5,23 @@ from dealscope.llm import ordinal as O
 
 from .rows import by_id, documents
 
-FOLDER = "/root/testdata/sf0.01"
+FOLDER = "/root/testdata/sf0.1"
 
 
 def test_held_out_accuracy(spark):
-    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text")
+    docs = docs.join(labels.select("doc_id"), "doc_id", "left_semi")
     model = O.train(docs, labels.where("doc_id % 4 <> 0"))
     truth = {r["doc_id"]: r["grade"] for r in O.graded(labels.where("doc_id % 4 = 0")).collect()}
     out = by_id(O.rate_documents(docs, model))
     right = [(out[i]["kept"]) == (g == 2) for i, g in truth.items()]
     assert len(out) == docs.count() and len(right) > 60
-    assert sum(right) / len(right) > 0.9
+    assert sum(right) / len(right) > 0.93
+    toxic = [out[i]["kept"] for i, g in truth.items() if g == 0]
+    clean = [out[i]["kept"] for i, g in truth.items() if g == 2]
+    print(sum(toxic) / len(toxic), sum(clean) / len(clean))
+    assert sum(toxic) < 0.1 * len(toxic) and sum(clean) > 0.97 * len(clean)
 
 
 def test_gradient_reaches_the_likelihood_of_a_direct_search():

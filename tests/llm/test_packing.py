@@ -30,7 +30,12 @@ def test_cached_words_give_the_tokenizers_ids(text):
         "cache", P.WordCache(PACK_TOKENIZER)
     )
     whole = cache.tokenizer.encode(text, add_special_tokens=False).ids
-    assert np.frombuffer(cache.encode(text.encode()), "<u4").tolist() == whole
+    for part in (text, text, text + "."):
+        (ids,) = cache.encode_all([part.encode()])
+        want = cache.tokenizer.encode(part, add_special_tokens=False).ids
+        assert np.frombuffer(ids, "<u4").tolist() == want
+    several = cache.encode_all([text.encode(), b"", text.upper().encode()])
+    assert np.frombuffer(several[0], "<u4").tolist() == whole and several[1] == b""
 
 
 @settings(max_examples=60, deadline=None)
