@@ -34,7 +34,7 @@ DIMENSIONS = 1 << 18
 SAMPLE = 20_000
 # A feature that fewer sampled documents have is noise and gets no weight.
 LEAST_DOCUMENTS = 5
-_STEPS, _RATE, _DECAY = 150, 0.1, 1e-4
+_STEPS, _RATE, _DECAY = 150, 0.05, 1e-3
 
 _CLASSES = bytes.maketrans(
     b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789",
@@ -126,8 +126,10 @@ def fit(rows: list[np.ndarray], grades: np.ndarray) -> Ordinal:
         p = np.maximum(high - low, 1e-12)
         slope = 1 - low - high  # of the loss, by the score
         by_theta = np.zeros(GRADES - 1)
-        np.add.at(by_theta, np.minimum(grades, GRADES - 2), -np.where(grades < GRADES - 1, high * (1 - high) / p, 0))
-        np.add.at(by_theta, np.maximum(grades - 1, 0), np.where(grades > 0, low * (1 - low) / p, 0))
+        above = np.where(grades < GRADES - 1, high * (1 - high) / p, 0)
+        under = np.where(grades > 0, low * (1 - low) / p, 0)
+        np.add.at(by_theta, np.minimum(grades, GRADES - 2), -above)
+        np.add.at(by_theta, np.maximum(grades - 1, 0), under)
         steps = np.cumsum(by_theta[::-1])[::-1]
         gradient = np.concatenate(
             [
