@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,18 @@ def small_or_shuffled(df: DataFrame, rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Smaller Arrow batches for what is run inside; the setting is restored."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def free_name(df: DataFrame, wanted: str) -> str:
     """``wanted``, with underscores in front until no column of ``df`` has that name."""
     taken = {c.lower() for c in df.columns}

@@ -33,10 +33,12 @@ from pyspark.sql import types as T
 
 from dealscope.session import fresh_path
 
-from .common import written
+from .common import arrow_rows, small_or_shuffled, written
 
 ARCHIVE_BYTES = 256 << 20
 _CHUNK = 1 << 20
+# Payloads go to the writer in batches of so many rows.
+_BATCH_ROWS = 256
 _GZIP = 31
 _LEVEL = 1
 
@@ -77,27 +79,33 @@ def payload_digest(payload: bytes) -> str:
 def with_revisits(pages: DataFrame, payload_min: int = 0) -> DataFrame:
     """Add ``refers_to``: the largest page id with an equal payload, null for itself.
 
-    ``pages`` has (page_id, payload). The groups are counted on digests with map-side
-    combine; payloads below ``payload_min`` bytes are never revisits. Both sides of the
-    join are plain shuffles, so adaptive execution can split a hot payload.
+    ``pages`` has (page_id, payload). Groups are found on digests alone, with map-side
+    combine; payloads below ``payload_min`` bytes are never revisits. Payloads are read
+    again and meet the list of revisits, which is broadcast if it is small; else both are
+    plain shuffles, so adaptive execution can split a hot payload.
     """
-    keyed = pages.select(
-        "page_id",
-        "payload",
-        F.sha2("payload", 256).alias("_sha"),
-        F.octet_length("payload").alias("_size"),
-    )
+    keyed = pages.withColumns({"_sha": F.sha2("payload", 256), "_size": F.octet_length("payload")})
+    digests = keyed.select("page_id", "_sha", "_size").where(F.col("_size") >= payload_min)
     groups = (
-        keyed.where(F.col("_size") >= payload_min)
-        .groupBy("_sha", "_size")
+        digests.groupBy("_sha", "_size")
         .agg(F.max("page_id").alias("_last"), F.count("*").alias("_n"))
         .where("_n > 1")
         .drop("_n")
     )
-    return keyed.join(groups, ["_sha", "_size"], "left").select(
-        "page_id",
-        "payload",
-        F.when(~F.col("page_id").eqNullSafe(F.col("_last")), F.col("_last")).alias("refers_to"),
+    revisits = written(
+        digests.join(groups, ["_sha", "_size"])
+        .where(~F.col("page_id").eqNullSafe(F.col("_last")) & F.col("_last").isNotNull())
+        .select(
+            F.col("page_id").alias("_page"),
+            F.col("_sha").alias("_digest"),
+            F.col("_last").alias("refers_to"),
+        )
+        .distinct(),
+        "revisits",
+    )
+    met = (F.col("_sha") == F.col("_digest")) & F.col("page_id").eqNullSafe(F.col("_page"))
+    return keyed.join(small_or_shuffled(revisits), met, "left").select(
+        "page_id", "payload", "refers_to"
     )
 
 
@@ -329,9 +337,9 @@ def archive_pages(pages: DataFrame, payload_min: int = 0) -> DataFrame:
     """Write (page_id, payload) as monolithic archives, normalise them; the offset index."""
     spark = pages.sparkSession
     folder = fresh_path(spark, "warc")
-    manifest = written(
-        write_archives(with_revisits(pages, payload_min), f"{folder}/monolithic"), "manifest"
-    )
+    rows = with_revisits(pages, payload_min)
+    with arrow_rows(spark, _BATCH_ROWS):
+        manifest = written(write_archives(rows, f"{folder}/monolithic"), "manifest")
     archives = manifest.select("path").repartition(
         max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))), "path"
     )
