@@ -2,4 +2,88 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+from .url_filter import RULES, Vocabulary
+
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+
+def _url_filter() -> str:
+    """Rules and terms as relations; a term stands alone between other characters."""
+    terms = Vocabulary()
+    rules = ", ".join(f"('{rule}', '{verdict}')" for rule, verdict in RULES.items())
+    words = ", ".join(
+        [f"('{t}', TRUE)" for t in terms.strict] + [f"('{t}', FALSE)" for t in terms.soft]
+    )
+    return f"""
+        WITH rules(rule, verdict) AS (VALUES {rules}),
+        terms(term, strict) AS (VALUES {words}),
+        cut AS (
+          SELECT page_id, translate(url, {_LOWER}) AS low,
+            CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END
+              AS rest
+          FROM pages),
+        hosts AS (
+          SELECT page_id, low, rest, regexp_extract(coalesce(rest, ''), '^[^/?#]*') AS raw_host
+          FROM cut),
+        parts AS (
+          SELECT page_id, low, translate(raw_host, {_LOWER}) AS host,
+            regexp_extract(substr(coalesce(rest, ''), length(raw_host) + 1), '^[^?#]*') AS path
+          FROM hosts),
+        fitting AS (
+          SELECT page_id, arg_max(rule, length(rule)) AS rule,
+            arg_max(verdict, length(rule)) AS verdict
+          FROM parts JOIN rules
+            ON ('.' || host) LIKE ('%.' || split_part(rule, '/', 1))
+            AND starts_with(path, substr(rule, strpos(rule, '/')))
+          GROUP BY page_id),
+        hits AS (
+          SELECT page_id, count(*) FILTER (strict) AS n_strict,
+            count(*) FILTER (NOT strict) AS n_soft
+          FROM parts JOIN terms
+            ON regexp_matches(low, '(^|[^\\pL\\pN])' || term || '($|[^\\pL\\pN])')
+          WHERE host <> '' OR path <> ''
+          GROUP BY page_id)
+        SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN n_strict > 0
+            OR n_soft >= {terms.soft_limit} THEN 'block' ELSE 'allow' END) AS verdict,
+          coalesce(n_strict, 0) AS n_strict, coalesce(n_soft, 0) AS n_soft
+        FROM parts LEFT JOIN fitting USING (page_id) LEFT JOIN hits USING (page_id)"""
+
+
+# Every window of every document is compared with every window of the items.
+_DECONTAMINATION = f"""
+    WITH doc_words AS (
+      SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_LOWER}),
+        '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS w
+      FROM documents),
+    item_words AS (
+      SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), {_LOWER}),
+        '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS w
+      FROM benchmark),
+    item_starts AS (
+      SELECT item_id, w, least(10, len(w)) AS n, unnest(range(len(w) - least(10, len(w)) + 1)) AS i
+      FROM item_words WHERE len(w) > 0),
+    spans AS (
+      SELECT DISTINCT item_id, n, array_to_string(w[i + 1 : i + n], ' ') AS span FROM item_starts),
+    sizes AS (SELECT DISTINCT n FROM spans),
+    doc_starts AS (
+      SELECT doc_id, w, n, unnest(range(len(w) - n + 1)) AS i
+      FROM doc_words JOIN sizes ON len(w) >= n),
+    doc_spans AS (
+      SELECT doc_id, n, i, array_to_string(w[i + 1 : i + n], ' ') AS span FROM doc_starts),
+    found AS (SELECT doc_id, n, i, item_id FROM doc_spans JOIN spans USING (n, span)),
+    covered AS (
+      SELECT doc_id, count(DISTINCT place) AS n_hit
+      FROM (SELECT doc_id, unnest(range(i, i + n)) AS place FROM found) GROUP BY doc_id),
+    named AS (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found),
+    listed AS (
+      SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+      FROM named GROUP BY doc_id)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+      coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+      coalesce(n_hit, 0) > 0 AS contaminated
+    FROM doc_words LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)"""
+
+ORACLES: dict[str, str] = {
+    "op2_url_filter": _url_filter(),
+    "op5_decontamination": _DECONTAMINATION,
+}
