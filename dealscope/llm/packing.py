@@ -2,7 +2,7 @@
 
 Each task packs its own pieces by best fit, largest first, and emits the bins that are
 nearly full. The bins that are not go on as items of the next round: they are dealt anew to
-fewer tasks and packed by best fit again, and so on like a tree. Rounds end when one task
+fewer tasks and packed by best fit again, whole or piece by piece, and so on like a tree. Rounds end when one task
 held all that was left, or when a round no longer joins a noticeable share of the bins.
 Then the rest is emitted as it is. No round holds more than ``items_per_task`` bins in a
 task, and no piece is dropped.
@@ -219,9 +219,18 @@ def _first_round(docs: DataFrame, tokenizer: str, capacity: int, nearly: int) ->
 
 
 def _next_round(bins: DataFrame, tasks: int, capacity: int, nearly: int) -> DataFrame:
-    """Underfull bins are items now; they are dealt by a hash of their first piece."""
+    """Underfull bins are items now; they are dealt by a hash of their first piece.
+
+    Bins more than half full cannot join each other. So their pieces are also packed one by
+    one, and of the two packings that with fewer bins stays.
+    """
     first = F.col("pieces")[0]
 
+    def merged(items: list[tuple[int, list]]) -> pa.RecordBatch:
+        opened = [(p[3], [(*p[:-1], 0)]) for _, pieces in items for p in pieces]
+        both = [_bins(items, capacity, nearly), _bins(opened, capacity, nearly)]
+        return min(both, key=len)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items: list[tuple[int, list]] = []
         held = 0
@@ -232,10 +241,10 @@ def _next_round(bins: DataFrame, tasks: int, capacity: int, nearly: int) -> Data
                 items.append((fill, [tuple(p.values()) for p in pieces]))
                 held += 4 * fill
                 if held >= 4 * _HELD_BYTES or len(items) >= 2 * ITEMS_PER_TASK:
-                    yield _bins(items, capacity, nearly)
+                    yield merged(items)
                     items, held = [], 0
         if items:
-            yield _bins(items, capacity, nearly)
+            yield merged(items)
 
     dealt = bins.repartition(tasks, F.xxhash64(first["doc_id"], first["piece"], "fill"))
     return dealt.select("fill", "pieces").mapInArrow(run, BIN)
