@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import by_size, bytes_of, written
+from .common import arrow_rows, by_size, bytes_of, written
 
 CAPACITY = 2048
 END_ID = 0
@@ -76,7 +76,7 @@ class WordCache(dict):
     The cache is emptied when full and lives as long as the worker process.
     """
 
-    LIMIT = 700_000
+    LIMIT = 300_000
     _SPECIAL = b"<|"
     _BETWEEN = "<|startoftext|>"
     _FINAL = b".,;:!?"
@@ -167,6 +167,15 @@ def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
+# Rows of an Arrow batch, of documents that come in and of bins that go out.
+_DOCUMENT_ROWS, _BIN_ROWS = 1000, 256
+
+
+def _sliced(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for at in range(0, batch.num_rows, _BIN_ROWS):
+        yield batch.slice(at, _BIN_ROWS)
+
+
 def _bins(items: list[tuple[int, list]], capacity: int, nearly: int) -> pa.RecordBatch:
     """Pack items of (size, pieces); a piece ends with its offset in the item."""
     sizes = [size for size, _ in items]
@@ -190,7 +199,7 @@ def _bins(items: list[tuple[int, list]], capacity: int, nearly: int) -> pa.Recor
 
 _TEXT_BYTES = 2 << 20
 # A round's pieces wait in the task until so many bytes of ids have come.
-_HELD_BYTES = 48 << 20
+_HELD_BYTES = 20 << 20
 
 
 def _first_round(docs: DataFrame, tokenizer: str, capacity: int, nearly: int) -> DataFrame:
@@ -210,10 +219,10 @@ def _first_round(docs: DataFrame, tokenizer: str, capacity: int, nearly: int) ->
                     items.append((size, [(doc_id, k, at // 4, size, part, 0)]))
                 held += len(ids)
                 if held >= _HELD_BYTES or len(items) >= ITEMS_PER_TASK:
-                    yield _bins(items, capacity, nearly)
+                    yield from _sliced(_bins(items, capacity, nearly))
                     items, held = [], 0
         if items:
-            yield _bins(items, capacity, nearly)
+            yield from _sliced(_bins(items, capacity, nearly))
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(run, BIN)
 
@@ -241,10 +250,10 @@ def _next_round(bins: DataFrame, tasks: int, capacity: int, nearly: int) -> Data
                 items.append((fill, [tuple(p.values()) for p in pieces]))
                 held += 4 * fill
                 if held >= 4 * _HELD_BYTES or len(items) >= 2 * ITEMS_PER_TASK:
-                    yield merged(items)
+                    yield from _sliced(merged(items))
                     items, held = [], 0
         if items:
-            yield merged(items)
+            yield from _sliced(merged(items))
 
     dealt = bins.repartition(tasks, F.xxhash64(first["doc_id"], first["piece"], "fill"))
     return dealt.select("fill", "pieces").mapInArrow(run, BIN)
@@ -263,7 +272,8 @@ def pack(
     ``least_gain`` is the share of underfull bins a round has to save for another to follow.
     """
     nearly = math.ceil(capacity * nearly_full)
-    rounds = [written(_first_round(docs, tokenizer, capacity, nearly), "packed")]
+    with arrow_rows(docs.sparkSession, _DOCUMENT_ROWS):
+        rounds = [written(_first_round(docs, tokenizer, capacity, nearly), "packed")]
     left = rounds[-1].where("not full").count()
     tasks = None
     while left > 1 and tasks != 1:
