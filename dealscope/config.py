@@ -28,6 +28,9 @@ class SalesConfig:
     strict_dt: bool = False
     # True: win rate as whole-number division.
     integer_rate: bool = False
+    # True: cohort percent rounded to one decimal first, then to a whole number, as older
+    # dashboards did.
+    stepwise_percent: bool = False
 
     def __post_init__(self) -> None:
         if isinstance(self.as_of, datetime):

@@ -77,7 +77,10 @@ def _matrix(deals: DataFrame, config: SalesConfig, *keys: str) -> DataFrame:
         )
 
     long = counted.selectExpr(*keys, f"inline(array({', '.join(cell(c, m) for c, m in cells)}))")
-    percent = F.round(F.col("cumulative_closed") * 100.0 / F.col("total_deals")).cast("int")
+    percent = F.col("cumulative_closed") * 100.0 / F.col("total_deals")
+    if config.stepwise_percent:
+        percent = F.round(percent.cast("decimal(20, 10)"), 1)
+    percent = F.round(percent).cast("int")
     return long.withColumn(
         "cumulative_pct", F.when(F.col("total_deals") > 0, percent).otherwise(0)
     )

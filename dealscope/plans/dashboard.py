@@ -116,6 +116,21 @@ def numeric_equality_filter(
     return df.filter(_with_nulls(conditions[match_operator], value, null_option))
 
 
+def aggregated_filter(
+    df: DataFrame,
+    dimensions: Sequence[str | Column],
+    measures: Sequence[Column],
+    filtered: Column,
+    match_operator: str,
+    number: float,
+    null_option: str = NON_NULLS_ONLY,
+) -> DataFrame:
+    """Aggregated dataset of the groups whose ``filtered`` measure equals, or not, a number."""
+    grouped = agg_dataset(df, dimensions, [*measures, filtered.alias("_filtered")])
+    kept = numeric_equality_filter(grouped, "_filtered", match_operator, number, null_option)
+    return kept.drop("_filtered")
+
+
 def time_range_filter(
     df: DataFrame,
     column: str,
@@ -124,13 +139,28 @@ def time_range_filter(
     include_minimum: bool = True,
     include_maximum: bool = True,
     null_option: str = NON_NULLS_ONLY,
+    grain: str | None = None,
+    exclude_last: tuple[int, str] | None = None,
+    until=None,
 ) -> DataFrame:
-    """Keep rows inside a time range; either bound may be open, inclusive or not."""
-    value = F.col(column)
+    """Keep rows inside a time range; either bound may be open, inclusive or not.
+
+    With ``grain`` times are compared as the start of their period. ``exclude_last`` is a
+    number of periods of a grain: the period that holds ``until`` and those before it, so
+    many in all, are left out, and what follows them too.
+    """
+    value = F.col(column) if grain is None else date_granularity(column, grain)
     condition = F.lit(True)
+    if exclude_last is not None:
+        count, unit = exclude_last
+        if unit not in GRAINS or until is None:
+            raise ValueError("exclude_last takes (number, grain) and a time to count back from")
+        opened = F.date_trunc(unit, F.lit(until))
+        first_left_out = F.timestamp_add(unit, F.lit(1 - count), opened)
+        condition = F.col(column) < first_left_out
     if minimum is not None:
         low = F.lit(minimum)
-        condition = value >= low if include_minimum else value > low
+        condition = condition & (value >= low if include_minimum else value > low)
     if maximum is not None:
         high = F.lit(maximum)
         condition = condition & (value <= high if include_maximum else value < high)
@@ -189,6 +219,16 @@ def kpi_target(df: DataFrame, value: Column, target: Column) -> DataFrame:
     return totals.withColumn("progress", F.try_divide("value", "target"))
 
 
+def kpi_trend(
+    df: DataFrame, value: Column, target: Column, trend: str, grain: str
+) -> DataFrame:
+    """The same for each period of a trend group."""
+    totals = df.groupBy(date_granularity(trend, grain, "period")).agg(
+        value.alias("value"), target.alias("target")
+    )
+    return totals.withColumn("progress", F.try_divide("value", "target"))
+
+
 def quartile_band(df: DataFrame, value: str, band: str = "band") -> DataFrame:
     """Mark aggregated rows as TOP_25_PERCENT, BOTTOM_25_PERCENT or MIDDLE by a measure."""
     cuts = exact_quantiles(df, [], value, [0.25, 0.75]).select("quantiles").scalar()

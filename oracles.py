@@ -563,6 +563,15 @@ def statements() -> dict[str, str]:
         + ")",
     )
     out["v11_deal_cohort_closing_rates"] = _with(COHORTS, "SELECT * FROM rates")
+    out["v05_integer_win_rate"] = out["v05_deal_kpis_monthly"].replace(
+        "sum(CASE WHEN is_won THEN 1 ELSE 0 END) / count(*) AS win_rate",
+        "CAST(sum(CASE WHEN is_won THEN 1 ELSE 0 END) // count(*) AS BIGINT) AS win_rate",
+    )
+    whole = "round(cumulative_closed * 100.0 / total_deals)"
+    tenths = "round(round(CAST(cumulative_closed * 100.0 / total_deals AS DECIMAL(20, 10)), 1))"
+    out["v11_stepwise_percent"] = _with(
+        COHORTS.replace(whole, tenths), "SELECT * FROM rates"
+    )
     out["v12_deal_cohort_closing_rates_by_owner"] = _with(
         COHORTS_BY_OWNER,
         """SELECT *, strftime(cohort_month, '%B %Y') AS cohort_label_en,
@@ -843,6 +852,9 @@ def statements() -> dict[str, str]:
         """SELECT deal_id AS id, deal_stage, amount, count(*) AS versions FROM normalized
         GROUP BY ALL""",
     )
+    out["s01_read_landed_since"] = _with(
+        CONTACTS, "SELECT contact_id AS id, lastname FROM contacts WHERE k % 2 = 0"
+    )
     out["s02_read_curated"] = _with(
         ACTIVITIES,
         f"SELECT {SLIM_ACTIVITY} FROM activities WHERE dt BETWEEN '2024-01-08' AND '2024-01-14'",
@@ -904,6 +916,16 @@ def statements() -> dict[str, str]:
     out["d05_numeric_equality_filter"] = _with(
         DURATIONS, "SELECT deal_id, prep_to_sent_days FROM durations WHERE prep_to_sent_days = 5"
     )
+    out["d05_aggregated_filter"] = _with(
+        DURATIONS,
+        """SELECT owner_name, count(*) AS deals FROM durations
+        GROUP BY 1 HAVING sum(CASE WHEN is_won THEN 1 ELSE 0 END) <> 50""",
+    )
+    out["d06_excluded_period"] = _with(
+        DURATIONS,
+        """SELECT deal_id, created_at FROM durations
+        WHERE strftime(created_at, '%Y-%m') BETWEEN '2020-06' AND '2020-11'""",
+    )
     out["d06_time_range_filter"] = _with(
         DURATIONS,
         """SELECT deal_id, closed_won_at FROM durations
@@ -946,6 +968,13 @@ def statements() -> dict[str, str]:
         """SELECT count(*) FILTER (is_won) AS value, count(*) AS target,
           count(*) FILTER (is_won) / count(*) AS progress FROM durations""",
     )
+    out["d11_kpi_trend"] = _with(
+        DURATIONS,
+        """SELECT make_timestamp(year(created_at), 1, 1, 0, 0, 0) AS period,
+          count(*) FILTER (is_won) AS value, count(*) AS target,
+          count(*) FILTER (is_won) / count(*) AS progress FROM durations
+        GROUP BY year(created_at)""",
+    )
     out["d12_quartile_band"] = _with(
         DURATIONS,
         """, totals AS (SELECT owner_name, count(*) AS deals, sum(sales_cycle_days) AS days

@@ -7,6 +7,7 @@ write to a new folder below the shared one, and return what they read back.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -298,6 +299,21 @@ def n17_partition_date(spark, folder):
     )
 
 
+# --- options of views --------------------------------------------------------------------
+
+
+@query
+def v05_integer_win_rate(spark, folder):
+    config = replace(CONFIG, integer_rate=True)
+    return _with_money(layer(spark, folder, config).frame("deal_kpis_monthly"), "total_amount")
+
+
+@query
+def v11_stepwise_percent(spark, folder):
+    config = replace(CONFIG, stepwise_percent=True)
+    return layer(spark, folder, config).frame("deal_cohort_closing_rates")
+
+
 # --- incremental load --------------------------------------------------------------------
 
 
@@ -572,6 +588,18 @@ def s01_read_raw_objects(spark, folder):
     )
 
 
+@query
+def s01_read_landed_since(spark, folder):
+    """Raw contacts of one landing date, from a folder with two."""
+    path = fresh_path(spark, "raw-contacts")
+    rows = adapter.raw_contacts(spark, folder)
+    even = F.get_json_object("value", "$.id").cast("bigint") % 2 == 0
+    day = F.when(even, "2024-01-02").otherwise("2024-01-01")
+    rows.withColumn("landed", day).write.partitionBy("landed").text(path)
+    found = raw.read_raw_objects(spark, path, "contacts", landed_since="2024-01-02")
+    return found.select("id", normalize.prop("lastname").alias("lastname"))
+
+
 @query
 def s02_read_curated(spark, folder):
     path = fresh_path(spark, "activities")
@@ -723,6 +751,33 @@ def d05_numeric_equality_filter(spark, folder):
     return kept.select("deal_id", "prep_to_sent_days")
 
 
+@query
+def d05_aggregated_filter(spark, folder):
+    """Owners by deals, of those with exactly one won deal."""
+    return dashboard.aggregated_filter(
+        _per_deal(spark, folder),
+        ["owner_name"],
+        [_count().alias("deals")],
+        F.count_if("is_won"),
+        "DOES_NOT_EQUAL",
+        50,
+    )
+
+
+@query
+def d06_excluded_period(spark, folder):
+    """Months from June 2020 on, without the two that end in January 2021."""
+    kept = dashboard.time_range_filter(
+        _per_deal(spark, folder),
+        "created_at",
+        minimum=_utc(2020, 6, 1),
+        grain="MONTH",
+        exclude_last=(2, "MONTH"),
+        until=_utc(2021, 1, 15),
+    )
+    return kept.select("deal_id", "created_at")
+
+
 @query
 def d06_time_range_filter(spark, folder):
     kept = dashboard.time_range_filter(
@@ -785,6 +840,13 @@ def d11_kpi_target(spark, folder):
     return dashboard.kpi_target(_per_deal(spark, folder), F.count_if("is_won"), _count())
 
 
+@query
+def d11_kpi_trend(spark, folder):
+    return dashboard.kpi_trend(
+        _per_deal(spark, folder), F.count_if("is_won"), _count(), "created_at", "YEAR"
+    )
+
+
 @query
 def d12_quartile_band(spark, folder):
     totals = dashboard.agg_dataset(

@@ -110,6 +110,19 @@ def test_last_weeks_prune_partitions_and_columns(spark):
     assert "task_subject" not in scan
 
 
+def test_only_new_landings_are_scanned(spark):
+    from dealscope.sources.raw import read_raw_objects
+
+    path = fresh_path(spark, "raw")
+    rows = [('{"id": "1"}', "2024-01-01"), ('{"id": "2"}', "2024-01-02")]
+    frame = spark.createDataFrame(rows, "value string, landed string")
+    frame.write.partitionBy("landed").text(path)
+    found = read_raw_objects(spark, path, "contacts", landed_since="2024-01-02")
+    scan = next(line for line in physical(found).splitlines() if "FileScan" in line)
+    assert "2024-01-02" in scan[scan.index("PartitionFilters") : scan.index("PushedFilters")]
+    assert [r["id"] for r in found.collect()] == ["2"]
+
+
 def test_shuffles_are_sized_by_the_input(spark, settings, monkeypatch):
     from dealscope import session
 
