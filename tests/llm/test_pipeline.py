@@ -10,7 +10,7 @@ from dealscope.llm import secret_scan
 from dealscope.llm.queries import PACK_TOKENIZER
 
 from .test_host_rules import brute as measures
-from .test_simhash import brute_components, brute_print
+from .test_simhash import brute_copies
 from .test_winnowing import brute as leaks
 
 FOLDER = "/root/testdata/sf0.001"
@@ -20,7 +20,7 @@ def test_rows_equal_brute_force(spark):
     docs = sorted((r["doc_id"], r["text"]) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect())
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()]
     docs = [(i, t) for i, t in docs if not measures(t)[5]]
-    roots = brute_components([brute_print(t) for _, t in docs])
+    roots = brute_copies([t for _, t in docs])
     docs = [d for k, d in enumerate(docs) if roots[k] == k]
     found = leaks(docs, items)
     docs = [(i, t) for i, t in docs if not found[i][4]]

@@ -40,6 +40,51 @@ def brute_components(prints, radius=4):
     return [find(i) for i in range(len(values))]
 
 
+def brute_copies(texts):
+    """Roots of near copies: distinct words within 8 bits, and similar by sketch."""
+    prints, sketches = [], []
+    for t in texts:
+        words = {xxhash.xxh64(w, seed=42).intdigest() for w in t.encode().lower().split()}
+        n = len(words)
+        prints.append(sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in words) > n))
+        w = t.encode().lower().split()
+        least = {}
+        for i in range(max(1, len(w) - 4)):
+            h = xxhash.xxh64(b" ".join(w[i : i + 5]), seed=42).intdigest()
+            least[h >> 58] = min(least.get(h >> 58, h & 0xFFFFFFFF), h & 0xFFFFFFFF)
+        sketches.append(least)
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    first = {p: i for i, p in reversed(list(enumerate(prints)))}
+    for i, p in enumerate(prints):
+        for q, j in first.items():
+            a, b = sketches[first[p]], sketches[j]
+            same = sum(a.get(k) == v for k, v in b.items()) / len(a.keys() | b.keys())
+            if p == q or (p ^ q).bit_count() <= 8 and same >= 0.7:
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    return [find(i) for i in range(len(texts))]
+
+
+def test_small_edits_make_near_copies(spark):
+    rng = np.random.default_rng(11)
+    base = [f"w{rng.integers(0, 3000)}" for _ in range(300)]
+    texts = [" ".join(base)]
+    for edits in (1, 2, 4, 6, 150):
+        words = list(base)
+        for i in rng.choice(300, edits, replace=False):
+            words[i] = f"new{i}"
+        texts.append(" ".join(words))
+    ids = [r["doc_id"] for r in H.drop_near_copies(documents(spark, texts)).collect()]
+    assert sorted(ids) == [0, 5]
+    assert [i for i, r in enumerate(brute_copies(texts)) if i == r] == [0, 5]
+
+
 def test_table_equals_brute_force(spark):
     docs = sorted((r["doc_id"], r["text"]) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect())
     prints = [brute_print(t) for _, t in docs]
