@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import lru_cache
@@ -45,21 +46,16 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local session without that setting gets a folder of its own.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = folder or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
     folder = tempfile.mkdtemp(prefix="dealscope-")
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
-def ensure_checkpoints(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint`` write to the shared folder."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-
-
 @lru_cache(maxsize=64)
 def _stored_bytes(spark: SparkSession, path: str) -> int:
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
