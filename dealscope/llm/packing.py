@@ -76,7 +76,7 @@ class WordCache(dict):
     The cache is emptied when full and lives as long as the worker process.
     """
 
-    LIMIT = 300_000
+    LIMIT = 450_000
     _SPECIAL = b"<|"
     _BETWEEN = "<|startoftext|>"
     _FINAL = b".,;:!?"
@@ -114,7 +114,8 @@ class WordCache(dict):
             for word, i, j in zip(some, first, last, strict=True):
                 self[word] = data[i:j]
 
-    def _learn(self, words: set[bytes]) -> None:
+    def _learn(self, words: set[bytes]) -> list[bytes]:
+        """Add what is missing; those with final punctuation are returned, to be dropped."""
         new = [w for w in words if w not in self]
         if len(self) + len(new) > self.LIMIT:
             self.clear()
@@ -122,15 +123,20 @@ class WordCache(dict):
         parts = {w: self._parts(w) for w in new}
         needed = {p for pair in parts.values() for p in pair if p and p not in self}
         self._encode(list(needed))
-        for word, (core, final) in parts.items():
-            if final:
-                self[word] = self[core] + self[final]
+        composed = [w for w, (_, final) in parts.items() if final]
+        for word in composed:
+            core, final = parts[word]
+            self[word] = self[core] + self[final]
+        return composed
 
     def encode_all(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text. A-Z go in lower case first, as the tokenizer does it."""
         split = [(t if self._SPECIAL in t else t.lower()).split() for t in texts]
-        self._learn(set().union(*split))
-        return [b"".join(map(self.__getitem__, words)) for words in split]
+        composed = self._learn(set().union(*split))
+        ids = [b"".join(map(self.__getitem__, words)) for words in split]
+        for word in composed:
+            del self[word]
+        return ids
 
 
 @lru_cache(maxsize=2)
