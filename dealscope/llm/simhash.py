@@ -10,7 +10,7 @@ probes the values within the threshold; buckets are verified on all 64 bits.
 
 The estimates come from bit counts over all fingerprints and only steer the cost: any choice
 finds every link. Only distinct fingerprints are compared. A bucket gives a spanning forest
-of its links, not all pairs, so a large group of near copies makes a linear number of rows.
+of its links, not all pairs of a large group, so near copies make a linear number of rows.
 Components are found by alternating star contraction on tables in the shared folder.
 
 ``drop_near_copies``, for pipelines, links texts by the words they have in common: its
@@ -273,36 +273,46 @@ def _masks(part: list[int], threshold: int) -> tuple[int, np.ndarray]:
     return sum(1 << b for b in part), np.array(flips, np.uint64)
 
 
+# Groups and buckets of up to so many values are compared pair by pair.
+_SWEEP = 48
+
+
+def _all_pairs(values: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    i, j = np.triu_indices(len(values), 1)
+    near = np.bitwise_count(values[i] ^ values[j]) <= radius
+    return values[i[near]], values[j[near]]
+
+
 def bucket_links(values: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
     """Links that span all linked values of one bucket.
 
     A search from each value looks only at values not reached yet, so a dense group costs
-    about one pass and gives one link less than it has values.
+    about one pass. A small group gives all its links, a large one a spanning tree.
     """
     rest = np.unique(values)
     left, right = [], []
     while len(rest) > 1:
-        waiting, rest = [rest[:1]], rest[1:]
+        group, tree, waiting, rest = [rest[:1]], [], [rest[:1]], rest[1:]
         while waiting and len(rest):
-            near = waiting.pop()
-            for x in near:
+            for x in waiting.pop():
                 hit = np.bitwise_count(rest ^ x) <= radius
                 if hit.any():
                     found, rest = rest[hit], rest[~hit]
-                    left.append(np.full(len(found), x))
-                    right.append(found)
+                    tree.append((np.full(len(found), x), found))
+                    group.append(found)
                     waiting.append(found)
                 if not len(rest):
                     break
+        members = np.concatenate(group)
+        if 2 < len(members) <= _SWEEP:
+            tree = [_all_pairs(members, radius)]
+        left += [a for a, _ in tree]
+        right += [b for _, b in tree]
     if not left:
         return np.empty(0, np.uint64), np.empty(0, np.uint64)
     return np.concatenate(left), np.concatenate(right)
 
 
-# Buckets of up to so many values are compared in one vectorised sweep.
-_SWEEP = 48
-
-
 def _run_links(
     keys: np.ndarray, values: np.ndarray, radius: int
 ) -> tuple[np.ndarray, np.ndarray]:
