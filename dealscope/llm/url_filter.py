@@ -5,9 +5,10 @@ vocabulary: an Aho-Corasick automaton finds its terms in one pass over the lower
 a hit counts only between characters that are not letters or digits, and the url is
 rejected on one strict term or on several distinct soft ones.
 
-Defined results: a url that is null or has no ``://`` has an empty host and path, no rule,
-and is allowed; repeated rows are judged one by one; extra columns pass through, and a
-column named like a new one is replaced.
+Defined results: a url without ``://`` has an empty host and path and no rule, so the
+vocabulary decides over the whole of it; a null url has no terms and is allowed; repeated
+rows are judged one by one; extra columns pass through, and a column named like a new one is
+replaced.
 """
 
 from __future__ import annotations
@@ -140,7 +141,7 @@ def judge_urls(
         def judge(value: str | None) -> tuple:
             host, path = split_url(value)
             found = index.find(host, path)
-            hits = counter.hits(value if host or path else "")
+            hits = counter.hits(value or "")
             rule, verdict = found or (None, "block" if counter.rejects(hits) else "allow")
             return host, path, rule, verdict, len(hits[0]), len(hits[1])
 

@@ -64,3 +64,12 @@ def test_empty_vocabulary_and_rules(spark):
     pages = spark.createDataFrame([(1, "http://a.net/porn")], "page_id long, url string")
     none = U.Vocabulary(strict=(), soft=())
     assert U.judge_urls(pages, rules={}, vocabulary=none).first()["verdict"] == "allow"
+
+
+def test_vocabulary_decides_without_a_scheme(spark):
+    urls = ["www.casino.example/xxx", "//host/porn", "ads track", "ads", "http://?porn", "leads", None]
+    rows = [(i, u) for i, u in enumerate(urls)]
+    out = U.judge_urls(spark.createDataFrame(rows, "page_id long, url string")).orderBy("page_id").collect()
+    assert [r["verdict"] for r in out] == ["block"] * 3 + ["allow", "block", "allow", "allow"]
+    assert [(r["n_strict"], r["n_soft"]) for r in out[:4]] == [(2, 0), (1, 0), (0, 2), (0, 1)]
+    assert all(r["host"] == r["path"] == "" and r["rule"] is None for r in out)
