@@ -180,9 +180,12 @@ def judge_documents(
 
 
 def keep_good(docs: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
-    """The documents that are kept, with all their columns."""
-    marked = judge_documents(docs, text, host)
-    names = {f.name.lower() for f in FEATURES} | {"kept"}
-    if names & {c.lower() for c in docs.columns}:
-        raise ValueError("documents have a column named like a measure")
-    return marked.where("kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The documents that are kept, with all their columns, also those named like a measure."""
+    measures = {f.name.lower() for f in FEATURES} | {"kept"}
+    inside = {
+        c: free_name(docs, f"input_{c}") if c.lower() in measures else c for c in docs.columns
+    }
+    renamed = docs.select(*[F.col(f"`{c}`").alias(name) for c, name in inside.items()])
+    marked = judge_documents(renamed, inside.get(text, text), inside.get(host, host))
+    kept = marked.where("kept")
+    return kept.select(*[F.col(f"`{name}`").alias(c) for c, name in inside.items()])

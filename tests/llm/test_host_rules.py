@@ -90,3 +90,17 @@ def test_edges(spark):
     assert H.keep_good(docs.where("false")).count() == 0
     clash = docs.withColumnRenamed("lang", "kept")
     assert H.judge_documents(clash).columns.count("kept") == 1
+
+
+def test_kept_documents_keep_columns_named_like_measures(spark):
+    docs = documents(spark, [good(1), "bad", good(2)])
+    names = ["n_words", "word_chars", "N_Symbols", "n_dup_lines", "n_repeat_words",
+             "base_failed", "rule_failed", "kept", "input_kept"]
+    extra = docs.selectExpr("*", *[f"concat('{n}', doc_id) AS {n}" for n in names])
+    out = H.keep_good(extra)
+    assert out.columns == extra.columns
+    rows = out.orderBy("doc_id").collect()
+    assert [r["doc_id"] for r in rows] == [0, 2]
+    assert all(r[n] == f"{n}{r['doc_id']}" for r in rows for n in names)
+    other = docs.selectExpr("doc_id", "text AS n_words", "source AS kept")
+    assert sorted(r["doc_id"] for r in H.keep_good(other, "n_words", "kept").collect()) == [0, 2]
