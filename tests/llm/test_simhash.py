@@ -199,3 +199,60 @@ def test_one_document_of_each_group_stays(spark):
         groups[r["text"]] += 1
     assert set(groups.values()) == {1}
     assert H.drop_near_copies(docs.where("false")).count() == 0
+
+
+def shingles(text):
+    words = (text or "").encode().lower().split()
+    return {b" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def brute_similar(texts):
+    """Roots by exact similarity of five-word shingles, all pairs compared."""
+    sets = [shingles(t) for t in texts]
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if 5 * len(a & b) >= 4 * len(a | b):
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    return [find(i) for i in range(len(texts))]
+
+
+def edited_texts(rng, groups, each):
+    """Edited copies around similarity 0.8, shuffled copies, one passage that many share."""
+    passage = " ".join(f"p{i}" for i in range(120))
+    texts = []
+    for g in range(groups):
+        base = [f"g{g}w{rng.integers(0, 90)}" for _ in range(rng.integers(20, 200))]
+        texts.append(" ".join(base))
+        for _ in range(each):
+            words = list(base)
+            for at in rng.choice(len(words), max(1, len(words) * rng.integers(1, 6) // 100)):
+                words[at] = f"new{rng.integers(0, 10**9)}"
+            texts.append(" ".join(words))
+        texts.append(" ".join(rng.permutation(base)))
+        texts.append(f"{passage} {' '.join(base[:60])}")
+    return [texts[i] for i in rng.permutation(len(texts))]
+
+
+def kept_ids(docs):
+    return sorted(r["doc_id"] for r in H.drop_near_copies(docs).collect())
+
+
+def test_near_copies_of_the_small_table(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    rows = sorted((r["doc_id"], r["text"]) for r in docs.collect())
+    roots = brute_similar([t for _, t in rows])
+    assert kept_ids(docs) == [rows[k][0] for k, r in enumerate(roots) if r == k]
+
+
+def test_same_words_in_another_order_are_no_copies(spark):
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(words), " ".join(words[::-1]), " ".join(words).upper()]
+    assert kept_ids(documents(spark, texts)) == [0, 1]
