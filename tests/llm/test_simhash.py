@@ -256,3 +256,20 @@ def test_same_words_in_another_order_are_no_copies(spark):
     words = [f"w{i}" for i in range(60)]
     texts = [" ".join(words), " ".join(words[::-1]), " ".join(words).upper()]
     assert kept_ids(documents(spark, texts)) == [0, 1]
+
+
+def test_large_groups_lose_no_link(spark):
+    """Copies with other edits are below 0.8 to the hub, but not to each other."""
+    rng = np.random.default_rng(8)
+    base = [f"w{i}" for i in range(200)]
+    texts = []
+    for g in range(30):
+        words = list(base)
+        for at in rng.choice(200, 14, replace=False):
+            words[at] = f"v{g}x{at}"
+        for k in range(5):
+            other = list(words)
+            other[int(rng.integers(0, 200))] = f"own{g}x{k}"
+            texts.append(" ".join(other))
+    roots = brute_similar(texts)
+    assert kept_ids(documents(spark, texts)) == sorted(set(roots)) and len(set(roots)) == 30
