@@ -245,6 +245,17 @@ def kept_ids(docs):
     return sorted(r["doc_id"] for r in H.drop_near_copies(docs).collect())
 
 
+@pytest.mark.parametrize("common", [0, 1])
+def test_near_copies_are_those_of_exact_similarity(spark, monkeypatch, common):
+    if common:  # every shingle of two texts counts as common
+        monkeypatch.setattr(H, "_SAMPLED", 1)
+        monkeypatch.setattr(H, "_COMMON", 2)
+    texts = edited_texts(np.random.default_rng(5), 40, 6)
+    roots = brute_similar(texts)
+    assert 60 < len(set(roots)) < len(texts) - 60
+    assert kept_ids(documents(spark, texts)) == sorted(set(roots))
+
+
 def test_near_copies_of_the_small_table(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     rows = sorted((r["doc_id"], r["text"]) for r in docs.collect())
