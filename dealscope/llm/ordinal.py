@@ -9,7 +9,8 @@ those with the smallest hash of their id; counting and scoring cover every docum
 
 Defined results: null text has no words and is scored by its document features alone; rated
 ids without a document, and ratings with a null quality, are not learned from; a null toxic
-rating counts as 0; an id that is rated several times takes its lowest grade; without any
+rating counts as 0; an id that is rated several times takes its lowest grade; of documents
+that repeat a rated id, the text of least hash is learned from; without any
 rating all grades are equally likely; repeated rows are scored each; an empty table gives no
 rows; extra columns pass through, and a column named like a new one is replaced.
 """
@@ -162,7 +163,11 @@ def graded(labels: DataFrame) -> DataFrame:
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", sample: int = SAMPLE) -> Ordinal:
     """Fit on the documents of at most ``sample`` rated ids."""
     chosen = graded(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rated = docs.select("doc_id", text).join(F.broadcast(chosen), "doc_id")
+    rated = docs.select("doc_id", F.col(text).alias("text")).join(F.broadcast(chosen), "doc_id")
+    # A row per id, so that what is collected is bounded by the sample.
+    rated = rated.groupBy("doc_id", "grade").agg(
+        F.min_by("text", F.xxhash64("text")).alias("text")
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features()
@@ -172,7 +177,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", sample: int =
                 [batch.column(0), pa.array(made, pa.binary())], names=["grade", "ids"]
             )
 
-    rows = rated.select("grade", text).mapInArrow(run, "grade int, ids binary").toArrow()
+    rows = rated.select("grade", "text").mapInArrow(run, "grade int, ids binary").toArrow()
     ids = [np.frombuffer(x, np.int32) for x in rows.column("ids").to_pylist()]
     return fit(ids, rows.column("grade").to_numpy().astype(np.int64))
 

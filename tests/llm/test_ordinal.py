@@ -59,3 +59,15 @@ def test_sample_is_bounded_and_deterministic(spark):
     labels = spark.createDataFrame([(i, i % 2, 0) for i in range(50)], "doc_id long, quality int, toxic int")
     a, b = (O.train(d, labels, sample=20) for d in (docs, docs.repartition(7)))
     assert np.allclose(a.weights, b.weights) and np.allclose(a.thresholds, b.thresholds)
+
+
+def test_repeated_ids_are_learned_from_once(spark, monkeypatch):
+    docs = documents(spark, [f"text {i}" for i in range(12)])
+    docs = docs.unionByName(docs.where("doc_id = 3").selectExpr("explode(array_repeat(struct(*), 500)) r").select("r.*"))
+    docs = docs.unionByName(docs.where("doc_id = 4").selectExpr("doc_id", "text || ' b' text", "lang", "source", "n_chars"))
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(10)], "doc_id long, quality int, toxic int")
+    sizes, fit = [], O.fit
+    monkeypatch.setattr(O, "fit", lambda rows, grades: sizes.append((len(rows), len(grades))) or fit(rows, grades))
+    a, b = (O.train(d, labels) for d in (docs, docs.repartition(5)))
+    assert sizes == [(10, 10)] * 2
+    assert np.allclose(a.weights, b.weights) and np.allclose(a.thresholds, b.thresholds)
