@@ -31,7 +31,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -452,6 +452,18 @@ def similar(common: int, left: int, right: int) -> bool:
     return COPY_PARTS * common >= (COPY_PARTS - 1) * (left + right - common)
 
 
+def _may_be_similar(n: Column, left: Column, right: Column) -> Column:
+    """Whether sets of those sizes that have n first shingles in common can be similar.
+
+    Of the two sets, that whose last first shingle comes earlier has no other shingles in
+    common with the other one than those n and, at most, all that are not among its first.
+    """
+    rest = F.greatest(*[x - F.floor(x / COPY_PARTS) - 1 for x in (left, right)])
+    whole, part = 2 * COPY_PARTS - 1, COPY_PARTS - 1
+    sizes = COPY_PARTS * F.least(left, right) >= part * F.greatest(left, right)
+    return sizes & (whole * (n + rest) >= part * (left + right))
+
+
 def _shingle_set(text: bytes) -> np.ndarray:
     return np.unique(shingle_hashes(text, COPY_SHINGLE))
 
@@ -557,7 +569,7 @@ def _bounds(values: np.ndarray) -> np.ndarray:
 
 
 def shared_shingles(sets: DataFrame) -> DataFrame:
-    """(shingle, key, size, hub): the first shingles of two or more sets.
+    """(shingle, key, size, hub, hub_size): the first shingles of two or more sets.
 
     The hub of a shingle is the least key that has it.
     """
@@ -583,11 +595,11 @@ def shared_shingles(sets: DataFrame) -> DataFrame:
             shingle, key, size = shingle[new], key[new], size[new]
             edges = _bounds(shingle)
             times = np.diff(edges)
-            hub = np.repeat(key[edges[:-1]], times)
+            hub, hub_size = (np.repeat(x[edges[:-1]], times) for x in (key, size))
             more = np.repeat(times > 1, times)
             yield pa.RecordBatch.from_arrays(
-                [long_array(x[more]) for x in (shingle, key, size, hub)],
-                names=["shingle", "key", "size", "hub"],
+                [long_array(x[more]) for x in (shingle, key, size, hub, hub_size)],
+                names=["shingle", "key", "size", "hub", "hub_size"],
             )
 
     return (
@@ -595,15 +607,12 @@ def shared_shingles(sets: DataFrame) -> DataFrame:
         .mapInArrow(emit, "shingle long, key long, size long")
         .repartition("shingle")
         .sortWithinPartitions("shingle")
-        .mapInArrow(run, "shingle long, key long, size long, hub long")
+        .mapInArrow(run, "shingle long, key long, size long, hub long, hub_size long")
     )
 
 
 def apart(shared: DataFrame, joined: DataFrame) -> DataFrame:
-    """(a, b) with a < b: sets that share a first shingle and are not in one group yet.
-
-    Pairs whose sizes alone keep them below the similarity are left out.
-    """
+    """(a, b) with a < b: sets that may be similar and are not in one group yet."""
     grouped = shared.join(joined.withColumnRenamed("node", "key"), "key", "left").select(
         "shingle", "size", "key", F.coalesce("root", "key").alias("root")
     )
@@ -619,31 +628,39 @@ def apart(shared: DataFrame, joined: DataFrame) -> DataFrame:
                     size[low:high], COPY_PARTS * size[low:high] // (COPY_PARTS - 1), "right"
                 )
                 for i in range(low, high - 1):
-                    span = slice(i + 1, low + int(reach[i - low]))
-                    other = key[span][root[span] != root[i]]
+                    other = np.arange(i + 1, low + int(reach[i - low]))
+                    other = other[root[other] != root[i]]
                     if len(other):
-                        left.append(np.full(len(other), key[i]))
+                        left.append(np.full(len(other), i))
                         right.append(other)
                         held += len(other)
                     if held > 1 << 20:
-                        yield _pairs(left, right)
+                        yield _pairs(key, size, left, right)
                         left, right, held = [], [], 0
             if held:
-                yield _pairs(left, right)
+                yield _pairs(key, size, left, right)
 
     return (
         grouped.repartition("shingle")
         .sortWithinPartitions("shingle", "size")
-        .mapInArrow(run, "a long, b long")
-        .distinct()
+        .mapInArrow(run, "a long, b long, size_a long, size_b long, n long")
+        .groupBy("a", "b", "size_a", "size_b")
+        .agg(F.sum("n").alias("n"))
+        .where(_may_be_similar(F.col("n"), F.col("size_a"), F.col("size_b")))
+        .select("a", "b")
     )
 
 
-def _pairs(left: list[np.ndarray], right: list[np.ndarray]) -> pa.RecordBatch:
+def _pairs(
+    key: np.ndarray, size: np.ndarray, left: list[np.ndarray], right: list[np.ndarray]
+) -> pa.RecordBatch:
+    """Pairs of positions as keys with sizes, and how often each pair is there."""
     x, y = np.concatenate(left), np.concatenate(right)
-    pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)]), axis=1)
+    x, y = np.where(key[x] < key[y], x, y), np.where(key[x] < key[y], y, x)
+    both = np.stack([key[x], key[y], size[x], size[y]])
+    pairs, n = np.unique(both, axis=1, return_counts=True)
     return pa.RecordBatch.from_arrays(
-        [long_array(pairs[0]), long_array(pairs[1])], names=["a", "b"]
+        [long_array(c) for c in (*pairs, n)], names=["a", "b", "size_a", "size_b", "n"]
     )
 
 
@@ -694,14 +711,21 @@ def similar_links(
 def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, text_hash, component_id): groups that similar shingle sets connect.
 
-    First each set is compared with the hub of each of its first shingles, which joins the
-    members of large groups by a linear number of links. Then every two sets that share a
-    first shingle and are in different groups still are compared.
+    First each set is compared with the hubs of its first shingles, which joins the members
+    of large groups by a linear number of links. Then every two sets that share enough first
+    shingles and are in different groups still are compared.
     """
     sets = written(shingle_sets(docs, doc_id, text), "shingle_sets")
     shared = written(shared_shingles(sets), "shared_shingles")
-    star = shared.where("hub <> key").select(F.col("hub").alias("a"), F.col("key").alias("b"))
-    links_made = similar_links(written(star.distinct(), "stars"), sets, docs, doc_id, text)
+    star = (
+        shared.where("hub <> key")
+        .groupBy(F.col("hub").alias("a"), F.col("key").alias("b"), "hub_size", "size")
+        .agg(F.count("*").alias("n"))
+        .where(_may_be_similar(F.col("n"), F.col("hub_size"), F.col("size")))
+        .select("a", "b")
+    )
+    star = written(star, "stars")
+    links_made = similar_links(star, sets, docs, doc_id, text)
     rooted = written(components(links_made), "rooted")
     rest = written(apart(shared, rooted).join(star, ["a", "b"], "left_anti"), "apart")
     more = similar_links(rest, sets, docs, doc_id, text)
