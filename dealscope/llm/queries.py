@@ -15,15 +15,17 @@ from . import (
     packing,
     secret_scan,
     simhash,
+    token_alignment,
     token_edits,
     url_filter,
     warc,
     winnowing,
 )
-from .common import table
+from .common import table, written
 
 PACK_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 COUNT_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+ALIGN_TOKENIZERS = COUNT_TOKENIZER, public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
@@ -124,6 +126,17 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Alignment of two tokenizers on each document, and how usual its links are."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    aligned = token_alignment.align_documents(docs, *ALIGN_TOKENIZERS, public_tokenizers.PATTERN)
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+    with token_alignment.aligned_rows(docs):
+        aligned = written(aligned.withColumn("groups_sha256", digest).drop("groups"), "aligned")
+        pairs = written(token_alignment.link_counts(aligned), "link_counts")
+    return token_alignment.score_links(aligned, pairs)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -137,5 +150,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_ordinal_quality,
         op9_token_edits,
         op10_simhash,
+        op11_token_alignment,
     )
 }
