@@ -83,7 +83,60 @@ _DECONTAMINATION = f"""
       coalesce(n_hit, 0) > 0 AS contaminated
     FROM doc_words LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)"""
 
+# CRC-32 of a decimal number's characters, bit by bit. Prefixes are lists of turns.
+_CRC_BIT = "xor(c // 2, CASE WHEN c % 2 = 1 THEN 3988292384 ELSE 0 END)"
+_CONVERSATION_TRIE = f"""
+    WITH said AS (
+      SELECT conv_id, turn, octet_length(encode(coalesce(text, ''))) AS size,
+        md5(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '')
+          || coalesce(text, '')) AS digest
+      FROM conversations WHERE conv_id IS NOT NULL),
+    numbered AS (
+      SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) - 1
+        AS pos
+      FROM said),
+    convs AS (
+      SELECT DISTINCT conv_id, conv_id - ((conv_id % 5) + 5) % 5 AS base,
+        xor(list_reduce(list_prepend(4294967295::BIGINT,
+          list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: ord(x)::BIGINT)),
+          lambda crc, b: list_reduce(list_prepend(xor(crc, b), range(8)), lambda c, k: {_CRC_BIT})),
+          4294967295::BIGINT) % 9 AS head
+      FROM said),
+    rebuilt AS (
+      SELECT c.conv_id, n.pos, n.digest, n.size
+      FROM convs c JOIN numbered n ON n.conv_id = c.base AND n.pos < c.head
+      UNION ALL
+      SELECT c.conv_id, n.pos, n.digest, n.size
+      FROM convs c JOIN numbered n ON n.conv_id = c.conv_id AND n.pos >= c.head),
+    paths AS (
+      SELECT c.conv_id, coalesce(list(digest ORDER BY pos) FILTER (digest IS NOT NULL), []) AS path,
+        coalesce(list(size ORDER BY pos) FILTER (digest IS NOT NULL), []) AS sizes
+      FROM convs c LEFT JOIN rebuilt r USING (conv_id) GROUP BY c.conv_id),
+    steps AS (SELECT *, unnest(range(len(path) + 1)) AS depth FROM paths),
+    nodes AS (
+      SELECT depth, path[1 : depth] AS prefix, min(conv_id) AS conv_id, count(*) AS n_convs,
+        any_value(CASE WHEN depth = 0 THEN 0 ELSE sizes[depth] END) AS size,
+        sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)
+          FILTER (len(path) = depth), '')) AS ends_sha256
+      FROM steps GROUP BY depth, prefix),
+    families AS (
+      SELECT c.prefix[1 : c.depth - 1] AS prefix, count(*) AS n_children
+      FROM nodes c WHERE c.depth > 0 GROUP BY 1),
+    leaves AS (
+      SELECT n.*, coalesce(f.n_children, 0) AS n_children
+      FROM nodes n LEFT JOIN families f USING (prefix)),
+    above AS (SELECT *, unnest(range(depth + 1)) AS d FROM leaves),
+    sums AS (
+      SELECT prefix[1 : d] AS prefix, count(*) FILTER (n_children = 0) AS n_leaves,
+        CAST(sum((n_convs - 1) * size) AS BIGINT) AS saved_tokens
+      FROM above GROUP BY 1)
+    SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children,
+      s.n_leaves, s.saved_tokens, n.ends_sha256
+    FROM leaves n JOIN sums s USING (prefix)
+    LEFT JOIN nodes p ON n.depth > 0 AND p.prefix = n.prefix[1 : n.depth - 1]"""
+
 ORACLES: dict[str, str] = {
     "op2_url_filter": _url_filter(),
     "op5_decontamination": _DECONTAMINATION,
+    "op13_conversation_trie": _CONVERSATION_TRIE,
 }

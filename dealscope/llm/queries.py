@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import (
     context_tree,
+    conversation_trie,
     host_rules,
     ordinal,
     packing,
@@ -137,6 +138,40 @@ def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return token_alignment.score_links(aligned, pairs)
 
 
+def _branched(digests: DataFrame) -> DataFrame:
+    """Conversations that take their first turns from the first of their five.
+
+    Every conversation also gets a row without a turn, so that it stays if no turn is left.
+    """
+    order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "digest")
+    own = F.col("conv_id")
+    numbered = digests.select(
+        "conv_id",
+        (F.row_number().over(order) - 1).alias("turn"),
+        "digest",
+        "size",
+        (own - F.pmod(own, F.lit(5))).alias("base"),
+        (F.crc32(own.cast("string").cast("binary")) % 9).alias("head"),
+    )
+    numbered = written(numbered, "numbered_turns")
+    convs = numbered.where("turn = 0").select("conv_id", "base", "head")
+    first = numbered.where("conv_id = base AND turn < 8").select("base", "turn", "digest", "size")
+    columns = ["conv_id", "turn", "digest", "size"]
+    taken = convs.join(first, "base").where("turn < head").select(*columns)
+    marks = convs.select(
+        "conv_id", F.lit(-1).alias("turn"), F.lit(None).cast("binary").alias("digest"),
+        F.lit(0).cast("long").alias("size"),
+    )
+    kept = numbered.where("turn >= head").select(*columns)
+    return kept.unionByName(taken).unionByName(marks)
+
+
+def op13_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Nodes of the prefix trie of conversations that share the heads of others."""
+    turns = conversation_trie.turn_digests(table(spark, folder, "conversations"))
+    return conversation_trie.trie_nodes(_branched(turns))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -151,5 +186,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_token_edits,
         op10_simhash,
         op11_token_alignment,
+        op13_conversation_trie,
     )
 }
