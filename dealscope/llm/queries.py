@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import (
+    bbit_minhash,
     context_tree,
     conversation_trie,
     host_rules,
@@ -138,6 +139,13 @@ def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return token_alignment.score_links(aligned, pairs)
 
 
+def op12_bbit_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Size of each document's shingle set, and the component of its near-duplicates."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    return bbit_minhash.cluster(docs).withColumn("kept", kept)
+
+
 def _branched(digests: DataFrame) -> DataFrame:
     """Conversations that take their first turns from the first of their five.
 
@@ -186,6 +194,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_token_edits,
         op10_simhash,
         op11_token_alignment,
+        op12_bbit_minhash,
         op13_conversation_trie,
     )
 }
