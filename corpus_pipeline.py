@@ -25,8 +25,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates, the document with the smallest id stays."""
-    return simhash.drop_near_copies(docs)
+    """Of each component of near-duplicate fingerprints, the document with the smallest id stays."""
+    return simhash.drop_near_copies(docs, radius=simhash.RADIUS, shingle=simhash.SHINGLE)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +39,7 @@ def remove_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     clean = secret_scan.redact_secrets(docs)
     if "n_chars" in clean.columns:
         clean = clean.withColumn("n_chars", F.char_length("text").cast("long"))
-    return clean.select(*docs.columns)
+    return clean.select(*[f"`{c}`" for c in docs.columns])
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
