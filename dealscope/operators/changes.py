@@ -55,6 +55,28 @@ def changed_by(
     )
 
 
+def not_due(created: Column, modified: Column, now: datetime) -> Column:
+    """Whether all times that a row has lie beyond ``now``."""
+    return F.coalesce(F.least(created, modified) > F.lit(now), F.lit(False))
+
+
+def due_changes(
+    rows: DataFrame, created: Column, modified: Column, window: SyncWindow, now: datetime
+) -> DataFrame:
+    """Rows that count in a run at ``now``: all that are due, or those changed in the window.
+
+    Both ways see the same versions of a row. One that was created by now but says that it
+    was modified later is no older than the window, so it counts as changed.
+    """
+    if not window.incremental:
+        return rows.filter(~not_due(created, modified, now))
+    changed = _within(created, window.created_since, now) | _within(
+        modified, window.modified_since, now
+    )
+    ahead = (modified > F.lit(now)) & (created <= F.lit(now))
+    return rows.filter(changed | ahead)
+
+
 def latest_changes(
     changes: DataFrame, keys: Sequence[str], within_set: Sequence[Column]
 ) -> DataFrame:

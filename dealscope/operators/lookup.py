@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Keys up to which a set of them is broadcast: some megabytes.
+BROADCAST_KEYS = 200_000
+
 
 def lookup(facts: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     """Left join of facts to a dimension with one row per key.
@@ -21,6 +24,11 @@ def lookup(facts: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     return left.join(right, [key, "_side"], "left").drop("_side")
 
 
+def few_broadcast(keys: DataFrame, most: int = BROADCAST_KEYS) -> DataFrame:
+    """``keys`` with a broadcast hint if a count, which stops beyond ``most``, proves them few."""
+    return F.broadcast(keys) if keys.limit(most + 1).count() <= most else keys
+
+
 def with_owner_name(rows: DataFrame, owners: DataFrame) -> DataFrame:
     """Add ``owner_name``: the owner's name, else the id."""
     names = owners.select("owner_id", F.col("owner_name").alias("_name"))

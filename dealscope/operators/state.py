@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dealscope.schemas import SYNC_STATE
+from dealscope.schemas import LANDING_STATE, SYNC_STATE
 from dealscope.sources.curated import overwrite_partitions, read_curated
 
 
@@ -43,3 +43,27 @@ def put_sync_state(
     )
     update = spark.createDataFrame([row], SYNC_STATE)
     overwrite_partitions(update, path, ["object_type"])
+
+
+def _landing_path(path: str) -> str:
+    return f"{path}_landed"
+
+
+def get_landing_mark(spark: SparkSession, path: str, object_type: str) -> str | None:
+    """Latest landing date that a run of this object type has read; None before the first."""
+    table = read_curated(spark, _landing_path(path), LANDING_STATE)
+    if table is None:
+        return None
+    row = table.filter(F.col("object_type") == object_type).first()
+    return None if row is None else row["last_landed"]
+
+
+def put_landing_mark(
+    spark: SparkSession, path: str, object_type: str, last_landed: str | None
+) -> None:
+    """Record the date up to which the landing folders are read; it never falls."""
+    before = get_landing_mark(spark, path, object_type)
+    if last_landed is None or (before is not None and before >= last_landed):
+        return
+    update = spark.createDataFrame([(last_landed, object_type)], LANDING_STATE)
+    overwrite_partitions(update, _landing_path(path), ["object_type"])

@@ -105,6 +105,14 @@ def activity_volume_by_owner(
     )
 
 
+def near_period(config: SalesConfig) -> Column:
+    """Whether a row is of a listed owner and was created in or near the weeks."""
+    weeks = recent_weeks(config)
+    allowed = F.col("owner_id").isin(list(config.owner_allow_list))
+    near_dt = near_weeks_dt(F.col("dt"), weeks, 0 if config.strict_dt else 1)
+    return allowed & near_weeks(F.col("created_at"), weeks, config.zone) & near_dt
+
+
 def activity_volume_by_owner_type_last3weeks(
     activities: DataFrame,
     contacts: DataFrame,
@@ -121,16 +129,14 @@ def activity_volume_by_owner_type_last3weeks(
     if not config.owner_allow_list:
         raise ValueError("owner_allow_list names the owners to report on")
     weeks = recent_weeks(config)
-    slack = 0 if config.strict_dt else 1
     allowed = F.col("owner_id").isin(list(config.owner_allow_list))
     near = near_weeks(F.col("created_at"), weeks, config.zone)
     near_modified = near_weeks(F.col("last_modified_at"), weeks, config.zone)
-    near_dt = near_weeks_dt(F.col("dt"), weeks, slack)
 
     events = (
-        _activity_events(activities.filter(allowed & near & near_dt))
+        _activity_events(activities.filter(near_period(config)))
         .unionByName(_contact_events(contacts.filter(allowed & (near | near_modified))))
-        .unionByName(_deal_events(latest.filter(allowed & near & near_dt)))
+        .unionByName(_deal_events(latest.filter(near_period(config))))
     )
     counts = (
         events.withColumn("week_start", local_week(F.col("created_at"), config.zone))

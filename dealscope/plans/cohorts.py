@@ -24,6 +24,12 @@ from dealscope.functions.calendar import (
 from dealscope.operators.lookup import with_owner_name
 
 
+def near_period(config: SalesConfig) -> Column:
+    """Whether a deal was created in or near the cohort months."""
+    months = cohorts(config)
+    return near_days(F.col("created_at"), months[0], month_end(months[-1]), config.zone)
+
+
 def _cohort_deals(latest: DataFrame, config: SalesConfig) -> DataFrame:
     """(owner_id, cohort_month, closed_month) of the deals created in a cohort month.
 
@@ -36,7 +42,7 @@ def _cohort_deals(latest: DataFrame, config: SalesConfig) -> DataFrame:
         return F.when(month.between(F.lit(months[0]), F.lit(months[-1])), month)
 
     return (
-        latest.filter(near_days(F.col("created_at"), months[0], month_end(months[-1]), config.zone))
+        latest.filter(near_period(config))
         .select(
             "owner_id",
             month_of("created_at").alias("cohort_month"),

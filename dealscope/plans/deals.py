@@ -10,7 +10,7 @@ from dealscope.config import SalesConfig
 from dealscope.functions.categories import deal_status_quality
 from dealscope.functions.parsing import number
 from dealscope.operators.dedupe import latest_per_key
-from dealscope.operators.lookup import lookup, with_owner_name
+from dealscope.operators.lookup import few_broadcast, lookup, with_owner_name
 from dealscope.schemas import DEALS
 
 
@@ -26,6 +26,19 @@ def deals_latest(deals: DataFrame) -> DataFrame:
     )
 
 
+def deals_latest_near(deals: DataFrame, near: Column) -> DataFrame:
+    """Latest row of the deals of which any version meets ``near``.
+
+    A view that filters latest rows by ``near`` gets from these what it gets from all: a deal
+    without such a version has no such latest row either. The condition reaches the scan and
+    reads its own columns only; the versions of the few deals it leaves are then ranked,
+    instead of the whole history. Counting the candidates takes a job.
+    """
+    found = deals.filter(near).select(F.col("deal_id").alias("_near_id")).distinct()
+    same = deals["deal_id"].eqNullSafe(F.col("_near_id"))
+    return deals_latest(deals.join(few_broadcast(found), same, "left_semi"))
+
+
 def deals_latest_clean(latest: DataFrame) -> DataFrame:
     """Latest deals with a class for how their close is documented."""
     quality = deal_status_quality(
@@ -72,7 +85,8 @@ def _elapsed_days(start: str, end: str | Column) -> Column:
     return F.timestamp_diff("DAY", F.col(start), end)
 
 
-def _with_durations(clean: DataFrame) -> DataFrame:
+def with_durations(clean: DataFrame) -> DataFrame:
+    """Deals with numeric amount, days between stages and whether they were won."""
     closed = F.coalesce("closed_won_at", "closed_lost_at")
     return clean.select(
         "deal_id",
@@ -97,7 +111,7 @@ def _with_durations(clean: DataFrame) -> DataFrame:
 
 def deal_stage_durations_per_deal(clean: DataFrame, owners: DataFrame) -> DataFrame:
     """Per deal: owner name, numeric amount and the days spent between stages."""
-    named = with_owner_name(_with_durations(clean), owners)
+    named = with_owner_name(with_durations(clean), owners)
     first = ["deal_id", "deal_name", "owner_id", "owner_name"]
     return named.select(*first, *[name for name in named.columns if name not in first])
 
@@ -120,7 +134,7 @@ def deal_kpis_monthly(clean: DataFrame, owners: DataFrame, config: SalesConfig)
         "avg_sent_to_won_days": "sent_to_won_days",
     }
     monthly = (
-        _with_durations(clean)
+        with_durations(clean)
         .groupBy(F.trunc("created_at", "month").alias("month_start"), "owner_id")
         .agg(
             F.count(F.lit(1)).alias("deals_created"),

@@ -27,14 +27,19 @@ _EVENTS = {
 }
 
 
+def near_period(config: SalesConfig) -> Column:
+    """Whether a deal has an event in or near the weeks."""
+    weeks = recent_weeks(config)
+    near = [near_weeks(F.col(column), weeks, config.zone) for column in _EVENTS.values()]
+    return near[0] | near[1] | near[2]
+
+
 def _week_events(clean: DataFrame, config: SalesConfig) -> DataFrame:
     """(owner_id, kpi, week_start) of the deal events within the weeks, in one pass.
 
     The week is computed from the event, so counting needs no range join to the calendar.
     """
     weeks = recent_weeks(config)
-    recent = [near_weeks(F.col(column), weeks, config.zone) for column in _EVENTS.values()]
-    any_recent = recent[0] | recent[1] | recent[2]
     events = F.array(
         *[
             F.struct(
@@ -45,7 +50,7 @@ def _week_events(clean: DataFrame, config: SalesConfig) -> DataFrame:
         ]
     )
     return (
-        clean.filter(any_recent)
+        clean.filter(near_period(config))
         .select("owner_id", F.inline(events))
         .filter(in_weeks(F.col("week_start"), weeks))
     )

@@ -130,6 +130,9 @@ SYNC_STATE = _struct(
     object_type=_TEXT,
 )
 
+# How far the landing folders of each object type have been read.
+LANDING_STATE = _struct(last_landed=_TEXT, object_type=_TEXT)
+
 CURATED_SCHEMAS = {
     "deals": DEALS,
     "activities": ACTIVITIES,

@@ -10,19 +10,24 @@ from dealscope.schemas import RAW_SCHEMAS
 
 
 def read_raw_objects(
-    spark: SparkSession, path: str, kind: str, landed_since: str | None = None
+    spark: SparkSession,
+    path: str,
+    kind: str,
+    landed_since: str | None = None,
+    keep_landed: bool = False,
 ) -> DataFrame:
     """Scan landed JSON lines of one kind: deals, activities, contacts, companies, owners,
     pipelines or associations. Activities land in ``object_type=<type>/`` subfolders.
 
     With ``landed_since``, a date as text, the objects lie in ``landed=<date>/`` folders, and
-    only those of that date and later are scanned.
+    only those of that date and later are scanned; ``keep_landed`` keeps the date as a column.
     """
     if landed_since is None:
         return spark.read.schema(RAW_SCHEMAS[kind]).json(path)
     schema = StructType([*RAW_SCHEMAS[kind].fields, StructField("landed", StringType())])
     landed = spark.read.schema(schema).json(path)
-    return landed.filter(F.col("landed") >= landed_since).drop("landed")
+    recent = landed.filter(F.col("landed") >= landed_since)
+    return recent if keep_landed else recent.drop("landed")
 
 
 def parse_raw_objects(lines: DataFrame, kind: str, column: str = "value") -> DataFrame:
