@@ -72,6 +72,14 @@ def bytes_of(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]
 
 
+def byte_symbols() -> dict[str, int]:
+    """The printable character that stands for each byte in byte-level vocabularies."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    symbols = {chr(b): b for b in plain}
+    others = [b for b in range(256) if chr(b) not in symbols]
+    return symbols | {chr(256 + k): b for k, b in enumerate(others)}
+
+
 def by_size(texts: list[bytes], most: int) -> Iterator[list[bytes]]:
     """Groups of about ``most`` bytes, in order; a longer text is a group of its own."""
     group, size = [], 0
@@ -105,12 +113,15 @@ def append_columns(
     """
     names = {f.name.lower() for f in new}
     passed = [f for f in df.schema if f.name.lower() not in names]
-    inputs = [free_name(df, f"input_{i}") for i in range(len(reads))]
+    # Plain names inside: a name with a dot would be taken for a field.
+    inside = [T.StructField(f"c{i}", f.dataType, f.nullable) for i, f in enumerate(passed)]
+    inputs = [f"input_{i}" for i in range(len(reads))]
     source = df.select(
-        *[F.col(f"`{f.name}`") for f in passed],
+        *[F.col(f"`{f.name}`").alias(i.name) for f, i in zip(passed, inside, strict=True)],
         *[F.col(f"`{c}`").alias(i) for c, i in zip(reads, inputs, strict=True)],
     )
-    schema = T.StructType([*passed, *new.fields])
+    made = [T.StructField(f"made_{i}", f.dataType, f.nullable) for i, f in enumerate(new)]
+    schema = T.StructType([*inside, *made])
     n = len(passed)
     types = [f.type for f in arrow_schema(new)]
 
@@ -126,7 +137,8 @@ def append_columns(
                 [*batch.columns[:n], *made], names=[f.name for f in schema]
             )
 
-    return source.mapInArrow(run, schema)
+    names = [f.name for f in [*passed, *new]]
+    return source.mapInArrow(run, schema).toDF(*names)
 
 
 def long_array(values: np.ndarray) -> pa.Array:

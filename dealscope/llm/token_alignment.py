@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_rows, by_size, bytes_of
+from .common import arrow_rows, by_size, byte_symbols, bytes_of, free_name, written
 
 # Pairs of a broadcast table; a pair takes 17 bytes there.
 BROADCAST_PAIRS = 2_000_000
@@ -48,14 +48,6 @@ ALIGNED = (
 )
 
 
-def byte_symbols() -> dict[str, int]:
-    """The printable character that stands for each byte in byte-level vocabularies."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    symbols = {chr(b): b for b in plain}
-    others = (b for b in range(256) if chr(b) not in symbols)
-    return symbols | {chr(256 + k): b for k, b in enumerate(others)}
-
-
 class ByteBpe:
     """Ids and bytes of a byte-level BPE file.
 
@@ -446,8 +438,6 @@ def _score_by_array(aligned: DataFrame, pairs: DataFrame, kind: str) -> DataFram
 
 def _score_by_join(aligned: DataFrame, pairs: DataFrame, kind: str) -> DataFrame:
     """Links of a document are counted by pair first, so a frequent pair is a row of it once."""
-    from .common import free_name, written
-
     row = free_name(aligned, "row")
     numbered = written(aligned.withColumn(row, F.monotonically_increasing_id()), "aligned")
 
