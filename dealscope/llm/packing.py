@@ -2,25 +2,28 @@
 
 Each task packs its own pieces by best fit, largest first, and emits the bins that are
 nearly full. The bins that are not go on as items of the next round: they are dealt anew to
-fewer tasks and packed by best fit again, whole or piece by piece, and so on like a tree. Rounds end when one task
-held all that was left, or when a round no longer joins a noticeable share of the bins.
-Then the rest is emitted as it is. No round holds more than ``items_per_task`` bins in a
+at most half as many tasks, with other partners, and packed by best fit again, whole or piece
+by piece, and so on like a tree. Rounds end at the root, when one task got all that was left,
+or when a round joins nothing any more. Then the rest is emitted as it is. No round holds more than ``items_per_task`` bins in a
 task, and no piece is dropped.
 
 A piece is (doc_id, piece, start, length, ids, offset): ids are little-endian unsigned
-32-bit token ids, the offset is its place in the bin. Bins carry their pieces, which is bounded by the capacity, so nothing has to be joined
-back. Each round is written to the shared folder before the next one reads it.
+32-bit token ids, the offset is its place in the bin. Bins carry their pieces, which is
+bounded by the capacity, so nothing has to be joined back. Each round is written to the shared folder before the next one reads it.
 
 Defined results: null text is empty and gives the end id alone; only documents longer than
-the capacity are cut; repeated rows are packed one by one; an empty table gives no rows;
+the capacity are cut; of items of equal size the first that a task read comes first; very
+long texts are encoded whole, about two megabytes of text at a time; repeated rows are packed one by one; an empty table gives no rows;
 extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Iterator
 from functools import lru_cache
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_rows, by_size, bytes_of, written
+from .common import arrow_rows, by_size, byte_symbols, bytes_of, written
 
 CAPACITY = 2048
 END_ID = 0
@@ -66,17 +69,77 @@ _ARROW_BIN = pa.schema(
 )
 
 
+class LetterWords:
+    """Ids of words of plain letters, many at a time, by a library that merges by rank.
+
+    The vocabulary marks the last symbol of a word; here a zero byte behind the word does.
+    Marked single bytes have lower ids than all merges, so the mark joins the last byte
+    first, and the other merges follow in the order of their ids, as in the tokenizer.
+    """
+
+    _SUFFIX = "</w>"
+    # Letters up to here are lower-cased and composed alike everywhere.
+    _LAST = "\u052f"
+
+    def __init__(self, path: str):
+        import tiktoken
+
+        with open(path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        symbols = byte_symbols()
+        ranks = {}
+        for token, i in model["vocab"].items():
+            core = token.removesuffix(self._SUFFIX)
+            if core and all(c in symbols for c in core):
+                end = b"\0" if core != token else b""
+                ranks[bytes(symbols[c] for c in core) + end] = i
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        order = [model["vocab"]["".join(m)] for m in merges]
+        marked = [ranks.get(bytes([b, 0]), len(ranks)) for b in range(1, 256)]
+        self.usable = (
+            model.get("end_of_word_suffix") == self._SUFFIX
+            and all(a < b for a, b in zip(order, order[1:]))
+            and max(marked) < order[0]
+        )
+        self._ends = np.zeros(max(ranks.values()) + 1, bool)
+        self._ends[[i for token, i in ranks.items() if token[-1] == 0 and len(token) > 1]] = True
+        self._bpe = tiktoken.Encoding(
+            "words", pat_str=r"[^\x00]+\x00", mergeable_ranks=ranks, special_tokens={}
+        )
+
+    def fits(self, word: bytes) -> bool:
+        """Whether the tokenizer takes the word as it is, as one run of letters.
+
+        A-Z are in lower case already.
+        """
+        if word.isascii():
+            return word.isalpha()
+        text = word.decode()
+        if not text.isalpha() or max(text) > self._LAST:
+            return False
+        return text.lower() == text and is_normalized("NFC", text)
+
+    def encode(self, words: list[bytes]) -> tuple[bytes, list[int]]:
+        """Ids of the words, one word after the other, and the bytes that each one ends at."""
+        text = b"\0".join([*words, b""]).decode()
+        ids = self._bpe.encode_to_numpy(text, disallowed_special=())
+        ids = ids.astype("<u4", copy=False)
+        return ids.tobytes(), (4 * (np.flatnonzero(self._ends[ids]) + 1)).tolist()
+
+
 class WordCache(dict):
     """Token ids, as bytes, of text between ASCII white space.
 
     The tokenizer drops white space and no token or character normalisation spans it, so a
-    text's ids are those of its words, one after the other. New words are encoded together,
-    with a special token between them, which splits a text before anything else. Final
-    punctuation behind a letter or digit is a token run of its own and is looked up apart.
-    The cache is emptied when full and lives as long as the worker process.
+    text's ids are those of its words, one after the other. New words of plain letters are
+    encoded together by rank; others with a special token between them, which splits a text
+    before anything else. Final punctuation behind a letter or digit is a token run of its
+    own and is looked up apart. The cache is emptied when full and lives as long as the
+    worker process.
     """
 
-    LIMIT = 450_000
+    MOST_BYTES = 64 << 20
+    _ENTRY = 170  # bytes of an entry beside its word and ids
     _SPECIAL = b"<|"
     _BETWEEN = "<|startoftext|>"
     _FINAL = b".,;:!?"
@@ -88,20 +151,32 @@ class WordCache(dict):
 
         self.tokenizer = Tokenizer.from_file(path)
         self.between = self.tokenizer.token_to_id(self._BETWEEN)
+        self.letters = LetterWords(path)
+        self.held = 0
 
-    def _parts(self, word: bytes) -> tuple[bytes, bytes]:
-        """A word without final punctuation, and that, if a token border lies between."""
+    def _core(self, word: bytes) -> bytes:
+        """A word without final punctuation, if a token border lies between; else empty."""
         core = word.rstrip(self._FINAL)
-        if core and len(core) < len(word) and core[-1:].isalnum():
-            return core, word[len(core) :]
-        return word, b""
+        return core if core[-1:].isalnum() else b""
+
+    def _keep(self, words: list[bytes], data: bytes, starts: list[int], ends: list[int]) -> None:
+        self.update(zip(words, map(data.__getitem__, map(slice, starts, ends)), strict=True))
+        self.held += len(data) + sum(map(len, words)) + self._ENTRY * len(words)
 
     def _encode(self, words: list[bytes]) -> None:
-        alone = [w for w in words if self.between is None or self._SPECIAL in w]
+        others = words
+        if self.letters.usable:
+            fitting = [w for w in words if self.letters.fits(w)]
+            if fitting:
+                data, ends = self.letters.encode(fitting)
+                self._keep(fitting, data, [0, *ends[:-1]], ends)
+                others = [w for w in words if w not in self]
+        alone = [w for w in others if self.between is None or self._SPECIAL in w]
         for word in alone:
             ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-            self[word] = np.array(ids, "<u4").tobytes()
-        others = [w for w in words if w not in self]
+            data = np.array(ids, "<u4").tobytes()
+            self._keep([word], data, [0], [len(data)])
+        others = [w for w in others if w not in self]
         for at in range(0, len(others), self._TOGETHER):
             some = others[at : at + self._TOGETHER]
             text = self._BETWEEN.join(w.decode() for w in some)
@@ -111,23 +186,22 @@ class WordCache(dict):
             data = ids.tobytes()
             first = [0, *(4 * (cuts + 1)).tolist()]
             last = [*(4 * cuts).tolist(), len(data)]
-            for word, i, j in zip(some, first, last, strict=True):
-                self[word] = data[i:j]
+            self._keep(some, data, first, last)
 
     def _learn(self, words: set[bytes]) -> list[bytes]:
         """Add what is missing; those with final punctuation are returned, to be dropped."""
-        new = [w for w in words if w not in self]
-        if len(self) + len(new) > self.LIMIT:
+        if self.held > self.MOST_BYTES:
             self.clear()
-            new = list(words)
-        parts = {w: self._parts(w) for w in new}
-        needed = {p for pair in parts.values() for p in pair if p and p not in self}
-        self._encode(list(needed))
-        composed = [w for w, (_, final) in parts.items() if final]
-        for word in composed:
-            core, final = parts[word]
-            self[word] = self[core] + self[final]
-        return composed
+            self.held = 0
+        new = {w for w in words if w not in self}
+        ended = [w for w in new if w[-1] in self._FINAL]
+        cores = {w: core for w in ended if (core := self._core(w))}
+        needed = new.difference(cores)
+        needed.update(cores.values(), {w[len(core) :] for w, core in cores.items()})
+        self._encode([w for w in needed if w not in self])
+        for word, core in cores.items():
+            self[word] = self[core] + self[word[len(core) :]]
+        return list(cores)
 
     def encode_all(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text. A-Z go in lower case first, as the tokenizer does it."""
@@ -205,7 +279,7 @@ def _bins(items: list[tuple[int, list]], capacity: int, nearly: int) -> pa.Recor
 
 _TEXT_BYTES = 2 << 20
 # A round's pieces wait in the task until so many bytes of ids have come.
-_HELD_BYTES = 20 << 20
+_HELD_BYTES = 16 << 20
 
 
 def _first_round(docs: DataFrame, tokenizer: str, capacity: int, nearly: int) -> DataFrame:
@@ -229,11 +303,14 @@ def _first_round(docs: DataFrame, tokenizer: str, capacity: int, nearly: int) ->
                     items, held = [], 0
         if items:
             yield from _sliced(_bins(items, capacity, nearly))
+        pa.default_memory_pool().release_unused()  # the worker lives on for later stages
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(run, BIN)
 
 
-def _next_round(bins: DataFrame, tasks: int, capacity: int, nearly: int) -> DataFrame:
+def _next_round(
+    bins: DataFrame, turn: int, tasks: int, capacity: int, nearly: int
+) -> DataFrame:
     """Underfull bins are items now; they are dealt by a hash of their first piece.
 
     Bins more than half full cannot join each other. So their pieces are also packed one by
@@ -261,7 +338,7 @@ def _next_round(bins: DataFrame, tasks: int, capacity: int, nearly: int) -> Data
         if items:
             yield from _sliced(merged(items))
 
-    dealt = bins.repartition(tasks, F.xxhash64(first["doc_id"], first["piece"], "fill"))
+    dealt = bins.repartition(tasks, F.xxhash64(first["doc_id"], first["piece"], "fill", F.lit(turn)))
     return dealt.select("fill", "pieces").mapInArrow(run, BIN)
 
 
@@ -271,27 +348,24 @@ def pack(
     capacity: int = CAPACITY,
     nearly_full: float = NEARLY_FULL,
     items_per_task: int = ITEMS_PER_TASK,
-    least_gain: float = 0.01,
 ) -> DataFrame:
-    """Pack (doc_id, text) into sequences: a row per piece with its place and ids.
-
-    ``least_gain`` is the share of underfull bins a round has to save for another to follow.
-    """
+    """Pack (doc_id, text) into sequences: a row per piece with its place and ids."""
     nearly = math.ceil(capacity * nearly_full)
     with arrow_rows(docs.sparkSession, _DOCUMENT_ROWS):
         rounds = [written(_first_round(docs, tokenizer, capacity, nearly), "packed")]
     left = rounds[-1].where("not full").count()
     tasks = None
     while left > 1 and tasks != 1:
-        tasks = max(1, math.ceil(left / items_per_task))
+        wanted = math.ceil(left / items_per_task)
+        tasks = wanted if tasks is None else min(wanted, tasks // 2)
         underfull = rounds[-1].where("not full")
         rounds[-1] = rounds[-1].where("full")
-        rounds.append(written(_next_round(underfull, tasks, capacity, nearly), "packed"))
+        rounds.append(written(_next_round(underfull, len(rounds), tasks, capacity, nearly), "packed"))
         after, done = rounds[-1].agg(
             F.count_if(~F.col("full")), F.count_if(F.col("full"))
         ).first()
         saved, left = left - after - done, after
-        if saved < least_gain * (saved + after + done):
+        if not saved:
             break
     bins = rounds[0]
     for more in rounds[1:]:
