@@ -5,17 +5,21 @@ first 128 make 32 bands of four whole minima, whose keys put sets into buckets.
 minimum only four bits are kept, packed into 16 longs; the similarity of two sets is
 estimated from the bit count of differing minima, corrected for the one in sixteen that agree
 by chance. Pairs whose estimate is five standard deviations below the threshold or more are
-dropped, and all others are confirmed on the full sets.
+dropped. The others are confirmed on the full sets, after a bound that is exact: a set also
+has a bitmap with the parity of its shingles' hashes, and two bitmaps differ in no more bits
+than the sets differ in shingles. So few sets that are not similar have to be compared whole.
 
 A pair at the threshold of 0.8 shares no band with probability (1 - 0.8**4)**32 < 1e-7, and
 is lost to the estimate with about the same one.
 
 Only distinct sets are compared. First, the members of each bucket are compared with one hub
-of it, which a ``groupBy`` finds, so a large group makes a linear number of pairs. Rounds with
-other hubs follow while they find links between groups that were apart. In buckets that still
-hold several groups, the members outside the largest one are then compared with all others,
-in blocks that are dealt over the cluster; of those, only pairs that the estimate lets pass
-are emitted. So no link is lost to the size of a bucket, and none has a cap.
+of it, which a ``groupBy`` finds, so a large group makes a linear number of pairs; a second
+round does so with another hub for members that the first one has not put into one group. In
+buckets that still hold several groups, the members outside the largest one are then compared
+with all others, in blocks that are dealt over the cluster; of those, only pairs that the
+estimate lets pass are emitted. So no link is lost to the size of a bucket, and none has a
+cap. Groups between the rounds only save comparisons: components are found at the end, from
+all confirmed links.
 
 Defined results: documents without words have an empty set and are linked with nothing; fewer
 words than a shingle make one shingle; very long texts are taken whole; copies of a set are
@@ -88,6 +92,25 @@ def signatures(least: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(packed).view("<u8")
 
 
+def parity_map(shingles: np.ndarray) -> bytes:
+    """For each value of the low bits, whether an odd number of hashes has it.
+
+    There are four bits or more for each shingle, so that few of them share one.
+    """
+    bits = max(8, (4 * len(shingles) - 1).bit_length())
+    low = (shingles & np.uint64((1 << bits) - 1)).astype(np.int64)
+    return np.packbits(np.bincount(low, minlength=1 << bits) & 1 > 0, bitorder="little").tobytes()
+
+
+def too_different(x: bytes, y: bytes, sizes: int, percent: int = PERCENT) -> bool:
+    """Whether the bitmaps of sets with ``sizes`` shingles in all prove them dissimilar."""
+    a, b = (np.frombuffer(z, np.uint8) for z in sorted((x, y), key=len))
+    while len(a) < len(b):  # with a bit less, the halves fall on each other
+        b = b[: len(b) // 2] ^ b[len(b) // 2 :]
+    odd = int(np.bitwise_count((a ^ b).view("<u8")).sum())
+    return odd * (100 + percent) > (100 - percent) * sizes
+
+
 def most_differing(percent: int = PERCENT) -> int:
     """Differing minima up to which a pair may have that similarity."""
     chance = 1 / (1 << KEPT_BITS)
@@ -128,7 +151,10 @@ def _sizes_fit(a: Column, b: Column, percent: int) -> Column:
 def minhash_sets(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE
 ) -> DataFrame:
-    """(doc_id, text_hash, key, n_shingles, bands, signature); key is null for empty sets."""
+    """(doc_id, text_hash, key, n_shingles, bands, signature, parity).
+
+    The key, the bitmap and the bands are null or empty for empty sets.
+    """
     made = (
         T.StructType()
         .add("text_hash", "long")
@@ -136,6 +162,7 @@ def minhash_sets(
         .add("n_shingles", "long")
         .add("bands", T.ArrayType(T.LongType()))
         .add("signature", T.ArrayType(T.LongType()))
+        .add("parity", "binary")
     )
     schema = T.StructType([docs.schema[doc_id], *made])
     names = [f.name for f in schema]
@@ -147,11 +174,12 @@ def minhash_sets(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, sizes, rows = [], [], []
+            keys, sizes, rows, maps = [], [], [], []
             for x in bytes_of(batch.column(2)):
                 found = shingle_set(x, shingle)
                 sizes.append(len(found))
                 keys.append(xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None)
+                maps.append(parity_map(found) if len(found) else None)
                 if len(found):
                     rows.append(minima(found))
             least = np.stack(rows) if rows else np.empty((0, MINIMA), np.uint32)
@@ -163,6 +191,7 @@ def minhash_sets(
                     pa.array(sizes, pa.int64()),
                     lists(band_keys(least), there),
                     lists(signatures(least), there),
+                    pa.array(maps, pa.binary()),
                 ],
                 names=names,
             )
@@ -192,17 +221,44 @@ def _hub_pairs(named: DataFrame, turn: int) -> DataFrame:
     return _ordered(named.join(hubs, "bucket").where("root <> hub_root"), "node", "hub")
 
 
+def regrouped(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, root), with groups joined along links, a step or two at a time.
+
+    Nodes of one root are connected; connected nodes may have several roots still.
+    """
+    both = links.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(
+        links.select(F.col("b").alias("node"), F.col("a").alias("other"))
+    )
+    other = groups.select(F.col("node").alias("other"), F.col("root").alias("other_root"))
+    joined = both.join(groups, "node").join(other, "other")
+    low = joined.groupBy("root").agg(F.min("other_root").alias("low")).where("low < root")
+    low = written(low, "lower_roots")
+    then = low.select(F.col("root").alias("low"), F.col("low").alias("lowest"))
+    low = low.join(then, "low", "left").select("root", F.coalesce("lowest", "low").alias("low"))
+    return groups.join(low, "root", "left").select("node", F.coalesce("low", "root").alias("root"))
+
+
 def _ordered(pairs: DataFrame, x: str, y: str) -> DataFrame:
     return pairs.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
 
 
 def estimated(pairs: DataFrame, nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The (a, b) that may have the similarity, by size and by signature."""
-    kept = nodes.select("node", "n_shingles", "signature")
-    left, right = (kept.toDF(n, f"size_{n}", f"sig_{n}") for n in "ab")
+    """The (a, b) that may have the similarity, by size, signature and bitmap."""
+    kept = nodes.select("node", "n_shingles", "signature", "parity")
+    left, right = (kept.toDF(n, f"size_{n}", f"sig_{n}", f"map_{n}") for n in "ab")
     both = pairs.join(left, "a").join(right, "b")
     near = _differing_columns("sig_a", "sig_b") <= most_differing(percent)
-    return both.where(_sizes_fit(F.col("size_a"), F.col("size_b"), percent) & near).select("a", "b")
+    fitting = both.where(_sizes_fit(F.col("size_a"), F.col("size_b"), percent) & near)
+    sizes = (F.col("size_a") + F.col("size_b")).alias("sizes")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(*(batch.column(k).to_pylist() for k in (2, 3, 4)), strict=True)
+            stay = pa.array([not too_different(*row, percent) for row in rows], pa.bool_())
+            named = pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"])
+            yield named.filter(stay)
+
+    return fitting.select("a", "b", "map_a", "map_b", sizes).mapInArrow(run, "a long, b long")
 
 
 def confirmed(
@@ -264,10 +320,10 @@ def block_pairs(named: DataFrame, nodes: DataFrame, percent: int = PERCENT) -> D
         F.count("*").alias("groups"),
     )
     rows = named.join(shape.where("groups > 1"), "bucket").join(
-        nodes.select("node", "n_shingles", "signature"), "node"
+        nodes.select("node", "n_shingles", "signature", "parity"), "node"
     )
     own = F.pmod(F.xxhash64("node", "bucket"), F.col("blocks"))
-    columns = ["bucket", "block", "probe", "node", "root", "n_shingles", "signature"]
+    columns = ["bucket", "block", "probe", "node", "root", "n_shingles", "signature", "parity"]
     members = rows.withColumn("block", own).withColumn("probe", F.lit(False))
     probes = (
         rows.where("root <> main")
@@ -284,13 +340,17 @@ def block_pairs(named: DataFrame, nodes: DataFrame, percent: int = PERCENT) -> D
             return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
         def compare(part: tuple[np.ndarray, ...]) -> Iterator[pa.RecordBatch]:
-            node, root, size, sig = joined(members)
+            node, root, size, sig, maps = joined(members)
             for i in range(len(part[0])):
                 low, high = np.minimum(size, part[2][i]), np.maximum(size, part[2][i])
                 hit = (root != part[1][i]) & (100 * low >= percent * high)
                 hit[hit] = _differing(sig[hit], part[3][i]) <= most
-                if hit.any():
-                    other = node[hit]
+                near = [
+                    k for k in np.flatnonzero(hit).tolist()
+                    if not too_different(maps[k], part[4][i], int(size[k] + part[2][i]), percent)
+                ]
+                if near:
+                    other = node[near]
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(np.minimum(other, part[0][i])),
@@ -304,6 +364,7 @@ def block_pairs(named: DataFrame, nodes: DataFrame, percent: int = PERCENT) -> D
                 batch.column(k).to_numpy(zero_copy_only=False) for k in range(6)
             )
             sig = batch.column(6).flatten().to_numpy().view(np.uint64).reshape(-1, _WORDS)
+            maps = np.array([*batch.column(7).to_pylist(), None], object)[:-1]
             change = np.r_[True, (bucket[1:] != bucket[:-1]) | (block[1:] != block[:-1])
                            | (probe[1:] != probe[:-1]), True]
             edges = np.flatnonzero(change).tolist()
@@ -312,7 +373,7 @@ def block_pairs(named: DataFrame, nodes: DataFrame, percent: int = PERCENT) -> D
                     continue
                 if (bucket[low], block[low]) != now:
                     now, members = (bucket[low], block[low]), []
-                part = tuple(x[low:high] for x in (node, root, size, sig))
+                part = tuple(x[low:high] for x in (node, root, size, sig, maps))
                 if probe[low]:
                     if members:
                         yield from compare(part)
@@ -340,11 +401,12 @@ def cluster(
         F.min(identity).alias("least_id"),
         F.any_value("bands").alias("bands"),
         F.any_value("signature").alias("signature"),
+        F.any_value("parity").alias("parity"),
     )
     nodes = written(
         chosen.select(
             F.monotonically_increasing_id().alias("node"), "key", "row.*", "least_id", "bands",
-            "signature",
+            "signature", "parity",
         ),
         "distinct_sets",
     )
@@ -354,27 +416,16 @@ def cluster(
         near = written(estimated(pairs, nodes, percent), "estimated")
         return confirmed(near, nodes, docs, doc_id, text, shingle, percent)
 
-    def grouped(links: DataFrame) -> tuple[DataFrame, DataFrame]:
-        roots = written(components(links), "roots")
-        named = buckets.join(roots, "node", "left").select(
-            "bucket", "node", F.coalesce("root", "node").alias("root")
-        )
-        return roots, named
-
-    named = buckets.withColumn("root", F.col("node"))
-    links, turn, found = None, 0, True
-    while found:
-        more = link(_hub_pairs(named, turn))
-        found = more.limit(1).count() > 0
-        links = more if links is None else links.unionByName(more)
-        if found:
-            roots, named = grouped(links)
-            named = written(named, "named_buckets")
-        turn += 1
+    groups = buckets.select("node", F.col("node").alias("root")).distinct()
+    links: list[DataFrame] = []
+    for turn in range(2):
+        named = buckets.join(groups, "node")
+        links.append(link(_hub_pairs(named, turn)))
+        groups = written(regrouped(groups, links[-1]), "groups")
+    named = buckets.join(groups, "node")
     rest = written(block_pairs(named, nodes, percent), "block_pairs")
-    more = confirmed(rest, nodes, docs, doc_id, text, shingle, percent)
-    roots, _ = grouped(links.unionByName(more))
-    roots = roots.select("node", "root")
+    links.append(confirmed(rest, nodes, docs, doc_id, text, shingle, percent))
+    roots = components(links[0].unionByName(links[1]).unionByName(links[2]))
     owned = nodes.select("node", "key", "least_id").join(roots, "node", "left")
     owned = owned.select("key", "least_id", F.coalesce("root", "node").alias("root"))
     least = owned.groupBy("root").agg(F.min("least_id").alias("component_id"))

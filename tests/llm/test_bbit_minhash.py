@@ -83,7 +83,7 @@ def test_block_pairs_find_every_pair_of_different_groups(spark, monkeypatch):
     base = words(rng, 100)
     texts = [edited(rng, base, 1) for _ in range(23)]
     sets = M.minhash_sets(documents(spark, texts))
-    nodes = sets.selectExpr("doc_id node", "n_shingles", "signature", "bands")
+    nodes = sets.selectExpr("doc_id node", "n_shingles", "signature", "bands", "parity")
     named = M.bucket_members(nodes).selectExpr("bucket", "node", "least(node, 5) root")
     pairs = {tuple(r) for r in M.block_pairs(named, nodes).collect()}
     assert pairs == {(i, j) for j in range(6, 23) for i in range(5)} | {
@@ -123,3 +123,21 @@ def test_estimate_is_corrected_and_the_threshold_far_below(similarity):
     assert abs(np.mean([M.estimate(x) for x in seen]) - similarity) < 0.02
     if similarity == 0.8:
         assert max(seen) < M.most_differing()
+
+
+def test_bitmaps_never_reject_similar_sets_and_reject_others():
+    rng = np.random.default_rng(9)
+    rejected = 0
+    for _ in range(300):
+        n = int(rng.integers(1, 1500))
+        m = int(rng.integers(0, n + 1))
+        ids = rng.integers(0, 1 << 63, n + 400, np.uint64)
+        a, b = set(ids[:n].tolist()), set(ids[m // 4 : n + m // 8].tolist())
+        x, y = (np.array(sorted(s), np.uint64) for s in (a, b))
+        apart = M.too_different(M.parity_map(x), M.parity_map(y), len(a) + len(b))
+        similar = 100 * len(a & b) >= 80 * len(a | b)
+        assert not (apart and similar)
+        if 100 * len(a & b) < 74 * len(a | b) and n > 100:
+            rejected += apart
+            assert apart
+    assert rejected > 10
