@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +33,22 @@ def measure(column: str, aggregation: str, name: str | None = None) -> Column:
     return AGGREGATIONS[aggregation](F.col(column)).alias(name or f"{column}_{aggregation.lower()}")
 
 
+@dataclass(frozen=True)
+class Percentile:
+    """Measure: a percentile of a column, interpolated between neighbouring values."""
+
+    column: str
+    percent: float
+    name: str
+
+
+def percentile_measure(column: str, percent: float, name: str | None = None) -> Percentile:
+    """Percentile measure; the name defaults to ``<column>_p<percent>``."""
+    if not 0 <= percent <= 100:
+        raise ValueError(f"no percentile: {percent!r}")
+    return Percentile(column, percent, name or f"{column}_p{percent:g}".replace(".", "_"))
+
+
 def calculated_measure(expression: str, name: str) -> Column:
     """Measure given as an aggregate expression over ``{field}`` references."""
     return F.expr(_with_fields(expression)).alias(name)
@@ -49,10 +66,45 @@ def date_granularity(column: str, grain: str, name: str | None = None) -> Column
 
 
 def agg_dataset(
-    df: DataFrame, dimensions: Sequence[str | Column], measures: Sequence[Column]
+    df: DataFrame,
+    dimensions: Sequence[str | Column],
+    measures: Sequence[Column | Percentile],
 ) -> DataFrame:
-    """Measures by dimensions, as behind bar, line, pie, funnel, tree map and table visuals."""
-    return df.groupBy(*dimensions).agg(*measures)
+    """Measures by dimensions, as behind bar, line, pie, funnel, tree map and table visuals.
+
+    Percentiles are found apart, which takes jobs, and joined to the other measures by the
+    dimensions; null is a group like any other.
+    """
+    plain = [m for m in measures if not isinstance(m, Percentile)]
+    if len(plain) == len(measures):
+        return df.groupBy(*dimensions).agg(*measures)
+    groups = df.groupBy(*dimensions).agg(*plain, F.count(F.lit(1)).alias("_rows"))
+    names = groups.columns[: len(dimensions)]
+    given = iter(groups.columns[len(dimensions) :])
+    order = [m.name if isinstance(m, Percentile) else next(given) for m in measures]
+    keys = [f"_key{i}" for i in range(len(dimensions))]
+    keyed = df.select(
+        "*",
+        *[
+            (F.col(d) if isinstance(d, str) else d).alias(key)
+            for d, key in zip(dimensions, keys, strict=True)
+        ],
+    )
+    wanted: dict[str, list[Percentile]] = {}
+    for m in measures:
+        if isinstance(m, Percentile):
+            wanted.setdefault(m.column, []).append(m)
+    for column, some in wanted.items():
+        shares = [m.percent / 100 for m in some]
+        found = exact_quantiles(keyed, keys, column, shares).select(
+            *keys, *[F.col("quantiles")[i].alias(m.name) for i, m in enumerate(some)]
+        )
+        if keys:
+            same = [groups[n].eqNullSafe(found[k]) for n, k in zip(names, keys, strict=True)]
+            groups = groups.join(found, same, "left").drop(*keys)
+        else:
+            groups = groups.withColumns({m.name: found.select(m.name).scalar() for m in some})
+    return groups.select(*[f"`{n}`" for n in [*names, *order]])
 
 
 def calculated_field(df: DataFrame, name: str, expression: str) -> DataFrame:
@@ -119,14 +171,18 @@ def numeric_equality_filter(
 def aggregated_filter(
     df: DataFrame,
     dimensions: Sequence[str | Column],
-    measures: Sequence[Column],
-    filtered: Column,
+    measures: Sequence[Column | Percentile],
+    filtered: Column | Percentile,
     match_operator: str,
     number: float,
     null_option: str = NON_NULLS_ONLY,
 ) -> DataFrame:
     """Aggregated dataset of the groups whose ``filtered`` measure equals, or not, a number."""
-    grouped = agg_dataset(df, dimensions, [*measures, filtered.alias("_filtered")])
+    if isinstance(filtered, Percentile):
+        last = replace(filtered, name="_filtered")
+    else:
+        last = filtered.alias("_filtered")
+    grouped = agg_dataset(df, dimensions, [*measures, last])
     kept = numeric_equality_filter(grouped, "_filtered", match_operator, number, null_option)
     return kept.drop("_filtered")
 
@@ -198,12 +254,54 @@ def heat_map(
     measures: Sequence[Column],
     column_values: Sequence | None = None,
 ) -> DataFrame:
-    """Matrix of a measure, one row per cell; listed column values give a wide matrix."""
+    """Matrix of a measure, one row per cell; listed column values give a wide matrix.
+
+    Values that are not listed have no column there; ``open_pivot`` keeps them.
+    """
     if column_values is None:
         return df.groupBy(*rows, columns).agg(*measures)
     return df.groupBy(*rows).pivot(columns, list(column_values)).agg(*measures)
 
 
+def open_pivot(
+    df: DataFrame,
+    rows: Sequence[str],
+    columns: str,
+    value: str,
+    aggregation: str,
+    most_columns: int = 20,
+    other: str = "other",
+    missing: str = "none",
+    total: str = "total",
+) -> DataFrame:
+    """Wide matrix over column values that nobody listed.
+
+    A first pass finds the ``most_columns`` most frequent values, ties in the order of the
+    text; the second gives each of them a column and all others one together. Missing values
+    have a column too, and the total is taken over all rows, so nothing is left out. The
+    columns are named by the values' text, and stand in the order of their frequency.
+    """
+    if aggregation not in AGGREGATIONS:
+        raise ValueError(f"unknown aggregation {aggregation!r}")
+    text = F.col(columns).cast("string")
+    counts = df.filter(text.isNotNull()).groupBy(text.alias("value")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    found = counts.orderBy(F.desc("n"), "value").limit(most_columns).collect()
+    values = [r["value"] for r in found]
+    names = [*values, other, missing, total]
+    if len({n.lower() for n in [*names, *rows]}) < len(names) + len(rows):
+        raise ValueError(f"columns of one name: {[*rows, *names]}")
+    aggregate, cell = AGGREGATIONS[aggregation], F.col(value)
+    listed = text.isin(values) if values else F.lit(False)
+    return df.groupBy(*rows).agg(
+        *[aggregate(F.when(text == v, cell)).alias(v) for v in values],
+        aggregate(F.when(text.isNotNull() & ~listed, cell)).alias(other),
+        aggregate(F.when(text.isNull(), cell)).alias(missing),
+        aggregate(cell).alias(total),
+    )
+
+
 def box_plot(df: DataFrame, group_cols: Sequence[str], value: str) -> DataFrame:
     """Number of values, minimum, quartiles and maximum per group."""
     names = ["minimum", "first_quartile", "median", "third_quartile", "maximum"]

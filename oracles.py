@@ -996,4 +996,47 @@ def statements() -> dict[str, str]:
         DURATIONS,
         """SELECT owner_name, count(*) AS x, avg(sales_cycle_days) AS y FROM durations GROUP BY 1""",
     )
+    out["d14_raw_points"] = _with(
+        DURATIONS,
+        """SELECT deal_id, sales_cycle_days AS x, CAST(amount AS DECIMAL(18, 2)) AS y
+        FROM durations""",
+    )
+    out["d01_percentile_measure"] = _with(
+        DURATIONS,
+        """SELECT is_won, CAST(quantile_cont(amount, 0.9) AS DECIMAL(18, 4)) AS amount_p90,
+          count(*) AS deals,
+          CAST(quantile_cont(CAST(sales_cycle_days AS DOUBLE), 0.5) AS DECIMAL(18, 4))
+            AS median_days
+        FROM durations GROUP BY 1""",
+    )
+    out["d05_percentile_filter"] = _with(
+        DURATIONS,
+        """SELECT owner_name, count(*) AS deals FROM durations GROUP BY 1
+        HAVING quantile_cont(CAST(created_to_op_days AS DOUBLE), 0.5) = 3""",
+    )
+    out["d04_single_value"] = _with(
+        DURATIONS,
+        "SELECT deal_id, owner_name FROM durations WHERE contains(owner_name, '00001')",
+    )
+    out["d09_open_pivot"] = _with(
+        LATEST,
+        """SELECT deal_stage, count(*) FILTER (k % 10 < 5) AS half,
+          count(*) FILTER (k % 10 BETWEEN 5 AND 7) AS third,
+          count(*) FILTER (k % 10 > 7 AND k % 40 <> 9) AS other,
+          count(*) FILTER (k % 40 = 9) AS none, count(*) AS total
+        FROM (SELECT *, CAST(deal_id AS BIGINT) AS k FROM latest) GROUP BY 1""",
+    )
+    # Only deals whose number is divisible by five have a later amount.
+    out["j06_monthly_kpis_kept_up"] = out["v05_deal_kpis_monthly"].replace(
+        "sum(amount)", "sum(CASE WHEN CAST(deal_id AS BIGINT) % 5 = 0 THEN 77.5 ELSE amount END)"
+    )
+    out["v13_shifted_months"] = out["v13_deal_cohort_closing_rates_transposed"].replace(
+        COHORT_MONTHS, COHORT_MONTHS.replace("- INTERVAL 3 HOUR", "+ INTERVAL 3 HOUR")
+    )
+    for number, name in (
+        ("v09", "deal_kpis_weekly_last3_by_owner"),
+        ("v12", "deal_cohort_closing_rates_by_owner"),
+        ("v17", "activity_volume_by_owner_type_last3weeks_v3"),
+    ):
+        out[f"{number}_narrow_first"] = out[f"{number}_{name}"]
     return out

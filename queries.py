@@ -20,7 +20,7 @@ from dealscope.config import SalesConfig
 from dealscope.functions import calendar, parsing
 from dealscope.operators import changes, merge, normalize, state
 from dealscope.operators.dedupe import merge_dedupe
-from dealscope.plans import dashboard, jobs
+from dealscope.plans import dashboard, jobs, upkeep
 from dealscope.plans.activities import with_activity_category
 from dealscope.plans.views import VIEWS, ViewLayer
 from dealscope.schemas import ACTIVITIES, COMPANIES, CONTACTS
@@ -314,6 +314,35 @@ def v11_stepwise_percent(spark, folder):
     return layer(spark, folder, config).frame("deal_cohort_closing_rates")
 
 
+@query
+def v13_shifted_months(spark, folder):
+    config = replace(CONFIG, month_bounds="shifted")
+    return layer(spark, folder, config).frame("deal_cohort_closing_rates_transposed")
+
+
+def _narrow(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A view over a stored table of deals, that looks for the deals of its period first."""
+    path = fresh_path(spark, "deals")
+    adapter.deals(spark, folder).write.parquet(path)
+    tables = {**adapter.tables(spark, folder), "deals": spark.read.parquet(path)}
+    return ViewLayer(spark, tables, CONFIG, narrow_first=True).frame(name)
+
+
+@query
+def v09_narrow_first(spark, folder):
+    return _narrow(spark, folder, "deal_kpis_weekly_last3_by_owner")
+
+
+@query
+def v12_narrow_first(spark, folder):
+    return _narrow(spark, folder, "deal_cohort_closing_rates_by_owner")
+
+
+@query
+def v17_narrow_first(spark, folder):
+    return _narrow(spark, folder, "activity_volume_by_owner_type_last3weeks_v3")
+
+
 # --- incremental load --------------------------------------------------------------------
 
 
@@ -570,6 +599,33 @@ def j05_sync_owners(spark, folder):
     return curated.read_curated(spark, path).select("owner_id", "owner_name")
 
 
+@query
+def j06_monthly_kpis_kept_up(spark, folder):
+    """Deals from two landing dates, the second with new amounts; their KPIs from kept parts."""
+    first = raw_objects(spark, folder, "deals")
+    new = {"amount": "77.5", V.DEAL_PROPERTIES["last_modified_at"]: "2024-09-01T12:00:00Z"}
+
+    def changed(key, value):
+        out = value
+        for name, text in new.items():
+            out = F.when(key == name, F.lit(text)).otherwise(out)
+        return out
+
+    later = first.filter(F.col("id").cast("bigint") % 5 == 0).withColumn(
+        "properties", F.transform_values("properties", changed)
+    )
+    landing = fresh_path(spark, "raw-deals")
+    path, marks, parts = (fresh_path(spark, name) for name in ("deals", "state", "monthly"))
+    runs = [("2024-08-31", first, _FULL_RUN), ("2024-09-02", later, _NEXT_RUN)]
+    for landed, rows, now in runs:
+        rows.select(F.to_json(F.struct("*")).alias("value")).write.text(f"{landing}/landed={landed}")
+        jobs.sync_landed("deals", spark, landing, path, marks, now, monthly_path=parts)
+    owners = adapter.tables(spark, folder)["owners"]
+    owners = owners() if callable(owners) else owners
+    kept = upkeep.deal_kpis_monthly_kept(upkeep.read_monthly(spark, parts), owners, CONFIG)
+    return _with_money(kept, "total_amount")
+
+
 # --- sources and sinks -------------------------------------------------------------------
 
 
@@ -714,6 +770,17 @@ def d01_agg_dataset(spark, folder):
     return _with_money(found, "amount_sum")
 
 
+@query
+def d01_percentile_measure(spark, folder):
+    measures = [
+        dashboard.percentile_measure("amount", 90),
+        _count().alias("deals"),
+        dashboard.percentile_measure("sales_cycle_days", 50, "median_days"),
+    ]
+    found = dashboard.agg_dataset(_per_deal(spark, folder), ["is_won"], measures)
+    return _with_money(found, "amount_p90", "median_days", scale=4)
+
+
 @query
 def d02_date_granularity(spark, folder):
     quarter = dashboard.date_granularity("created_at", "QUARTER")
@@ -743,6 +810,14 @@ def d04_category_filter(spark, folder):
     return kept.select("deal_id", "owner_name")
 
 
+@query
+def d04_single_value(spark, folder):
+    kept = dashboard.category_filter(
+        _per_deal(spark, folder), "owner_name", "CONTAINS", "00001", dashboard.NON_NULLS_ONLY
+    )
+    return kept.select("deal_id", "owner_name")
+
+
 @query
 def d05_numeric_equality_filter(spark, folder):
     kept = dashboard.numeric_equality_filter(
@@ -764,6 +839,19 @@ def d05_aggregated_filter(spark, folder):
     )
 
 
+@query
+def d05_percentile_filter(spark, folder):
+    """Owners by deals, of those whose deals take three days to become an opportunity in the median."""
+    return dashboard.aggregated_filter(
+        _per_deal(spark, folder),
+        ["owner_name"],
+        [_count().alias("deals")],
+        dashboard.percentile_measure("created_to_op_days", 50),
+        "EQUALS",
+        3,
+    )
+
+
 @query
 def d06_excluded_period(spark, folder):
     """Months from June 2020 on, without the two that end in January 2021."""
@@ -827,6 +915,16 @@ def d09_pivot(spark, folder):
     return matrix.fillna(0, stages)
 
 
+@query
+def d09_open_pivot(spark, folder):
+    """The two most frequent groups have a column each, the rest one together."""
+    k = F.col("deal_id").cast("bigint")
+    rare = F.when(k % 40 != 9, F.concat(F.lit("rare "), (k % 7).cast("string")))
+    group = F.when(k % 10 < 5, "half").when(k % 10 < 8, "third").otherwise(rare)
+    deals = view(spark, folder, "deals_latest").withColumn("group", group)
+    return dashboard.open_pivot(deals, ["deal_stage"], "group", "deal_id", "COUNT", 2)
+
+
 @query
 def d10_box_plot(spark, folder):
     found = dashboard.box_plot(_per_deal(spark, folder), ["is_won"], "amount")
@@ -869,3 +967,11 @@ def d14_scatter_points(spark, folder):
     return dashboard.scatter_points(
         _per_deal(spark, folder), ["owner_name"], _count(), dashboard.measure("sales_cycle_days", "AVERAGE")
     )
+
+
+@query
+def d14_raw_points(spark, folder):
+    points = dashboard.scatter_points(
+        _per_deal(spark, folder), ["deal_id"], F.col("sales_cycle_days"), F.col("amount"), False
+    )
+    return _with_money(points, "y")

@@ -157,3 +157,69 @@ def test_scatter_points_raw_and_aggregated(sales):
     raw = dashboard.scatter_points(sales, ["product"], F.col("sales"), F.col("profit"), False)
     assert raw.count() == 4
     assert dashboard.scatter_points(sales, ["product"], F.sum("sales"), F.sum("profit")).count() == 3
+
+
+def test_quantiles_by_refinement_equal_brute_force(spark, monkeypatch):
+    from dealscope.operators import quantiles
+
+    rng = np.random.default_rng(6)
+    groups = {
+        "a": np.exp(rng.normal(0, 20, 300)),
+        "b": np.round(rng.normal(0, 3, 400), 1),
+        None: np.r_[np.full(300, 5.0), rng.normal(5, 1e-9, 100)],
+        "one": np.array([7.0]),
+    }
+    data = [(g, float(v)) for g, values in groups.items() for v in values]
+    df = spark.createDataFrame(data, "g string, v double").repartition(3)
+    wanted = [0.0, 0.1, 0.5, 0.901, 1.0]
+    narrowed = []
+    step = quantiles._narrowed
+    monkeypatch.setattr(
+        quantiles, "_narrowed", lambda *args: narrowed.append(1) or step(*args)
+    )
+    for accuracy, most in ((2000, 9), (2, 120)):
+        monkeypatch.setattr(quantiles, "_ACCURACY", accuracy)
+        found = exact_quantiles(df, ["g"], "v", wanted, most_ranked=most).collect()
+        assert len(found) == 4
+        for row in found:
+            values = groups[row["g"]]
+            assert row["n"] == len(values)
+            np.testing.assert_allclose(row["quantiles"], np.quantile(values, wanted), rtol=1e-12)
+    assert len(narrowed) >= 2
+    (row,) = exact_quantiles(df, [], "v", [0.3], most_ranked=50).collect()
+    every = np.concatenate(list(groups.values()))
+    np.testing.assert_allclose(row["quantiles"], [np.quantile(every, 0.3)], rtol=1e-12)
+
+
+def test_percentiles_stand_beside_other_measures(spark):
+    rows = [("x", 1.0, 1), ("x", 3.0, 2), (None, 10.0, 3), ("y", None, 4), ("x", None, 5)]
+    df = spark.createDataFrame(rows, "g string, v double, w long")
+    measures = [
+        dashboard.percentile_measure("v", 50),
+        dashboard.measure("w", "SUM"),
+        dashboard.percentile_measure("v", 75, "upper"),
+        dashboard.percentile_measure("w", 0),
+    ]
+    found = dashboard.agg_dataset(df, ["g"], measures)
+    assert found.columns == ["g", "v_p50", "w_sum", "upper", "w_p0"]
+    assert {tuple(r) for r in found.collect()} == {
+        ("x", 2.0, 8, 2.5, 1.0), (None, 10.0, 3, 10.0, 3.0), ("y", None, 4, None, 4.0),
+    }
+    (total,) = dashboard.agg_dataset(df, [], measures[:2]).collect()
+    assert tuple(total) == (3.0, 15)
+    kept = dashboard.aggregated_filter(df, ["g"], [dashboard.measure("w", "SUM")], measures[0], "EQUALS", 2)
+    assert [tuple(r) for r in kept.collect()] == [("x", 8)]
+    with pytest.raises(ValueError):
+        dashboard.percentile_measure("v", 101)
+
+
+def test_open_pivot_leaves_nothing_out(spark):
+    rows = [("a", "p", 1), ("a", "q", 2), ("a", None, 4), ("b", "p", 8), ("b", "r", 16), (None, "s", 32)]
+    df = spark.createDataFrame(rows, "g string, c string, v long")
+    found = dashboard.open_pivot(df, ["g"], "c", "v", "SUM", most_columns=2)
+    assert found.columns == ["g", "p", "q", "other", "none", "total"]
+    assert {tuple(r) for r in found.collect()} == {
+        ("a", 1, 2, None, 4, 7), ("b", 8, None, 16, None, 24), (None, None, None, 32, None, 32),
+    }
+    with pytest.raises(ValueError):
+        dashboard.open_pivot(df, ["g"], "c", "v", "SUM", other="P")

@@ -209,6 +209,20 @@ def test_catalog_takes_up_columns_and_partitions(spark):
     assert sorted((r["id"], r["extra"]) for r in found.collect()) == [("1", None), ("2", 1)]
 
 
+def test_catalog_asks_for_new_partitions_only(spark, monkeypatch):
+    path = fresh_path(spark, "t")
+    name = "registered_" + path.rsplit("-", 1)[1]
+    curated.overwrite_partitions(rows(spark, ("1", "a", "it's 1"), ("2", "b", None)), path)
+    assert catalog.register_table(spark, name, path).count() == 2
+    curated.overwrite_partitions(rows(spark, ("3", "c", "50%"), ("4", "d", "d4")), path)
+    assert catalog.add_partitions(spark, name, path, ("dt",)) == 2
+    assert catalog.add_partitions(spark, name, path, ("dt",)) == 0
+    found = catalog.register_table(spark, name, path)
+    assert sorted((r["id"], r["dt"]) for r in found.collect()) == [
+        ("1", "it's 1"), ("2", None), ("3", "50%"), ("4", "d4"),
+    ]
+
+
 # --- change selection, marks and state ---------------------------------------------------
 
 
