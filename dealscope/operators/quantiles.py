@@ -118,8 +118,9 @@ def _narrowed(
     guided = _with_group(inside, per_group, keys).withColumn(
         "_splits", F.col("_by_low")[F.col("_low")]
     )
-    # The middle of the interval is a split point too, so that it shrinks in any case.
-    middle = F.col("_low") / 2 + F.col("_high") / 2
+    # The middle of the interval, by magnitude, is a split point too: should the sketch's be
+    # of no use, the interval shrinks all the same.
+    middle = F.sinh(F.asinh("_low") / 2 + F.asinh("_high") / 2)
     place = 2 * _place(_SPLITS) + (F.col("_v") > middle).cast("int")
     parts = guided.groupBy(*cell, "_start", place.alias("_place")).agg(
         F.min("_v").alias("_from"),
