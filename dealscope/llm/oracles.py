@@ -41,7 +41,6 @@ def _url_filter() -> str:
             count(*) FILTER (NOT strict) AS n_soft
           FROM parts JOIN terms
             ON regexp_matches(low, '(^|[^\\pL\\pN])' || term || '($|[^\\pL\\pN])')
-          WHERE host <> '' OR path <> ''
           GROUP BY page_id)
         SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN n_strict > 0
             OR n_soft >= {terms.soft_limit} THEN 'block' ELSE 'allow' END) AS verdict,
