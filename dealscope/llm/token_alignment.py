@@ -77,10 +77,16 @@ class ByteBpe:
             self._ranked = tiktoken.Encoding(
                 "ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}
             )
-        from tokenizers import Tokenizer
+        self._path, self._plain = path, None
 
-        self._plain = Tokenizer.from_file(path)
-        self._plain.encode_special_tokens = True
+    def _encode_plainly(self, text: str) -> list[int]:
+        """By the file's own library, which is loaded for texts that need it."""
+        if self._plain is None:
+            from tokenizers import Tokenizer
+
+            self._plain = Tokenizer.from_file(self._path)
+            self._plain.encode_special_tokens = True
+        return self._plain.encode(text, add_special_tokens=False).ids
 
     def encode(self, text: str) -> np.ndarray | list[int]:
         if self._ranked is not None:
@@ -89,7 +95,7 @@ class ByteBpe:
             except BaseException as error:  # the pattern's engine panics on very long runs
                 if type(error).__name__ != "PanicException":
                     raise
-        return self._plain.encode(text, add_special_tokens=False).ids
+        return self._encode_plainly(text)
 
 
 class PieceBpe:
@@ -403,6 +409,13 @@ def score_links(
     return _score_by_join(aligned, pairs, kind)
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Few rows at a time, since each may have many links."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, _TEXT_ROWS):
+            yield batch.slice(at, _TEXT_ROWS)
+
+
 _SCORES = T.StructType().add("n_best", "long").add("count_sum", "long")
 
 
@@ -420,7 +433,7 @@ def _score_by_array(aligned: DataFrame, pairs: DataFrame, kind: str) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, n, best = shared.value
-        for batch in batches:
+        for batch in _parts(batches):
             links, sizes = _codes(batch, len(kept), len(kept) + 1, kind)
             # Equal links are looked up once.
             distinct, place = np.unique(links, return_inverse=True)
@@ -442,7 +455,7 @@ def _score_by_join(aligned: DataFrame, pairs: DataFrame, kind: str) -> DataFrame
     numbered = written(aligned.withColumn(row, F.monotonically_increasing_id()), "aligned")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches):
             links, sizes = _codes(batch, 1, 2, kind)
             ids = np.repeat(batch.column(0).to_numpy(), sizes)
             both, times = np.unique(np.stack([ids, links]), axis=1, return_counts=True)
