@@ -1,3 +1,4 @@
+import bisect
 import hashlib
 from collections import Counter
 
@@ -57,10 +58,11 @@ def brute(tokenizers, texts):
                 made.append(at)
             ends.append(made)
         cuts = sorted(set(ends[0]) & set(ends[1]))
-        groups = [
-            tuple([i for i, e in zip(ids, at) if low < e <= high] for ids, at in zip((a, b), ends))
-            for low, high in zip([0, *cuts], cuts)
-        ]
+        groups, x, y = [], 0, 0
+        for cut in cuts:
+            p, q = bisect.bisect_right(ends[0], cut), bisect.bisect_right(ends[1], cut)
+            groups.append((a[x:p], b[y:q]))
+            x, y = p, q
         where = dict(zip(ends[1], b))
         links = [(i, where[e]) for i, e in zip(a, ends[0]) if e in where]
         rows.append((len(a), len(b), groups, links))
