@@ -11,7 +11,10 @@ have the structure of a secret:
 * ``ssh``: an OpenSSH private key, whose length-prefixed fields have to fit the blob.
 
 Defined results: null text is empty; an empty text has no spans; repeated rows are scanned
-one by one; extra columns pass through, and a column named like a new one is replaced.
+one by one; spans that start together are told apart by kind; an empty table gives no rows;
+extra columns pass through, and a column named like a new one is replaced. Texts are scanned
+whole: of a candidate in wrapped lines, only the headers at its start are decoded until they
+agree with a key, so the time follows the length of the text.
 """
 
 from __future__ import annotations
@@ -21,7 +24,9 @@ import binascii
 import hashlib
 import json
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -51,6 +56,7 @@ _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{32,}(?:\r?\n[A-Za-z0-9+/_-]+)*={0,2}")
 _HEXES = re.compile(r"[0-9A-Fa-f]{48,}")
 _SSH_MAGIC = b"openssh-key-v1\0"
 _SEQUENCE, _INTEGER, _OCTETS, _OID = 0x30, 0x02, 0x04, 0x06
+_AFTER_VERSION = (_INTEGER, _OCTETS, _SEQUENCE)
 
 
 def _tlv(data: bytes, at: int, end: int) -> tuple[int, int, int] | None:
@@ -113,7 +119,7 @@ def is_private_key_der(data: bytes) -> bool:
 
 
 def is_openssh_key(data: bytes) -> bool:
-    """Whether ``data`` is an OpenSSH private key: magic, then length-prefixed fields."""
+    """Whether ``data`` is one OpenSSH private key: magic, then length-prefixed fields."""
     if not data.startswith(_SSH_MAGIC):
         return False
     at = len(_SSH_MAGIC)
@@ -133,7 +139,7 @@ def is_openssh_key(data: bytes) -> bool:
     if not 1 <= keys <= 64 or any(not field() for _ in range(keys)):
         return False
     private = field()
-    return private is not None and private >= 8
+    return private is not None and private >= 8 and at == len(data)
 
 
 def _decoded(text: str) -> bytes | None:
@@ -210,38 +216,62 @@ def _structured(text: str) -> Iterator[Span]:
 def _in_lines(run: str, at: int) -> Iterator[Span]:
     """Keys that start at a line of ``run`` and end with a line.
 
-    The first bytes name the key's length, so each start is tried with one end only.
+    The first bytes name the key's length, so each start is tried with one end only, and
+    only if the headers that lie at its start agree with a key. The lines are joined once.
     """
     lines = [(m.start(), m.end()) for m in re.finditer(r"[^\r\n]+", run)]
+    whole = "".join(run[s:e] for s, e in lines)
+    ends = list(accumulate(e - s for s, e in lines))
     i = 0
     while i < len(lines):
-        head = _decoded(run[lines[i][0] : lines[i][0] + 8]) or b""
-        taken = None
-        if head[:1] == b"\x30" or _SSH_MAGIC.startswith(head[:6]) and head:
-            last = _last_line(run, lines, i, head)
-            kind = None
-            if last is not None:
-                block = "".join(run[s:e] for s, e in lines[i : last + 1])
-                kind = _key_kind(_decoded(block))
-            if kind:
-                yield at + lines[i][0], at + lines[last][1], kind
-                taken = last
-        i = i + 1 if taken is None else taken + 1
-
-
-def _last_line(run: str, lines: list[tuple[int, int]], i: int, head: bytes) -> int | None:
-    """The line in which a key that starts at line ``i`` ends, by its outer length."""
-    if head[:1] != b"\x30":
-        return len(lines) - 1
-    first = head[1] if len(head) > 1 else 0
-    n = first & 0x7F if first >= 0x80 else 0
-    size = 2 + n + (int.from_bytes(head[2 : 2 + n], "big") if n else first)
-    wanted, seen = (size * 4 + 2) // 3, 0
-    for j in range(i, len(lines)):
-        seen += len(run[lines[j][0] : lines[j][1]].rstrip("="))
-        if seen >= wanted:
-            return j
-    return None
+        first = ends[i - 1] if i else 0
+        size = _outer_size(whole, first)
+        last = bisect_left(ends, first + (size * 4 + 2) // 3) if size else len(lines)
+        kind = _key_kind(_decoded(whole[first : ends[last]])) if last < len(lines) else None
+        if kind:
+            yield at + lines[i][0], at + lines[last][1], kind
+        i = last + 1 if kind else i + 1
+
+
+def _bytes_at(whole: str, first: int, at: int, n: int) -> bytes:
+    """Bytes ``at`` to ``at + n`` of the base64 that starts at ``first``; fewer at its end."""
+    low = at // 3
+    text = whole[first + 4 * low : first + 4 * ((at + n + 2) // 3)]
+    return (_decoded(text) or b"")[at - 3 * low :][:n]
+
+
+def _outer_size(whole: str, first: int) -> int | None:
+    """Length of the key whose base64 starts at ``first``; None if its headers are no key's.
+
+    Only headers are decoded, so the time does not depend on the length that they name.
+    """
+    head = _bytes_at(whole, first, 0, len(_SSH_MAGIC))
+    if head == _SSH_MAGIC:
+        at = len(head)
+
+        def skip() -> int:
+            nonlocal at
+            length = _bytes_at(whole, first, at, 4)
+            at += 4 + int.from_bytes(length, "big")
+            return len(length) == 4
+
+        if not all(skip() for _ in range(3)):
+            return None
+        keys = int.from_bytes(_bytes_at(whole, first, at, 4), "big")
+        at += 4
+        return at if 1 <= keys <= 64 and all(skip() for _ in range(keys + 1)) else None
+    if head[:1] != bytes([_SEQUENCE]) or len(head) < 2:
+        return None
+    n = head[1] & 0x7F if head[1] >= 0x80 else 0
+    if n > 4:
+        return None
+    body = 2 + n
+    size = body + (int.from_bytes(head[2:body], "big") if n else head[1])
+    inner = _bytes_at(whole, first, body, 4)
+    if inner[:2] == bytes([_INTEGER, 1]):  # a version, then a key's first part
+        plain = inner[2:3] in (b"\0", b"\1") and inner[3:] and inner[3] in _AFTER_VERSION
+        return size if plain else None
+    return size if inner[:1] == bytes([_SEQUENCE]) else None
 
 
 def base_spans(text: str) -> list[Span]:
