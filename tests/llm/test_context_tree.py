@@ -42,14 +42,14 @@ def log_kt(a, b):
 class BruteTree:
     """Context-tree weighting from its definition, on dictionaries."""
 
-    def __init__(self, texts, depth, share):
+    def __init__(self, texts, depth, least):
         self.depth = depth
         seen = []
         for t in texts:
             s = bytes([C.END]) * depth + t + bytes([C.END])
             seen += [(s[i - depth : i][::-1], s[i]) for i in range(depth, len(s))]
         count = Counter(c[:d] for c, _ in seen for d in range(depth + 1))
-        self.kept = {c for c, n in count.items() if n * share >= len(seen)} | {b""}
+        self.kept = {c for c, n in count.items() if n >= least} | {b""}
         self.bits = defaultdict(lambda: [0, 0])
         for context, symbol in seen:
             for node in self.path(context):
@@ -104,15 +104,15 @@ class BruteTree:
         return total
 
 
-@pytest.mark.parametrize("share", [4, 50])
-def test_scores_equal_the_definition(spark, monkeypatch, share):
-    monkeypatch.setattr(C, "CONTEXT_SHARE", share)
+@pytest.mark.parametrize("depth", [2, 4])
+def test_scores_equal_the_definition(spark, monkeypatch, depth):
+    monkeypatch.setattr(C, "_CHUNK_GRAMS", 10)
     monkeypatch.setattr(C, "WORD_SHARE", 4)
     texts = ["abracadabra", "abra cad É", None, "", "the cat sat on the mat", "abracadabra", "zz"]
     texts += [f"the {w} sat {i}" for i, w in enumerate(["dog", "cat", "Hat"] * 5)]
     rows = list(enumerate(texts))
-    tree = BruteTree([lower(t) for i, t in rows if not is_held_out(i)], 2, share)
-    out = by_id(C.score_documents(documents(spark, texts), depth=2))
+    tree = BruteTree([lower(t) for i, t in rows if not is_held_out(i)], depth, C.LEAST)
+    out = by_id(C.score_documents(documents(spark, texts), depth=depth))
     base = brute_base(rows)
     assert len(out) == len(rows) and {r["held_out"] for r in out.values()} == {True, False}
     for i, text in rows:
@@ -129,24 +129,37 @@ def test_predictions_sum_to_one_and_slices_do_not_matter(monkeypatch):
     joined = C.join_texts(texts, 3)
     assert joined.coded.sum() == sum(map(len, texts)) + len(texts)
 
-    def model():
-        codes, counts = C._merged(list(C.count_grams(joined, 3)))
-        depths, contexts, symbols, n = [], [], [], []
-        for d in range(4):
-            for code, m in zip(codes.tolist(), counts.tolist(), strict=True):
-                depths.append(d)
-                contexts.append((code >> 8) & ((1 << 8 * d) - 1))
-                symbols.append(code & 255)
-                n.append(m)
-        return C.build_model(*map(np.array, (depths, contexts, symbols, n)), 3)
-
-    first = model()
-    assert np.allclose((10 ** first.log10p.astype(float)).sum(axis=1), 1, atol=1e-5)
-    scores = first.score(joined)
+    codes, counts = C._merged(list(C.count_grams(joined, 3)))
+    every = np.unique((codes & ~np.uint64(255))[:, None] | np.arange(256, dtype=np.uint64))
+    counts = dict(zip(codes.tolist(), counts.tolist(), strict=True))
+    counts = np.array([counts.get(c, 0) for c in every.tolist()])
+    roots = C.forest(every, counts, 2, 3)[0]
+    outer = {}
+    for c, table, mixed in zip(roots.contexts.tolist(), roots.table, roots.mixed, strict=True):
+        outer[c & 255] = outer.get(c & 255, 0) + np.concatenate([table, mixed])
+    logs = C.subtree_logs(every, counts, C.build_top(every, counts, 1, outer), 3)
+    assert np.allclose((10 ** logs.reshape(-1, 256)).sum(axis=1), 1, atol=1e-5)
+    first = C.score_texts(texts, every, logs, 3)
     monkeypatch.setattr(C, "_SLICE", 97)
-    assert np.allclose(model().score(joined), scores)
-    alone = [first.score(C.join_texts([t], 3))[0] for t in texts]
-    assert np.allclose(alone, scores)
+    assert np.allclose(C.score_texts(texts, every, logs, 3), first)
+    assert np.allclose([C.score_texts([t], every, logs, 3)[0] for t in texts], first)
+
+
+def test_blocks_do_not_matter_and_the_model_grows(spark, monkeypatch):
+    texts = [f"word{i % 7} other{i % 5} {'ab' * (i % 9)}" for i in range(60)]
+    docs = documents(spark, texts)
+    first = by_id(C.score_documents(docs))
+    sizes = []
+    for n in (20, 60):
+        blocks = C._blocks(docs.where(f"doc_id < {n}"), "doc_id", "text")
+        grams = C._partials(blocks, 5).where("gram is not null").groupBy("gram").agg(C.F.sum("n").alias("n"))
+        sizes.append(grams.count())
+        assert C.fit(grams, 5).count() == sizes[-1]
+    assert sizes[0] < sizes[1]
+    monkeypatch.setattr(C, "_BLOCK_BYTES", 64)
+    again = by_id(C.score_documents(docs.coalesce(1)))
+    for i, r in first.items():
+        assert again[i]["score"] == pytest.approx(r["score"], rel=1e-6)
 
 
 def test_small_table_and_held_out_gain(spark):
