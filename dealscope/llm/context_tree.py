@@ -50,7 +50,8 @@ END_WORD = b" "  # no word has a space, so this is the end token's own key
 
 _TOP = 2  # depth down to which nodes are merged on the driver
 _SLICE = 1 << 20
-_BLOCK_BYTES = 16 << 20
+_BLOCK_BYTES = 32 << 20
+_PARTITIONS_A_TASK = 2  # input partitions are often smaller than a block
 _CHUNK_GRAMS = 2000
 _GROUP_BYTES = 4 << 20
 _HELD_WORDS = 1_000_000
@@ -129,9 +130,12 @@ def _blocks(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return docs.select(
-        F.col(f"`{doc_id}`"), held_out(f"`{doc_id}`"), F.col(f"`{text}`")
-    ).mapInArrow(run, schema)
+    columns = docs.select(F.col(f"`{doc_id}`"), held_out(f"`{doc_id}`"), F.col(f"`{text}`"))
+    tasks = max(
+        docs.sparkSession.sparkContext.defaultParallelism,
+        columns.rdd.getNumPartitions() // _PARTITIONS_A_TASK,
+    )
+    return columns.coalesce(tasks).mapInArrow(run, schema)
 
 
 _PARTIAL = (
@@ -449,10 +453,29 @@ def fit(grams: DataFrame, depth: int) -> DataFrame:
     return sorted_grams.mapInArrow(logs, "gram long, logp float")
 
 
+class Lookup:
+    """Values of codes, found in one step; the few that share a slot are searched for."""
+
+    _FACTOR = np.uint64(0x9E3779B97F4A7C15)
+
+    def __init__(self, codes: np.ndarray, values: np.ndarray):
+        self.codes, self.values = codes, values
+        self.shift = np.uint64(64 - max(1, (4 * len(codes)).bit_length()))
+        self.slots = np.zeros(1 << (64 - int(self.shift)), np.int32)
+        self.slots[(codes * self._FACTOR) >> self.shift] = np.arange(len(codes))
+
+    def __call__(self, codes: np.ndarray) -> np.ndarray:
+        at = self.slots[(codes * self._FACTOR) >> self.shift]
+        missed = np.flatnonzero(self.codes[at] != codes)
+        at[missed] = np.searchsorted(self.codes, codes[missed])
+        return self.values[at]
+
+
 def score_texts(
     texts: list[bytes], codes: np.ndarray, logs: np.ndarray, depth: int
 ) -> list[float]:
     """Log10 probability of each text, from those of all its codes, which are sorted."""
+    log_of = Lookup(codes, logs)
     scores: list[float] = []
     for group in by_size(texts, _GROUP_BYTES):
         joined = join_texts(group, depth)
@@ -463,7 +486,7 @@ def score_texts(
             for d in range(depth, -1, -1):
                 code = (code << np.uint64(8)) | joined.symbols[low - d : high - d]
             chosen = joined.coded[low:high]
-            value = logs[np.searchsorted(codes, code[chosen])]
+            value = log_of(code[chosen])
             total += np.bincount(joined.text[low:high][chosen], value, joined.count)
         scores += total.tolist()
     return scores
