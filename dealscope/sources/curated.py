@@ -60,16 +60,18 @@ def dealt_by_size(
     tasks = max(1, min(values, _TASKS_PER_CORE * cores), math.ceil((rows or 0) / rows_per_file))
     if (largest or 0) <= rows_per_file:
         return df.repartition(tasks, *cols)
-    # At most one row for each full file.
+    # At most one row for each full file, so it is broadcast: a join by shuffle would bring the
+    # large partitions together again, each to one task.
     large = sizes.where(F.col("_n") > rows_per_file).select(
         *[F.col(c).alias(f"_{c}") for c in cols], F.ceil(F.col("_n") / rows_per_file).alias("_n")
     )
     same = [df[c].eqNullSafe(large[f"_{c}"]) for c in cols]
     salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in df.columns]), F.col("_n"))
-    salted = df.join(large, reduce(Column.__and__, same), "left").withColumn(
-        "_salt", F.coalesce(salt, F.lit(0).cast("long"))
-    )
-    return salted.repartition(tasks, *cols, "_salt").select(*[f"`{c}`" for c in df.columns])
+    # The parts of a partition go to tasks in a row: hashed, several could meet in one.
+    first = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in cols]), F.lit(tasks))
+    task = F.pmod(first + F.coalesce(salt, F.lit(0)), F.lit(tasks)).cast("int")
+    salted = df.join(F.broadcast(large), reduce(Column.__and__, same), "left")
+    return salted.repartitionById(tasks, task).select(*[f"`{c}`" for c in df.columns])
 
 
 def append_snapshot(df: DataFrame, path: str, dt: str | None = None) -> int:

@@ -104,6 +104,18 @@ def test_partitions_are_dealt_to_tasks_by_size(spark, monkeypatch, limit):
     assert curated.read_curated(spark, path).count() == 100
 
 
+def test_a_hot_partition_is_spread_evenly_without_a_join_by_shuffle(spark, settings):
+    settings(autoBroadcastJoinThreshold="-1")  # as if the counts' size were overrated
+    day = F.when(F.col("id") < 10_000, "d").otherwise("e")
+    one_day = spark.range(10_000).select("id", day.alias("dt"))
+    dealt = curated.dealt_by_size(one_day, ["dt"], 500)
+    assert dealt.rdd.getNumPartitions() == 20
+    plan = dealt._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    tasks = dealt.groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) == 20 and max(r["count"] for r in tasks) < 650
+
+
 # --- modes that agree --------------------------------------------------------------------
 
 
