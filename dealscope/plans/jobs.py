@@ -42,7 +42,10 @@ class SyncJob:
     primary_key: tuple[str, ...]
     properties: dict[str, str]
     normalize: Callable[[DataFrame], DataFrame]
+    # Applied to the latest versions.
     clean: Callable[[DataFrame], DataFrame]
+    # Versions without a creation time do not count.
+    dated: bool = False
     # Rows that can move to another partition are looked for in all partitions.
     global_key: bool = False
 
@@ -72,6 +75,7 @@ JOBS = {
             V.ACTIVITY_PROPERTIES,
             _typed_activities,
             N.keep_dated_distinct,
+            dated=True,
         ),
         SyncJob(
             "contacts",
@@ -119,11 +123,18 @@ def sync_table(
     window = sync_window(state, incremental)
 
     source = due_changes(raw, *_times(job), window, now)
-    normal = job.clean(job.normalize(source))
-    rows = latest_per_key(
-        normal.filter(F.col(job.primary_key[-1]) != ""),
-        job.primary_key,
-        [*_latest_first(), any_order(normal.columns)],
+    normal = job.normalize(source)
+    counted = F.col(job.primary_key[-1]) != ""
+    if job.dated:
+        counted = counted & F.col("created_at").isNotNull()
+    # Equal rows have one key, so cleaning the latest versions gives what taking the latest of
+    # clean ones gives, and needs no shuffle of its own.
+    rows = job.clean(
+        latest_per_key(
+            normal.filter(counted),
+            job.primary_key,
+            [*_latest_first(), any_order(normal.columns)],
+        )
     )
 
     seen = Observation()

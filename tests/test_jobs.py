@@ -1,6 +1,7 @@
 import json
 
 from dealscope.operators.state import get_sync_state
+from dealscope.plans import jobs
 from dealscope.plans.jobs import sync_owners, sync_stages, sync_table
 from dealscope.session import fresh_path
 from dealscope.sources.curated import read_curated
@@ -154,3 +155,32 @@ def test_dimensions_are_replaced(spark):
     for _ in range(2):
         sync_stages(lines(spark, "pipelines", pipeline), stages)
     assert read_curated(spark, stages).count() == 1
+
+
+def test_versions_are_reduced_and_cleaned_with_one_shuffle(spark, monkeypatch):
+    written = []
+
+    def watched(df, path):
+        written.append(df._jdf.queryExecution().executedPlan().toString())
+        return stage(df, path)
+
+    stage = jobs.stage
+    monkeypatch.setattr(jobs, "stage", watched)
+
+    def note(created, modified):
+        times = {"hs_createdate": created, "hs_lastmodifieddate": modified}
+        return json.dumps({"id": "1", "object_type": "notes", "properties": times})
+
+    old, new = "2024-01-01T00:00:00Z", "2024-01-05T00:00:00Z"
+    found = parse_raw_objects(
+        spark.createDataFrame(
+            [(t,) for t in (note(old, old), note(old, old), note("junk", new))], "value string"
+        ),
+        "activities",
+    )
+    path = fresh_path(spark, "activities")
+    # The later version has no creation time, so it does not hide the earlier one.
+    assert sync_table("activities", found, path, fresh_path(spark, "state"), utc("2024-02-01")) == 1
+    rows = spark.read.parquet(path).collect()
+    assert [str(r["last_modified_at"]) for r in rows] == ["2024-01-01 00:00:00"]
+    assert written[0].count("Exchange hashpartitioning") == 1
