@@ -191,6 +191,13 @@ def _millis(column: str) -> Column:
     return F.unix_millis(F.col(column)).cast("string")
 
 
+def _some(rows: DataFrame, key: str, where: Column | None) -> DataFrame:
+    """Rows whose key, as the number ``k``, meets the condition; all without one."""
+    if where is None:
+        return rows
+    return rows.withColumn("k", F.col(key).cast("bigint")).filter(where)
+
+
 def _json(*fields: Column) -> Column:
     return F.to_json(F.struct(*fields)).alias("value")
 
@@ -207,9 +214,14 @@ def _associated(column: str) -> Column:
     return F.struct(results.alias("results"))
 
 
-def raw_deals(spark: SparkSession, folder: str) -> DataFrame:
-    """Deals as JSON text of CRM objects, times in ISO and epoch form, names old and new."""
-    d = deals(spark, folder)
+def raw_deals(
+    spark: SparkSession, folder: str, where: Column | None = None
+) -> DataFrame:
+    """Deals as JSON text of CRM objects, times in ISO and epoch form, names old and new.
+
+    Here and below ``where`` picks objects by their number, the column ``k``.
+    """
+    d = _some(deals(spark, folder), "deal_id", where)
     k = F.col("deal_id").cast("bigint")
     op, won = STAGE_CODES["op"], STAGE_CODES["won"]
     properties = F.struct(
@@ -246,9 +258,11 @@ def raw_deals(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def raw_activities(spark: SparkSession, folder: str) -> DataFrame:
+def raw_activities(
+    spark: SparkSession, folder: str, where: Column | None = None
+) -> DataFrame:
     """Events as JSON text of the six activity object types, with ``object_type``."""
-    base = _activity_base(spark, folder).withColumn(
+    base = _some(_activity_base(spark, folder), "k", where).withColumn(
         "object_type",
         F.expr(
             "CASE event_type WHEN 'signup' THEN 'notes' WHEN 'purchase' THEN 'emails' "
@@ -298,8 +312,10 @@ def raw_activities(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def raw_contacts(spark: SparkSession, folder: str) -> DataFrame:
-    c = contacts(spark, folder)
+def raw_contacts(
+    spark: SparkSession, folder: str, where: Column | None = None
+) -> DataFrame:
+    c = _some(contacts(spark, folder), "contact_id", where)
     properties = F.struct(
         F.col("owner_id").alias(DEAL_PROPERTIES["owner_id"]),
         "firstname",
@@ -311,8 +327,10 @@ def raw_contacts(spark: SparkSession, folder: str) -> DataFrame:
     return c.select(_json(F.col("contact_id").alias("id"), properties.alias("properties")))
 
 
-def raw_companies(spark: SparkSession, folder: str) -> DataFrame:
-    c = companies(spark, folder)
+def raw_companies(
+    spark: SparkSession, folder: str, where: Column | None = None
+) -> DataFrame:
+    c = _some(companies(spark, folder), "company_id", where)
     properties = F.struct(
         "name",
         _iso("created_at").alias("createdate"),

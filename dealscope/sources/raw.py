@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -30,8 +32,13 @@ def read_raw_objects(
     return recent if keep_landed else recent.drop("landed")
 
 
-def parse_raw_objects(lines: DataFrame, kind: str, column: str = "value") -> DataFrame:
-    """Same as :func:`read_raw_objects` for a column that holds one JSON object per row."""
+def parse_raw_objects(
+    lines: DataFrame, kind: str, column: str = "value", keep: Sequence[str] = ()
+) -> DataFrame:
+    """Same as :func:`read_raw_objects` for a column that holds one JSON object per row.
+
+    ``keep`` names columns of the lines that stay, before those of the objects.
+    """
     # Opening a one-element array keeps the parsed object from being substituted into each
     # expression that uses a part of it, and so from being parsed once for each.
-    return lines.select(F.inline(F.array(F.from_json(column, RAW_SCHEMAS[kind]))))
+    return lines.select(*keep, F.inline(F.array(F.from_json(column, RAW_SCHEMAS[kind]))))

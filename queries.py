@@ -10,7 +10,7 @@ from collections.abc import Callable
 from dataclasses import replace
 from datetime import date, datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dealscope import adapter
@@ -23,7 +23,7 @@ from dealscope.operators.dedupe import merge_dedupe
 from dealscope.plans import dashboard, jobs, upkeep
 from dealscope.plans.activities import with_activity_category
 from dealscope.plans.views import VIEWS, ViewLayer
-from dealscope.schemas import ACTIVITIES, COMPANIES, CONTACTS
+from dealscope.schemas import ACTIVITIES, COMPANIES, CONTACTS, RAW_SCHEMAS
 from dealscope.session import configure, fresh_path, size_shuffles
 from dealscope.sources import catalog, curated, raw
 
@@ -514,47 +514,77 @@ def i08_sync_state(spark, folder):
 _FULL_RUN, _NEXT_RUN = _utc(2024, 9, 1), _utc(2024, 9, 2)
 
 
-def _landed(spark: SparkSession, rows: DataFrame, kind: str) -> DataFrame:
+# Objects in a landed file, so that compressed files are still read by many tasks.
+_OBJECTS_PER_FILE = 50_000
+
+
+def _land(lines: DataFrame, path: str) -> None:
+    """Write the JSON texts of ``value`` to a landing folder."""
+    (
+        lines.select("value")
+        .write.option("compression", "snappy")
+        .option("maxRecordsPerFile", _OBJECTS_PER_FILE)
+        .text(path)
+    )
+
+
+def _landed(spark: SparkSession, lines: DataFrame, kind: str) -> DataFrame:
     """Raw objects written as JSON lines and scanned again."""
     path = fresh_path(spark, f"raw-{kind}")
-    rows.select(F.to_json(F.struct("*")).alias("value")).write.text(path)
+    _land(lines, path)
     return raw.read_raw_objects(spark, path, kind)
 
 
+def _as_json(properties: Column, columns: list[str], **changed: Column) -> Column:
+    """JSON text of a raw object with these properties."""
+    rest = [changed.get(c, F.col(c)).alias(c) for c in columns if c != "properties"]
+    return F.to_json(F.struct(*rest, properties.alias("properties")))
+
+
 def _synced(
     spark: SparkSession, folder: str, kind: str, name: str | None, modified: str
 ) -> DataFrame:
     """A full run, then an incremental one over the same objects and later versions.
 
     Every tenth object has an outdated version as well, some are dated in the future, and
-    every fifth is edited between the runs.
+    every fifth is edited between the runs. Objects land as their texts are, changed versions
+    are written anew; the later ones land beside those of the first run.
     """
-    first = raw_objects(spark, folder, kind)
+    texts = getattr(adapter, f"raw_{kind}")
     number = F.col("id").cast("bigint")
+    known = F.map_contains_key("properties", modified)
+    columns = RAW_SCHEMAS[kind].names
 
-    def version(rows: DataFrame, time: str, text: str | None) -> DataFrame:
+    def version(time: str, text: str | None) -> Column:
         def changed(key, value):
             out = F.when(key == modified, F.lit(time))
             if name is not None and text is not None:
                 out = out.when(key == name, F.lit(text))
             return out.otherwise(value)
 
-        return rows.withColumn("properties", F.transform_values("properties", changed))
+        return _as_json(F.transform_values("properties", changed), columns)
 
-    known = first.filter(F.map_contains_key("properties", modified))
     coming = (number % 97 == 1) & (number % 5 != 0)
-    full = (
-        first.filter(~(coming & F.map_contains_key("properties", modified)))
-        .unionByName(version(known.filter(coming), "2030-01-01T00:00:00Z", None))
-        .unionByName(version(known.filter(number % 10 == 0), "2001-01-01T00:00:00Z", "outdated"))
-    )
+    versions = [
+        F.when(~(coming & known), F.col("value")),
+        F.when(known & coming, version("2030-01-01T00:00:00Z", None)),
+        F.when(known & (number % 10 == 0), version("2001-01-01T00:00:00Z", "outdated")),
+    ]
     if kind == "activities":  # two types share ids
-        calls = first.filter((F.col("object_type") == "calls") & (number % 10 == 0))
-        full = full.unionByName(calls.withColumn("object_type", F.lit("tasks")))
-    later = version(known.filter(number % 5 == 0), "2024-09-01T12:00:00Z", "edited")
+        task = _as_json(F.col("properties"), columns, object_type=F.lit("tasks"))
+        versions.append(F.when((F.col("object_type") == "calls") & (number % 10 == 0), task))
+    lines = texts(spark, folder).select("value")
+    full = raw.parse_raw_objects(lines, kind, keep=["value"]).select(
+        F.explode(F.array_compact(F.array(*versions))).alias("value")
+    )
+    fifth = texts(spark, folder, F.col("k") % 5 == 0).select("value")
+    later = raw.parse_raw_objects(fifth, kind).filter(known).select(
+        version("2024-09-01T12:00:00Z", "edited").alias("value")
+    )
     path, marks = fresh_path(spark, kind), fresh_path(spark, "state")
-    jobs.sync_table(kind, _landed(spark, full, kind), path, marks, _FULL_RUN)
-    everything = _landed(spark, full.unionByName(later), kind)
+    before = _landed(spark, full, kind)
+    jobs.sync_table(kind, before, path, marks, _FULL_RUN)
+    everything = before.unionByName(_landed(spark, later, kind))
     jobs.sync_table(kind, everything, path, marks, _NEXT_RUN)
     return spark.read.option("mergeSchema", True).parquet(path)
 
@@ -595,7 +625,8 @@ def j05_sync_owners(spark, folder):
         }
     )
     path = fresh_path(spark, "owners")
-    jobs.sync_owners(_landed(spark, newer.unionByName(rows), "owners"), path)
+    both = newer.unionByName(rows).select(F.to_json(F.struct("*")).alias("value"))
+    jobs.sync_owners(_landed(spark, both, "owners"), path)
     return curated.read_curated(spark, path).select("owner_id", "owner_name")
 
 
