@@ -633,7 +633,7 @@ def j05_sync_owners(spark, folder):
 @query
 def j06_monthly_kpis_kept_up(spark, folder):
     """Deals from two landing dates, the second with new amounts; their KPIs from kept parts."""
-    first = raw_objects(spark, folder, "deals")
+    columns = RAW_SCHEMAS["deals"].names
     new = {"amount": "77.5", V.DEAL_PROPERTIES["last_modified_at"]: "2024-09-01T12:00:00Z"}
 
     def changed(key, value):
@@ -642,14 +642,16 @@ def j06_monthly_kpis_kept_up(spark, folder):
             out = F.when(key == name, F.lit(text)).otherwise(out)
         return out
 
-    later = first.filter(F.col("id").cast("bigint") % 5 == 0).withColumn(
-        "properties", F.transform_values("properties", changed)
+    first = adapter.raw_deals(spark, folder)
+    fifth = adapter.raw_deals(spark, folder, F.col("k") % 5 == 0)
+    later = raw.parse_raw_objects(fifth, "deals").select(
+        _as_json(F.transform_values("properties", changed), columns).alias("value")
     )
     landing = fresh_path(spark, "raw-deals")
     path, marks, parts = (fresh_path(spark, name) for name in ("deals", "state", "monthly"))
     runs = [("2024-08-31", first, _FULL_RUN), ("2024-09-02", later, _NEXT_RUN)]
-    for landed, rows, now in runs:
-        rows.select(F.to_json(F.struct("*")).alias("value")).write.text(f"{landing}/landed={landed}")
+    for landed, lines, now in runs:
+        _land(lines, f"{landing}/landed={landed}")
         jobs.sync_landed("deals", spark, landing, path, marks, now, monthly_path=parts)
     owners = adapter.tables(spark, folder)["owners"]
     owners = owners() if callable(owners) else owners

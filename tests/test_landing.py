@@ -57,6 +57,13 @@ def test_later_objects_land_beside_the_first_ones_compressed(spark, orders, monk
     assert sorted(map(folders.count, set(folders))) == [16, 56]
 
 
+def test_objects_land_as_their_texts_are(spark, orders, monkeypatch):
+    _, landed = _landings(spark, orders, "j06_monthly_kpis_kept_up", monkeypatch)
+    texts = [r["value"] for r in landed if "landed=2024-08-31" in r["file"]]
+    assert sorted(texts) == sorted(r["value"] for r in adapter.raw_deals(spark, orders).collect())
+    assert all(r["file"].endswith(".snappy") for r in landed) and len(landed) == 48 + 16
+
+
 def test_raw_objects_of_some_numbers(spark, orders):
     some = adapter.raw_deals(spark, orders, F.col("k") % 5 == 0).collect()
     every = adapter.raw_deals(spark, orders).collect()
